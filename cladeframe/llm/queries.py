@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .common import table
+from .line_dedup import dedup_lines
+from .mixing import mix_assignments
+from .simhash import components
 from .substring_dedup import remove_repeated_passages
 
 
@@ -17,6 +20,22 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_lines: \\n-split lines of the text (null: none); n_removed: those removed; kept_sha256: of the text that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")), width=3)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = components(table(spark, sf_dir, "documents"), shingle=3)
+    return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_assignments(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
