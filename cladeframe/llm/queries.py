@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .common import table
+from .decontaminate import contamination
+from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .mixing import mix_assignments
+from .quality import judged
 from .simhash import components
 from .substring_dedup import remove_repeated_passages
+from .suffix_dedup import remove_repeated_bytes
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +31,22 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"), window=400)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = components(table(spark, sf_dir, "documents"), shingle=3)
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -36,6 +56,14 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_assignments(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
