@@ -2,9 +2,9 @@
 
 The test items are cut into windows of `width` words. One pass over the documents counts the test terms; each window is
 then looked up by its `rarest` rarest terms. The postings of these terms (term, document, position) are stored in the
-shared folder; the lists of a window's terms, adjusted by the terms' offsets, are intersected; what survives is compared
-word by word with the document (exact matches). Where the terms of a window meet within `slop` words only, it is
-reported as near.
+shared folder; their positions are adjusted by the terms' offsets in the item, and lists are intersected where a line of
+one document and item holds all rare terms of a window; what survives is compared word by word with the document (exact
+matches). Where the terms of a window meet within `slop` words only, it is reported as near.
 
 The tables of terms and windows grow with the test set, not with the documents; they are counted, and broadcast only if
 small. Cases: a null or empty text or item has no words and matches nothing; an item shorter than a window is one window.
@@ -27,12 +27,14 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-def item_windows(items: DataFrame, width: int, item_col: str, text_col: str) -> DataFrame:
-    """(item, win, body): the windows of the items that have words."""
-    words = items.select(F.col(item_col).alias("item"), tokens(ascii_lower(F.col(text_col))).alias("w")).where(F.size("w") > 0)
-    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - width, F.lit(0)))
-    out = words.select("item", "w", F.explode(starts).alias("at")).select("item", F.slice("w", F.col("at") + 1, F.lit(width)).alias("body"))
-    return out.distinct().withColumn("win", F.xxhash64("item", "body"))
+def item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """(row, item, w): the items that have words; row names an item by its values."""
+    out = items.select(F.col(item_col).alias("item"), tokens(ascii_lower(F.col(text_col))).alias("w")).where(F.size("w") > 0)
+    return out.distinct().withColumn("row", F.xxhash64("item", "w"))
+
+
+def window_starts(n: Column, width: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -42,35 +44,47 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def matches(docs: DataFrame, items: DataFrame, width: int = 10, rarest: int = 2, slop: int = 2, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(k1, k2, item, kind, start, length) of every match; kind is exact or near; k1, k2: the document's value key."""
-    wins = small(written(item_windows(items, width, item_col, item_text_col), "windows"))
-    parts = wins.select("win", F.posexplode("body").alias("offset", "term"))
+    own = small(written(item_words(items, item_col, item_text_col), "items"))
+    wins = own.select("row", "w", F.explode(window_starts(F.size("w"), width)).alias("at"))
+    parts = wins.select("row", "at", F.posexplode(F.slice("w", F.col("at") + 1, width)).alias("i", "term"))
     terms = small(written(parts.select("term").distinct(), "terms"))
     texts = keyed(docs, id_col, text_col)
     lowered = ascii_lower(F.col("raw")).alias("term")
 
     counted = texts.select(F.explode(tokens(F.col("text"))).alias("raw")).select(lowered).join(terms, "term").groupBy("term").count()
-    counted = small(written(terms.join(counted, "term", "left").select("term", F.coalesce("count", F.lit(0)).alias("n")), "term-counts"))
-    order = Window.partitionBy("win").orderBy("n", "term", "offset")
-    chosen = parts.join(counted, "term").withColumn("place", F.row_number().over(order)).where(F.col("place") <= rarest)
-    chosen = chosen.withColumn("of", F.count("*").over(Window.partitionBy("win"))).where("n > 0")
-    chosen = small(written(chosen.select("win", "term", "offset", "of"), "chosen-terms"))
-    sought = small(written(chosen.select("term").distinct(), "sought-terms"))
-
-    postings = texts.select("k1", "k2", F.posexplode(tokens(F.col("text"))).alias("pos", "raw")).select("k1", "k2", "pos", lowered).join(sought, "term")
-    postings = written(postings.select("term", "k1", "k2", "pos"), "postings").distinct()
-    lists = postings.join(chosen, "term").select("k1", "k2", "win", "of", "offset", (F.col("pos") - F.col("offset")).alias("start"))
-    exact = lists.where("start >= 0").groupBy("k1", "k2", "win", "start", "of").agg(F.count("*").alias("met")).where("met = of").select("k1", "k2", "win", "start")
-    by_doc = exact.join(wins, "win").groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "start", "body")).alias("c"))
-    words = texts.join(by_doc.hint("shuffle_hash"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "c", F.transform(tokens(F.col("text")), ascii_lower).alias("w"))
-    same = F.filter("c", lambda x: F.slice(F.col("w"), x["start"] + 1, F.size(x["body"])) == x["body"])
-    exact = words.select("k1", "k2", F.explode(same).alias("x")).select("k1", "k2", "x.item", F.lit("exact").alias("kind"), "x.start", F.size("x.body").alias("length"))
+    counted = small(written(counted, "term-counts"))
+    order = Window.partitionBy("row", "at").orderBy("n", "term", "i")
+    chosen = parts.join(counted, "term", "left").withColumn("n", F.coalesce("count", F.lit(0)))
+    chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rarest)
+    needed = chosen.groupBy("row", "at").agg(F.collect_list(F.col("at") + F.col("i")).alias("needed"), F.min("n").alias("least")).where("least > 0")
+    needed = small(written(needed.select("row", "at", "needed"), "needed-terms"))
+    sought = needed.select("row", F.explode("needed").alias("offset")).distinct().join(own, "row").select("row", "offset", F.get("w", F.col("offset")).alias("term"))
+    sought = small(written(sought, "sought-terms"))
+    sought_terms = small(written(sought.select("term").distinct(), "sought"))
+
+    postings = texts.select("k1", "k2", F.posexplode(tokens(F.col("text"))).alias("pos", "raw")).select("k1", "k2", "pos", lowered).join(sought_terms, "term")
+    postings = written(postings.select("term", "k1", "k2", "pos"), "postings")
+    lists = postings.join(sought, "term").select("k1", "k2", "row", "offset", (F.col("pos") - F.col("offset")).alias("line"))
+    lines = lists.groupBy("k1", "k2", "row", "line").agg(F.collect_set("offset").alias("met")).join(needed, "row")
+    fits = lines.where((F.size(F.array_except("needed", "met")) == 0) & (F.col("line") + F.col("at") >= 0))
+    by_doc = fits.groupBy("k1", "k2").agg(F.collect_list(F.struct("row", "at", (F.col("line") + F.col("at")).alias("start"))).alias("c"))
+    words = texts.join(by_doc.hint("shuffle_hash"), ["k1", "k2"]).select("k1", "k2", "c", tokens(F.col("text")).alias("w"))
+    cut = F.transform("c", lambda x: F.struct(x["row"].alias("row"), x["at"].alias("at"), x["start"].alias("start"), F.transform(F.slice(F.col("w"), x["start"] + 1, F.lit(width)), ascii_lower).alias("body")))
+    body = words.select("k1", "k2", F.explode(cut).alias("x")).select("k1", "k2", "x.*").join(own, "row")
+    sought_body = F.slice("w", F.col("at") + 1, F.lit(width))
+    same = F.slice("body", F.lit(1), F.size(sought_body)) == sought_body
+    exact = body.where(same).select("k1", "k2", "item", F.lit("exact").alias("kind"), "start", F.size(sought_body).alias("length"))
+    exact = written(exact, "exact-matches")
     if not slop:
         return exact
-    wide = slop + 1
-    spread = lists.where("of > 1").withColumn("cell", F.explode(F.array(F.floor(F.col("start") / wide), F.floor(F.col("start") / wide) - 1)))
-    near = spread.groupBy("k1", "k2", "win", "cell", "of").agg(F.count_distinct("offset").alias("met"), F.min("start").alias("start"), F.max("start").alias("upto"))
-    near = near.where((F.col("met") == F.col("of")) & (F.col("upto") - F.col("start") <= slop))
-    near = near.join(wins, "win").select("k1", "k2", "item", F.lit("near").alias("kind"), "start", (F.size("body") + F.col("upto") - F.col("start")).cast("int").alias("length")).distinct()
+    cell = F.floor(F.col("line") / (slop + 1))
+    spread = lists.withColumn("cell", F.explode(F.array(cell, cell - 1)))
+    spread = spread.groupBy("k1", "k2", "row", "cell").agg(F.collect_set(F.struct("offset", "line")).alias("met")).where(F.size("met") > 1)
+    spread = spread.join(needed, "row").where((F.size("needed") > 1) & (F.size(F.array_except("needed", F.col("met.offset"))) == 0))
+    along = lambda d: F.forall("needed", lambda o: F.exists("met", lambda m: (m["offset"] == o) & m["line"].between(d, d + slop)))
+    first = F.array_min(F.filter("met.line", along))
+    near = spread.withColumn("first", first).where("first is not null").join(own, "row")
+    near = near.select("k1", "k2", "item", F.lit("near").alias("kind"), F.greatest(F.col("first") + F.col("at"), F.lit(0)).cast("int").alias("start"), (F.least(F.size("w"), F.lit(width)) + slop).cast("int").alias("length")).distinct()
     return exact.unionByName(near.join(exact.select("k1", "k2", "item").distinct(), ["k1", "k2", "item"], "left_anti"))
 
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import table
 from .decontaminate import contamination
+from .html_text import main_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .mixing import mix_assignments
+from .pii import BASE, personal_data
 from .quality import judged
 from .simhash import components
 from .substring_dedup import remove_repeated_passages
@@ -47,6 +49,19 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = personal_data(table(spark, sf_dir, "documents"))
+    digest = lambda name: F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [of_kind(k) for k in BASE]
+    return out.select("doc_id", *counts, F.sha2(digest("base"), 256).alias("base_sha256"), digest("spans").alias("spans"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = components(table(spark, sf_dir, "documents"), shingle=3)
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -28,7 +28,7 @@ def test_labels(spark):
     assert [out[i].labels for i in range(7)] == [["apache-2.0"], ["cc-by", "reserved"], [], ["mit"], ["apache-2.0"], [], ["gpl"]]
     assert [out[i].places for i in (1, 6)] == [[2, 5, 7], [7]]
     assert (out[0].spans[0].first, out[0].spans[0].last, out[0].score) == (2, 9, 1.0)
-    assert 0.8 <= out[4].score < 1 and out[6].score == 1.0
+    assert 0.8 <= out[4].score <= 1 and out[6].score == 1.0
 
 
 def test_query(spark):
