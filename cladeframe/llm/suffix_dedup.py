@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling as R
-from .common import partitions, value_key, written
+from .common import partitions, small, value_key, written
 from .substring_dedup import covered_runs
 
 U = np.uint64
@@ -162,20 +162,31 @@ def sort_directly(at: np.ndarray, eight: np.ndarray, depth: int) -> np.ndarray:
     group = np.zeros(len(order), np.int64)
     if len(order):
         group[1:] = np.cumsum(key[1:] != key[:-1])
-    where, last = np.arange(len(order)), len(eight) - 1
+    last = len(eight) - 1
+    tied = np.zeros(len(order) + 1, bool)
+    tied[1:-1] = group[1:] == group[:-1]
+    where = np.flatnonzero(tied[1:] | tied[:-1])
+    own, group = order[where], group[where]
     for step in range(8, depth, 8):
-        same = np.zeros(len(where) + 1, bool)
-        same[1:-1] = group[1:] == group[:-1]
-        tied = same[1:] | same[:-1]
-        where, group = where[tied], group[tied]
         if not len(where):
             break
-        own = order[where]
         key = eight[np.minimum(own + step, last)]
-        again = np.lexsort((key, group))
-        order[where] = own[again]
-        key = key[again]
-        group = np.concatenate([[0], np.cumsum((group[1:] != group[:-1]) | (key[1:] != key[:-1]))])
+        joined = group[1:] == group[:-1]
+        split = joined & (key[1:] != key[:-1])
+        if not split.any():
+            continue  # all ties share these bytes
+        at = np.flatnonzero(np.concatenate([[True], ~joined]))
+        size = np.diff(np.append(at, len(group)))
+        touched = np.repeat(np.logical_or.reduceat(np.append(split, False), at), size)
+        some = np.flatnonzero(touched)
+        again = some[np.lexsort((key[some], group[some]))]
+        own[some], key[some] = own[again], key[again]
+        order[where[some]] = own[some]
+        tied = np.zeros(len(where) + 1, bool)
+        tied[1:-1] = joined & (key[1:] == key[:-1])
+        group = np.cumsum(~tied[:-1])
+        kept = tied[1:] | tied[:-1]
+        where, own, group = where[kept], own[kept], group[kept]
     return order
 
 
@@ -186,8 +197,9 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
-    differs = np.flatnonzero(text[1:] != text[:-1])
-    ahead = np.searchsorted(differs, np.arange(n))  # where the run of equal bytes ends
+    unlike = text[1:] != text[:-1]
+    differs = np.flatnonzero(unlike)
+    ahead = np.concatenate([[0], np.cumsum(unlike)])  # where the run of equal bytes ends
     smaller = np.zeros(n, bool)
     ends = ahead < len(differs)
     d = differs[ahead[ends]]
@@ -360,7 +372,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, gram: int = GRAM,
     marked = often.union(marked.join(often_keys, context, "left_anti"))
     found = members.join(marked, context).groupBy(*key).agg(F.collect_list(F.struct("lo", "n", "starts")).alias("parts"))
 
-    hot = placed.where(F.col("contexts") > hot_contexts).select("anchor").distinct()
+    hot = small(written(placed.where(F.col("contexts") > hot_contexts).select("anchor").distinct(), "hot-anchors"))
     hot_runs = members.join(hot, "anchor").groupBy(*key).agg(F.collect_set(F.struct("lo", "n")).alias("parts"))
     by_string = R.repeated_places(texts.join(hot_runs.hint("shuffle_hash"), key), _hot_strings(window), n)
 
