@@ -1,3 +1,124 @@
-"""SQL, for another engine, of the rows that the queries return over whole tables."""
+"""SQL, for another engine, of the rows that the queries return over whole tables.
 
-SQL: dict[str, str] = {}
+Substring dedup by bytes, PII, HTML extraction and SimHash are not here: tests hold them against brute force.
+"""
+
+from .licenses import K, MIN_COVER, PHRASES, SLACK, TEMPLATES
+from .quality import MAX_REPEAT_PERCENT, MENU, MENU_CHARS, MIN_WORDS, NOTICE, NOTICE_CHARS, PROSE_WORDS, SENTENCE_END, SEPARATORS, SYMBOLS
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TOKENS = rf"regexp_extract_all({LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def count(pattern: str, x: str = "x") -> str:
+    return f"len(regexp_extract_all({x}, {quoted(pattern)}))"
+
+
+SUBSTRING = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+win AS (SELECT r, k, array_to_string(w[k + 1 : k + 35], ' ') AS s FROM (SELECT r, w, unnest(range(len(w) - 34)) AS k FROM d WHERE len(w) >= 35)),
+rep AS (SELECT r, k FROM win WHERE s IN (SELECT s FROM win GROUP BY s HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, k + j AS p FROM (SELECT r, k, unnest(range(35)) AS j FROM rep)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+kept AS (SELECT words.r, string_agg(word, ' ' ORDER BY words.p) AS t, count(*) AS n FROM words LEFT JOIN gone ON gone.r = words.r AND gone.p = words.p WHERE gone.r IS NULL GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+LINES = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
+n AS (SELECT doc_id, i, trim(x, {SPACE}) AS t, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l WHERE trim(x, {SPACE}) <> ''),
+w AS (SELECT doc_id, k, t || chr(10) || lead(t, 1) OVER o || chr(10) || lead(t, 2) OVER o AS s FROM n WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+later AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY s ORDER BY doc_id, k) AS q FROM w WHERE s IS NOT NULL) WHERE q > 1),
+gone AS (SELECT DISTINCT doc_id, k + j AS k FROM (SELECT doc_id, k, unnest(range(3)) AS j FROM later)),
+marked AS (SELECT l.doc_id, l.x, l.i, gone.k IS NOT NULL AS out FROM l LEFT JOIN n ON n.doc_id = l.doc_id AND n.i = l.i LEFT JOIN gone ON gone.doc_id = n.doc_id AND gone.k = n.k),
+s AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE out) AS n_removed, string_agg(x, chr(10) ORDER BY i) FILTER (WHERE NOT out) AS t FROM marked GROUP BY 1)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+WORD_COUNT, SYMBOL_COUNT = count(r"[^\x20\x09-\x0D]+"), count(SYMBOLS)
+FAILS = f"""(NOT regexp_matches(x, {quoted(SENTENCE_END)}) AND {WORD_COUNT} < {PROSE_WORDS}) OR ({SYMBOL_COUNT} >= 3 AND 2 * {SYMBOL_COUNT} > {WORD_COUNT})
+ OR (2 * {count(r"\p{Lu}")} > length(x) AND {WORD_COUNT} >= 3) OR {count(SEPARATORS)} >= 3 OR (length(x) <= {MENU_CHARS} AND regexp_matches(lower(x), {quoted(MENU)}))
+ OR (length(x) <= {NOTICE_CHARS} AND regexp_matches(lower(x), {quoted(NOTICE)}))"""
+QUALITY = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+e AS (SELECT r, doc_id, text, {WORDS} AS w FROM d),
+lines AS (SELECT r, i, l, trim(l, {SPACE}) AS x FROM (SELECT r, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM d)),
+j AS (SELECT r, count(*) FILTER (WHERE x <> '') - count(DISTINCT l) FILTER (WHERE x <> '') AS n_dup_lines, string_agg(l, chr(10) ORDER BY i) FILTER (WHERE x = '' OR NOT ({FAILS})) AS kept_text FROM lines GROUP BY 1),
+g AS (SELECT r, k, w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3] AS s FROM (SELECT r, w, unnest(range(len(w) - 2)) AS k FROM e WHERE len(w) >= 3)),
+t AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, s) AS c FROM g) WHERE c > 1),
+m AS (SELECT r, count(DISTINCT k + o) AS n FROM (SELECT r, k, unnest(range(3)) AS o FROM t) GROUP BY 1),
+b AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, length(text) - {count(r"[\x20\x09-\x0D]", "text")} AS word_chars, {count(SYMBOLS, "text")} AS n_symbols, n_dup_lines, coalesce(n, 0) AS n_repeat_words, length(text) AS chars, length(coalesce(kept_text, '')) AS kept_chars
+ FROM e JOIN j USING (r) LEFT JOIN m USING (r)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 2 * (chars - kept_chars) <= chars AS kept FROM f
+"""
+
+CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TOKENS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS rw, item_id, w FROM (SELECT DISTINCT item_id, {TOKENS} AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT rw, item_id, a0, w[a0 + 1 : a0 + 10] AS x FROM (SELECT rw, item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS a0 FROM b)),
+sizes AS (SELECT DISTINCT len(x) AS n FROM bw),
+dw AS (SELECT r, p, n, array_to_string(w[p + 1 : p + n], ' ') AS s FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS p FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT r, p, n, item_id FROM dw JOIN (SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS s FROM bw) USING (n, s)),
+cover AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM hits) GROUP BY 1),
+found AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT r, item_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY 1),
+tok AS (SELECT r, unnest(w) AS term, unnest(range(len(w))) AS p FROM d),
+freq AS (SELECT term, count(*) AS n FROM tok GROUP BY 1),
+parts AS (SELECT rw, item_id, a0, a0 + i AS o, term, coalesce(n, 0) AS n, i FROM (SELECT rw, item_id, a0, unnest(x) AS term, unnest(range(len(x))) AS i FROM bw) LEFT JOIN freq USING (term)),
+need AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rw, a0 ORDER BY n, term, i) AS k FROM parts) WHERE k <= 2),
+posts AS (SELECT rw, a0, item_id, k, r, p - o AS line FROM need JOIN tok USING (term)),
+near AS (SELECT DISTINCT x.r, x.item_id FROM posts x JOIN posts y ON x.rw = y.rw AND x.a0 = y.a0 AND x.r = y.r AND x.k = 1 AND y.k = 2 AND y.line BETWEEN x.line - 2 AND x.line + 2),
+only_near AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM (SELECT r, item_id FROM near EXCEPT SELECT r, item_id FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r) LEFT JOIN only_near USING (r)
+"""
+
+MIX = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][(k - 1) % 3 + 1] AS DOUBLE) AS weight, CAST(source_size * 2 AS DOUBLE) AS most FROM s),
+o AS (SELECT *, most / weight AS ratio FROM w),
+l AS (SELECT *, (1.5 * CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(most) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level, row_number() OVER (ORDER BY ratio, source NULLS LAST) AS n FROM o),
+f AS (SELECT level AS found FROM l WHERE level <= ratio ORDER BY n LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN found IS NULL THEN most ELSE least(most, found * weight) END AS target FROM l LEFT JOIN f ON true),
+e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(CAST(floor(target / source_size) AS BIGINT), 2) END AS epochs FROM t),
+p AS (SELECT d.r, d.doc_id, d.size, e.source_size, e.target, e.epochs, CAST(floor(e.target) AS BIGINT) - e.epochs * e.source_size AS rest,
+ sum(d.size) OVER (PARTITION BY d.source, d.key) AS here, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS upto FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + CASE WHEN upto <= rest THEN size WHEN upto - here < rest THEN floor((rest - (upto - here)) * size / here) ELSE 0 END AS BIGINT) AS taken FROM p
+"""
+
+TEMPLATE_ROWS = ", ".join(f"({n}, '{label}', '{text}')" for n, (label, text) in enumerate(TEMPLATES))
+PHRASE_ROWS = ", ".join(f"('{text}', '{label}')" for text, label in PHRASES.items())
+LICENSES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TOKENS} AS w FROM documents),
+ph AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {PHRASE_ROWS}) v(p, label)),
+base AS (SELECT r, i, label FROM (SELECT r, w, p, label, unnest(range(len(w) - len(p) + 1)) AS i FROM d, ph WHERE len(w) >= len(p) AND list_contains(w, p[1])) WHERE w[i + 1 : i + len(p)] = p),
+b AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS base FROM base GROUP BY 1),
+t AS (SELECT template, label, string_split(body, ' ') AS w FROM (VALUES {TEMPLATE_ROWS}) v(template, label, body)),
+tg AS (SELECT template, label, len(w) AS n, a0, array_to_string(w[a0 + 1 : a0 + {K}], ' ') AS g FROM (SELECT *, unnest(range(len(w) - {K} + 1)) AS a0 FROM t)),
+dg AS (SELECT r, i, array_to_string(w[i + 1 : i + {K}], ' ') AS g FROM (SELECT r, w, unnest(range(len(w) - {K} + 1)) AS i FROM d WHERE len(w) >= {K})),
+v AS (SELECT r, template, label, n, a0, i - a0 AS diagonal FROM dg JOIN tg USING (g)),
+q AS (SELECT DISTINCT r, template, diagonal FROM v),
+q2 AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o > {SLACK} THEN 1 ELSE 0 END AS apart FROM q WINDOW o AS (PARTITION BY r, template ORDER BY diagonal)),
+q3 AS (SELECT r, template, diagonal, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS band FROM q2),
+c AS (SELECT r, template, label, n, band, count(DISTINCT a0 + o) AS covered FROM (SELECT v.*, band, unnest(range({K})) AS o FROM v JOIN q3 USING (r, template, diagonal)) GROUP BY r, template, label, n, band),
+ok AS (SELECT r, list(DISTINCT label) AS own, max(covered / n) AS cover FROM c WHERE covered / n >= {MIN_COVER} GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(base, ','), '') AS base_labels,
+ coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(own, [])))), ','), '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(cover, 0.0) END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN ok USING (r)
+"""
+
+SQL: dict[str, str] = {
+    "op1_substring_dedup": SUBSTRING,
+    "op2_line_dedup": LINES,
+    "op3_quality_rules": QUALITY,
+    "op4_decontaminate": CONTAMINATION,
+    "op9_mix_sources": MIX,
+    "op10_license_scan": LICENSES,
+}
