@@ -8,7 +8,9 @@ or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts
 and only the article is kept where a page has one (else its main element, else its body).
 
 Pages of equal content count once per host, so copies of an article don't turn it into a template. Counts are aggregated
-before the shuffle; a host with a third of all pages is spread by subtree.
+before the shuffle; a host with a third of all pages is spread by subtree. Texts are never shuffled: a host's template,
+at most a few subtrees for each 1 / min_share of a page, is broadcast to the parsed pages if the table of all templates
+is counted to be small, and joined by host otherwise.
 
 Cases: a null or empty html gives the empty text. A null url is a host of its own. Repeated rows and equal ids are pages
 of their own and get equal texts. Broken markup is read as browsers do, roughly: unknown end tags are ignored, open
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, value_key, written
+from .common import small, written
 
 MIN_PAGES, MIN_SHARE, TEMPLATE_WORDS = 5, 0.2, 5
 #: Names of HTML elements and what class names of page furniture are made of.
@@ -132,11 +134,11 @@ class Page(HTMLParser):
             self.elements.append([h - 2**63, first, len(self.blocks), words])
 
 
-PARSED = pa.schema([
-    ("k1", pa.int64()), ("k2", pa.int64()), ("digest", pa.int64()), ("blocks", pa.list_(pa.string())), ("wanted", pa.list_(pa.bool_())),
+PARSED = [
+    ("digest", pa.int64()), ("blocks", pa.list_(pa.string())), ("wanted", pa.list_(pa.bool_())),
     ("elements", pa.list_(pa.struct([("h", pa.int64()), ("first", pa.int32()), ("upto", pa.int32())]))),
-])
-PARSED_DDL = "k1 long, k2 long, digest long, blocks array<string>, wanted array<boolean>, elements array<struct<h: long, first: int, upto: int>>"
+]
+PARSED_DDL = "digest long, blocks array<string>, wanted array<boolean>, elements array<struct<h: long, first: int, upto: int>>"
 
 
 def parsed(html: str | None) -> tuple[int, list[str], list[bool], list[dict]]:
@@ -154,11 +156,13 @@ def parsed(html: str | None) -> tuple[int, list[str], list[bool], list[dict]]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own = ["id", "url", "host"]
     for batch in batches:
-        k1, k2, htmls = (batch.column(c) for c in ("k1", "k2", "html"))
+        htmls = batch.column("html")
         for at in range(0, len(htmls), 200):
             cols = list(zip(*(parsed(h.as_py()) for h in htmls[at : at + 200])))
-            yield pa.RecordBatch.from_arrays([k1[at : at + 200], k2[at : at + 200], *[pa.array(c, t) for c, t in zip(cols, PARSED.types[2:])]], schema=PARSED)
+            arrays = [*[batch.column(c)[at : at + 200] for c in own], *[pa.array(c, t) for c, (_, t) in zip(cols, PARSED)]]
+            yield pa.RecordBatch.from_arrays(arrays, [*own, *[name for name, _ in PARSED]])
 
 
 def host(url: Column) -> Column:
@@ -168,24 +172,21 @@ def host(url: Column) -> Column:
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text) for every row. A subtree is template if it stands in min_pages different pages of its host or
     more, and in min_share of them."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    rows = rows.select(*value_key("id", "url", "html"), "id", "url", "html", host(F.col("url")).alias("host"))
-    parts = rows.select("k1", "k2", "html").mapInArrow(_parse, PARSED_DDL)
-    # mapInArrow drops the other columns; equal rows have equal keys, so the key leads back to them
-    parts = written(parts.dropDuplicates(["k1", "k2"]), "pages-parsed")
-    hosts = rows.select("k1", "k2", "host").distinct()
-    seen = parts.select("k1", "k2", "digest", F.array_distinct(F.transform("elements", lambda e: e["h"])).alias("hs")).join(hosts, ["k1", "k2"])
-    seen = written(seen.groupBy("host", "digest").agg(F.first("hs").alias("hs")), "pages-subtrees")
+    kind = pages.schema[id_col].dataType.simpleString()
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    parts = written(rows.mapInArrow(_parse, f"id {kind}, url string, host string, {PARSED_DDL}"), "pages-parsed")
+    hashes = F.array_distinct(F.transform("elements", lambda e: e["h"])).alias("hs")
+    seen = parts.select("host", "digest", hashes).groupBy("host", "digest").agg(F.first("hs").alias("hs"))
     sizes = seen.groupBy("host").agg(F.count("*").alias("pages"))
     counts = seen.select("host", F.explode("hs").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    templates = counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "h")
+    templates = counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(F.collect_list("h").alias("template"))
     templates = small(written(templates, "page-templates"))
 
-    found = parts.join(hosts, ["k1", "k2"]).select("k1", "k2", "host", F.explode("elements").alias("e")).select("k1", "k2", "host", "e.*").join(templates, ["host", "h"])
-    gone = found.groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", F.col("upto") - 1)))).alias("gone"))
-    kept = parts.select("k1", "k2", "blocks", "wanted").join(gone, ["k1", "k2"], "left")
+    both = parts.join(templates, "host", "left")
+    spans = F.filter("elements", lambda e: F.array_contains("template", e["h"]))
+    gone = F.array_distinct(F.flatten(F.transform(spans, lambda e: F.sequence(e["first"], e["upto"] - 1))))
+    both = both.select("id", "url", "blocks", "wanted", F.when(F.col("template").isNotNull(), gone).alias("gone"))
     numbered = F.filter(F.transform("blocks", lambda b, i: F.struct(b.alias("b"), i.cast("int").alias("i"), F.get("wanted", i).alias("w"))), lambda x: x["w"])
     left = F.filter(numbered, lambda x: F.col("gone").isNull() | ~F.array_contains("gone", x["i"]))
-    texts = kept.select("k1", "k2", F.array_join(F.transform(left, lambda x: x["b"]), "\n").alias("text"))
-    out = rows.select("k1", "k2", "id", "url").join(texts, ["k1", "k2"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.array_join(F.transform(left, lambda x: x["b"]), "\n")
+    return both.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"))
