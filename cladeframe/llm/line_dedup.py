@@ -53,8 +53,10 @@ def removed_lines(docs: DataFrame, width: int, id_col: str, text_col: str) -> Da
 
 
 def dedup_lines(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", mark: str = "n_removed") -> DataFrame:
-    """The columns of docs with the text that stays, and the number of lines removed in column `mark`."""
+    """The columns of docs with the text that stays, and the number of lines removed in column `mark` (line_`mark` if docs
+    has one of that name)."""
     names = docs.columns
+    mark = f"line_{mark}" if mark in names else mark
     removed = removed_lines(docs, width, id_col, text_col)
     rows = docs.select(*value_key(id_col, text_col), F.struct(*[docs[c] for c in names]).alias("row"))
     out = rows.join(removed.hint("shuffle_hash"), ["k1", "k2"], "left")

@@ -99,7 +99,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share:
     """The mix itself: the columns of docs, one row per document and epoch, and `epoch` and `words`, the words it takes.
 
     The text of the one document that a source's budget cuts is shortened to these words, joined by one space.
-    docs must not have columns named epoch or words.
+    If docs has a column of one of these names, the new one is mix_epoch or mix_words.
     """
     names = docs.columns
     _, cuts = mix_cuts(docs, weights, share, max_epochs, seed, id_col, text_col, source_col)
@@ -112,4 +112,4 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share:
     text = F.col("row")[text_col]
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")), " ")
     kept = F.when(F.col("words") < F.col("size"), cut).otherwise(text)
-    return out.select(*[kept.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names], "epoch", "words")
+    return out.select(*[kept.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names], *[F.col(c).alias(f"mix_{c}" if c in names else c) for c in ("epoch", "words")])

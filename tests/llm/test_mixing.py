@@ -77,3 +77,8 @@ def test_documents(edge_docs, edge_rows):
     assert mixed.agg({"words": "sum"}).first()[0] == plan.agg({"taken": "sum"}).first()[0]
     assert all(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) == r.words for r in mixed.collect())
     assert len(rows) < len(edge_rows)
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 9)], "doc_id long, text string, source string, words int")
+    assert mix_documents(docs).columns == ["doc_id", "text", "source", "words", "epoch", "mix_words"]
