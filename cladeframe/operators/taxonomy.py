@@ -6,15 +6,21 @@ Lineages come from parent links by recursive SQL, or from a stored ancestor list
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _unlimited(spark: SparkSession) -> SparkSession:
+    """Recursive SQL stops at a million rows by default, which is too few for many taxa."""
+    spark.conf.set("spark.sql.cteRecursionRowLimit", -1)
+    return spark
+
+
 def resolve_merged(ids: DataFrame, merged: DataFrame, nodes: DataFrame, most: int = 20) -> DataFrame:
     """(taxid, resolved_taxid): redirects followed; null where the end is no node, or redirects form a cycle (`most` hops)."""
     out = ids.select("taxid").distinct().withColumn("at", F.col("taxid"))
     hop = merged.select(F.col("taxid_old").alias("at"), F.col("taxid_new").alias("next"))
-    spark = ids.sparkSession
+    spark = _unlimited(ids.sparkSession)
     out.createOrReplaceTempView("_start"), hop.createOrReplaceTempView("_hop")
     walked = spark.sql(f"""
         WITH RECURSIVE walk(taxid, at, hops) AS (
@@ -28,7 +34,7 @@ def resolve_merged(ids: DataFrame, merged: DataFrame, nodes: DataFrame, most: in
 
 def lineages(nodes: DataFrame, ids: DataFrame, depth: int = 90) -> DataFrame:
     """(taxid, depth, anc, rank, name) for the ids, from nodes(taxid, parent, rank, name); the root is its own parent."""
-    spark = nodes.sparkSession
+    spark = _unlimited(nodes.sparkSession)
     nodes.select("taxid", "parent", "rank", "name").createOrReplaceTempView("_nodes")
     ids.select("taxid").distinct().createOrReplaceTempView("_ids")
     return spark.sql(f"""
