@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """Folder that driver and executors share: spark.checkpoint.dir, or one of our own in local mode where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-scratch-', dir='/tmp')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -38,9 +41,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it is counted to hold few rows; otherwise Spark shuffles it. Give a written table."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHARS) -> DataFrame:
+    """df with a broadcast hint if it is measured to hold few rows and little text; otherwise Spark shuffles it. Give a
+    written table."""
+    n, size = df.limit(rows + 1).agg(F.count("*"), F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()
+    return F.broadcast(df) if n <= rows and (size or 0) <= chars else df
 
 
 def value_key(*cols: str) -> list[Column]:
