@@ -13,8 +13,8 @@ from cladeframe.llm.common import WORD, table, written
 from cladeframe.llm.decontaminate import drop_contaminated
 from cladeframe.llm.line_dedup import dedup_lines
 from cladeframe.llm.mixing import mix_documents
+from cladeframe.llm.near_copies import keep_one
 from cladeframe.llm.quality import keep_good
-from cladeframe.llm.simhash import keep_one
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -34,8 +34,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return keep_one(docs)
+    """One document of each group of near copies stays: those linked by sharing 0.8 of their five-word shingles or more."""
+    return keep_one(docs, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
