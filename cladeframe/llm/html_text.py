@@ -5,7 +5,12 @@ children) and the blocks it spans. Spark counts, per host, the different pages t
 across many of a host's pages are its template, and their blocks go. A subtree counts only if it has TEMPLATE_WORDS words
 or more, so that short sentences which happen to recur stay; a menu counts as a whole. Besides, elements which by tag, role
 or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments are left out,
-and only the article is kept where a page has one (else its main element, else its body).
+and only the article is kept where a page has one (else its main element, else its body). Class names count as whole
+names or by their parts between - and _ ("cookie-banner"), but not where a part says that the element merely has or goes
+with furniture ("has-sidebar", "with-sidebar", "comments-open"), and never on html or body. Text of unwanted inline
+elements goes, that around them stays. If all articles and main elements stand in furniture, but in no menu, aside, footer
+or hidden element, and hold more text than is left outside, what surrounds them is a wrapper and they are kept. If nothing
+is left at all, forms are taken for wrappers.
 
 Pages of equal content count once per host, so copies of an article don't turn it into a template. Counts are aggregated
 before the shuffle; a host with a third of all pages is spread by subtree. Texts are never shuffled: a host's template,
@@ -43,12 +48,17 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
+#: Where a class name never makes furniture of it: the page itself.
+WHOLE = frozenset("html body".split())
+STATES = frozenset("has with without no is not open opened closed enabled disabled".split())
+HARD = frozenset("nav footer aside dialog menu".split())
 NAME = re.compile(r"[a-z]+")
 BLANK = re.compile(r"\s+")
 
 
 class Page(HTMLParser):
-    """blocks: [text, wanted by tag and class, inside an article, inside main]; elements: [hash, first block, end block, words]."""
+    """blocks: [text, wanted by tag and class, inside an article, inside main, wanted
+    if wrappers of articles are, wanted if forms are]; elements: [hash, first block, end block, words]."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -56,8 +66,11 @@ class Page(HTMLParser):
         self.elements: list[list] = []
         self.text: list[str] = []
         self.number: Counter[str] = Counter()  # of open elements by tag
-        #: open elements: tag, name for the hash, first block, hash parts, unseen, furniture, in article, in main
-        self.open: list[list] = [["", "", 0, [], False, False, False, False]]
+        #: open elements: tag, name for the hash, first block, hash parts, unseen, furniture, in article, in main, furniture
+        #: within the outermost article or main (None: in neither or in hard furniture), furniture but for forms, in hard
+        #: furniture, unwanted inline
+        self.open: list[list] = [["", "", 0, [], False, False, False, False, None, False, False, False]]
+        self.level = [self.open[0]]  # for each open element the innermost that isn't inline
         self.feed(html)
         self.close()
         while len(self.open) > 1:
@@ -68,9 +81,9 @@ class Page(HTMLParser):
         text = BLANK.sub(" ", "".join(self.text)).strip()
         self.text = []
         if text:
-            top = self.open[-1]
-            top[3].append(text)
-            self.blocks.append([text, not top[5], top[6], top[7]])
+            top = self.level[-1]
+            self.open[-1][3].append(text)
+            self.blocks.append([text, not top[5], top[6], top[7], top[8] is False, not top[9]])
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
@@ -87,13 +100,21 @@ class Page(HTMLParser):
             return
         top = self.open[-1]
         known = {k: (v or "").lower() for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
-        names = NAME.findall(f"{known.get('class', '')} {known.get('id', '')}") if known else []
+        names = [] if tag in WHOLE or not known else [NAME.findall(n) for n in f"{known.get('class', '')} {known.get('id', '')}".split()]
+        names = [n for parts in names if STATES.isdisjoint(parts) for n in parts]
         article = top[6] or tag == "article"
         hidden = "hidden" in known or known.get("aria-hidden") == "true" or "display:none" in known.get("style", "").replace(" ", "")
-        furniture = top[5] or tag in FURNITURE or hidden or known.get("role") in ROLES or any(n in CLASSES for n in names) or ((tag == "header" or "header" in names) and not article)
+        own = hidden or known.get("role") in ROLES - {"form"} or (tag in FURNITURE and tag != "form") or any(n in CLASSES for n in names) or ((tag == "header" or "header" in names) and not article)
+        furniture = top[5] or own or tag == "form" or known.get("role") == "form"
         main = top[7] or tag == "main" or known.get("role") == "main"
+        hard = top[10] or hidden or tag in HARD or known.get("role") in ROLES - {"form"}
+        inside = None
+        if top[8] is not None or ((tag in ("article", "main") or known.get("role") == "main") and not hard):
+            inside = bool(top[8] or own or tag == "form" or known.get("role") == "form")
+        inline = tag not in BLOCK and tag not in UNSEEN and tag not in WHOLE
         self.number[tag] += 1
-        self.open.append([tag, f"{tag}.{known.get('class', '')}", len(self.blocks), [], top[4] or tag in UNSEEN, furniture, article and not furniture, main])
+        self.open.append([tag, f"{tag}.{known.get('class', '')}", len(self.blocks), [], top[4] or tag in UNSEEN, furniture, article and not furniture, main, inside, top[9] or own, hard, inline and (top[11] or own)])
+        self.level.append(self.level[-1] if inline else self.open[-1])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -109,7 +130,7 @@ class Page(HTMLParser):
             self.pop()
 
     def handle_data(self, data: str) -> None:
-        if not self.open[-1][4]:
+        if not self.open[-1][4] and not self.open[-1][11]:
             self.text.append(data)
 
     def end_open(self, tags: set, within: set) -> None:
@@ -126,6 +147,7 @@ class Page(HTMLParser):
         if self.open[-1][0] in BLOCK or self.open[-1][0] in UNSEEN:
             self.flush()
         tag, name, first, parts, *_ = self.open.pop()
+        self.level.pop()
         self.number[tag] -= 1
         h = xxhash.xxh64_intdigest("\x00".join([name, *parts]).encode("utf-8", "surrogatepass"))
         self.open[-1][3].append(f"\x01{h}")
@@ -146,6 +168,13 @@ def parsed(html: str | None) -> tuple[int, list[str], list[bool], list[dict]]:
     article = any(b[1] and b[2] for b in page.blocks)
     main = not article and any(b[1] and b[3] for b in page.blocks)
     wanted = [bool(b[1] and (b[2] if article else b[3] if main else True)) for b in page.blocks]
+    if not article and not main:
+        size = lambda own: sum(len(b[0]) for b, w in zip(page.blocks, own) if w)
+        wrapped = [b[4] for b in page.blocks]
+        if size(wrapped) > size(wanted):
+            wanted = wrapped
+        elif not any(wanted):
+            wanted = [b[5] for b in page.blocks]
     texts = [b[0] for b in page.blocks]
     digest = xxhash.xxh64_intdigest("\n".join(texts).encode()) - 2**63
     elements = {}

@@ -28,6 +28,22 @@ def test_parse():
     assert text_of("<table><tr><td>a<td>b<tr><td>c</table>") == "a b\nc"
 
 
+def test_wrappers_keep_the_article():
+    body = "<article><p>the story</p><div class='ad'>buy</div></article>"
+    for page in (
+        f'<body class="has-sidebar comments-open">{body}</body>', f'<div class="layout with-sidebar">{body}</div>', f"<form>{body}</form>", f'<div class="widget">{body}</div><p>c</p>',
+        '<body class="sidebar"><p>the story</p><div class="cookie-banner">ok</div></body>', "<form><p>the story</p><nav>menu</nav></form>",
+    ):
+        assert text_of(page) == "the story", page
+    assert text_of("<p>the story</p><aside><article>a teaser that is longer than the story</article></aside>") == "the story"
+
+
+def test_inline_furniture_goes():
+    assert text_of('<p>text <span class="ad">Buy now</span></p>') == "text"
+    assert text_of('<p>a <span hidden>x <b>y</b></span>b</p>') == "a b"
+    assert text_of('<div>text <span class="ad">x<div>y</div></span> end</div>') == "text\nend"
+
+
 def test_template_removal(spark):
     page = lambda i: f"<body><div>Every page of this site says this same sentence</div><div><p>story number {i} is told here</p><p>Yes.</p></div></body>"
     rows = [(i, f"http://a.org/{i}", page(i)) for i in range(8)] + [(100 + i, "http://a.org/x", page(99)) for i in range(30)] + [(200, "https://b.org", page(1)), (200, None, page(2)), (200, None, page(2)), (None, "u", None)]
