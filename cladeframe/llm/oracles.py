@@ -73,7 +73,9 @@ freq AS (SELECT term, count(*) AS n FROM tok GROUP BY 1),
 parts AS (SELECT rw, item_id, a0, a0 + i AS o, term, coalesce(n, 0) AS n, i FROM (SELECT rw, item_id, a0, unnest(x) AS term, unnest(range(len(x))) AS i FROM bw) LEFT JOIN freq USING (term)),
 need AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rw, a0 ORDER BY n, term, i) AS k FROM parts) WHERE k <= 2),
 posts AS (SELECT rw, a0, item_id, k, r, p - o AS line FROM need JOIN tok USING (term)),
-near AS (SELECT DISTINCT x.r, x.item_id FROM posts x JOIN posts y ON x.rw = y.rw AND x.a0 = y.a0 AND x.r = y.r AND x.k = 1 AND y.k = 2 AND y.line BETWEEN x.line - 2 AND x.line + 2),
+maybe AS (SELECT DISTINCT x.rw, x.a0, x.item_id, x.r, x.line FROM posts x JOIN posts y ON x.rw = y.rw AND x.a0 = y.a0 AND x.r = y.r AND x.k = 1 AND y.k = 2 AND y.line BETWEEN x.line - 2 AND x.line + 2),
+lens AS (SELECT rw, a0, count(*) AS size FROM parts GROUP BY ALL),
+near AS (SELECT DISTINCT r, item_id FROM (SELECT m.r, m.item_id, m.rw, m.a0, m.line, count(DISTINCT parts.o) AS met FROM maybe m JOIN parts USING (rw, a0) JOIN tok ON tok.r = m.r AND tok.term = parts.term AND tok.p - parts.o BETWEEN m.line - 2 AND m.line + 2 GROUP BY ALL) JOIN lens USING (rw, a0) WHERE met >= 0.8 * size),
 only_near AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM (SELECT r, item_id FROM near EXCEPT SELECT r, item_id FROM hits) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
 FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r) LEFT JOIN only_near USING (r)
