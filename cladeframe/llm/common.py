@@ -49,6 +49,14 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHAR
     return F.broadcast(df) if n <= rows and (size or 0) <= chars else df
 
 
+def free_name(names: list[str], name: str) -> str:
+    """name, with underscores until none of names equals it in any case."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def value_key(*cols: str) -> list[Column]:
     """128 bits that name a row by its values: equal rows have equal keys, whatever task reads them."""
     return [F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit(7), *reversed([F.col(c) for c in cols])).alias("k2")]

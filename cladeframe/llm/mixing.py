@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small, word_count, written
+from .common import small, word_count, words, written
 
 DIGITS = (3, 6, 32)
 
@@ -110,6 +110,6 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share:
     out = out.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))))
     out = out.withColumn("words", F.least("size", F.col("taken") - (F.col("epoch") - 1) * F.col("size")))
     text = F.col("row")[text_col]
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")), " ")
+    cut = F.array_join(F.slice(words(text), 1, F.col("words").cast("int")), " ")
     kept = F.when(F.col("words") < F.col("size"), cut).otherwise(text)
     return out.select(*[kept.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in names], *[F.col(c).alias(f"mix_{c}" if c in names else c) for c in ("epoch", "words")])

@@ -4,7 +4,7 @@ Substring dedup by bytes, PII, HTML extraction and SimHash are not here: tests h
 """
 
 from .licenses import K, MIN_COVER, PHRASES, SLACK, TEMPLATES
-from .quality import MAX_REPEAT_PERCENT, MENU, MENU_CHARS, MIN_WORDS, NOTICE, NOTICE_CHARS, PROSE_WORDS, SENTENCE_END, SEPARATORS, SYMBOLS
+from .quality import CAPITAL, FUNCTION_WORD, ITEM, LIST_WORDS, MAX_REPEAT_PERCENT, MENU, MENU_CHARS, MIN_WORDS, NOTICE, NOTICE_CHARS, PROSE_WORDS, SENTENCE_END, SEPARATORS, SHOUT, SYMBOLS
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -41,15 +41,19 @@ s AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE out) AS n_remov
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
-WORD_COUNT, SYMBOL_COUNT = count(r"[^\x20\x09-\x0D]+"), count(SYMBOLS)
-FAILS = f"""(NOT regexp_matches(x, {quoted(SENTENCE_END)}) AND {WORD_COUNT} < {PROSE_WORDS}) OR ({SYMBOL_COUNT} >= 3 AND 2 * {SYMBOL_COUNT} > {WORD_COUNT})
- OR (2 * {count(r"\p{Lu}")} > length(x) AND {WORD_COUNT} >= 3) OR {count(SEPARATORS)} >= 3 OR (length(x) <= {MENU_CHARS} AND regexp_matches(lower(x), {quoted(MENU)}))
+ENDS = f"regexp_matches(x, {quoted(SENTENCE_END)})"
+FAILS = f"""(n >= 3 AND 2 * {count(CAPITAL)} > length(x)) OR ({count(SYMBOLS)} >= 3 AND 2 * {count(SYMBOLS)} > n) OR ({count(SHOUT)} >= 3 AND 2 * {count(SHOUT)} > n)
+ OR {count(SEPARATORS)} >= 3 OR (length(x) <= {MENU_CHARS} AND regexp_matches(lower(x), {quoted(MENU)})) OR (n >= {LIST_WORDS} AND NOT {ENDS} AND NOT regexp_matches(lower(x), {quoted(FUNCTION_WORD)}))
  OR (length(x) <= {NOTICE_CHARS} AND regexp_matches(lower(x), {quoted(NOTICE)}))"""
+SHORT = f"n > 0 AND n < {PROSE_WORDS} AND NOT {ENDS} AND NOT regexp_matches(x, {quoted(ITEM)})"
 QUALITY = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 e AS (SELECT r, doc_id, text, {WORDS} AS w FROM d),
-lines AS (SELECT r, i, l, trim(l, {SPACE}) AS x FROM (SELECT r, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM d)),
-j AS (SELECT r, count(*) FILTER (WHERE x <> '') - count(DISTINCT l) FILTER (WHERE x <> '') AS n_dup_lines, string_agg(l, chr(10) ORDER BY i) FILTER (WHERE x = '' OR NOT ({FAILS})) AS kept_text FROM lines GROUP BY 1),
+lines AS (SELECT r, i, l, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT r, i, l, trim(l, {SPACE}) AS x FROM (SELECT r, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM d))),
+facts AS (SELECT r, i, l, x, x <> '' AND ({FAILS}) AS fails, {SHORT} AS short FROM lines),
+runs AS (SELECT r, i, l, x, fails OR (short AND ((coalesce(lag(short, 1) OVER o, false) AND coalesce(lag(short, 2) OVER o, false)) OR (coalesce(lag(short, 1) OVER o, false) AND coalesce(lead(short, 1) OVER o, false))
+ OR (coalesce(lead(short, 1) OVER o, false) AND coalesce(lead(short, 2) OVER o, false)))) AS gone FROM facts WINDOW o AS (PARTITION BY r ORDER BY i)),
+j AS (SELECT r, count(*) FILTER (WHERE x <> '') - count(DISTINCT l) FILTER (WHERE x <> '') AS n_dup_lines, string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS kept_text FROM runs GROUP BY 1),
 g AS (SELECT r, k, w[k + 1] || ' ' || w[k + 2] || ' ' || w[k + 3] AS s FROM (SELECT r, w, unnest(range(len(w) - 2)) AS k FROM e WHERE len(w) >= 3)),
 t AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, s) AS c FROM g) WHERE c > 1),
 m AS (SELECT r, count(DISTINCT k + o) AS n FROM (SELECT r, k, unnest(range(3)) AS o FROM t) GROUP BY 1),
