@@ -3,7 +3,9 @@
 Substring dedup by bytes, PII, HTML extraction and SimHash are not here: tests hold them against brute force.
 """
 
-from .licenses import K, MIN_COVER, PHRASES, SLACK, TEMPLATES
+import re
+
+from .licenses import MIN_COVER, PHRASES, notices, parsed
 from .quality import CAPITAL, FUNCTION_WORD, ITEM, LIST_WORDS, MAX_REPEAT_PERCENT, MENU, MENU_CHARS, MIN_WORDS, NOTICE, NOTICE_CHARS, PROSE_WORDS, SENTENCE_END, SEPARATORS, SHOUT, SYMBOLS
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -99,22 +101,21 @@ p AS (SELECT d.r, d.doc_id, d.size, e.source_size, e.target, e.epochs, CAST(floo
 SELECT doc_id, size, source_size, target, CAST(epochs * size + CASE WHEN upto <= rest THEN size WHEN upto - here < rest THEN floor((rest - (upto - here)) * size / here) ELSE 0 END AS BIGINT) AS taken FROM p
 """
 
-TEMPLATE_ROWS = ", ".join(f"({n}, '{label}', '{text}')" for n, (label, text) in enumerate(TEMPLATES))
+TEMPLATE_ROWS = ", ".join(f"({n}, '{label}', '{' '.join(parsed(body, 3)[0])}', '{' '.join(re.findall(r'\\[(.*)\\]', body))}')" for n, (label, body) in enumerate(notices()))
 PHRASE_ROWS = ", ".join(f"('{text}', '{label}')" for text, label in PHRASES.items())
+#: Notices by another way than voting: each template aligned word by word at every place where three words of it in a row
+#: stand in the text, with none inserted or missing; a share of its words may differ, the name may not.
 LICENSES = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TOKENS} AS w FROM documents),
 ph AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {PHRASE_ROWS}) v(p, label)),
 base AS (SELECT r, i, label FROM (SELECT r, w, p, label, unnest(range(len(w) - len(p) + 1)) AS i FROM d, ph WHERE len(w) >= len(p) AND list_contains(w, p[1])) WHERE w[i + 1 : i + len(p)] = p),
 b AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS base FROM base GROUP BY 1),
-t AS (SELECT template, label, string_split(body, ' ') AS w FROM (VALUES {TEMPLATE_ROWS}) v(template, label, body)),
-tg AS (SELECT template, label, len(w) AS n, a0, array_to_string(w[a0 + 1 : a0 + {K}], ' ') AS g FROM (SELECT *, unnest(range(len(w) - {K} + 1)) AS a0 FROM t)),
-dg AS (SELECT r, i, array_to_string(w[i + 1 : i + {K}], ' ') AS g FROM (SELECT r, w, unnest(range(len(w) - {K} + 1)) AS i FROM d WHERE len(w) >= {K})),
-v AS (SELECT r, template, label, n, a0, i - a0 AS diagonal FROM dg JOIN tg USING (g)),
-q AS (SELECT DISTINCT r, template, diagonal FROM v),
-q2 AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o > {SLACK} THEN 1 ELSE 0 END AS apart FROM q WINDOW o AS (PARTITION BY r, template ORDER BY diagonal)),
-q3 AS (SELECT r, template, diagonal, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS band FROM q2),
-c AS (SELECT r, template, label, n, band, count(DISTINCT a0 + o) AS covered FROM (SELECT v.*, band, unnest(range({K})) AS o FROM v JOIN q3 USING (r, template, diagonal)) GROUP BY r, template, label, n, band),
-ok AS (SELECT r, list(DISTINCT label) AS own, max(covered / n) AS cover FROM c WHERE covered / n >= {MIN_COVER} GROUP BY 1)
+t AS (SELECT template, label, string_split(body, ' ') AS w, name FROM (VALUES {TEMPLATE_ROWS}) v(template, label, body, name)),
+tg AS (SELECT template, array_to_string(w[a0 + 1 : a0 + 3], ' ') AS g, a0 FROM (SELECT template, w, unnest(range(len(w) - 2)) AS a0 FROM t)),
+dg AS (SELECT r, i, array_to_string(w[i + 1 : i + 3], ' ') AS g FROM (SELECT r, w, unnest(range(len(w) - 2)) AS i FROM d WHERE len(w) >= 3)),
+pl AS (SELECT DISTINCT r, template, i - a0 AS s FROM dg JOIN tg USING (g)),
+al AS (SELECT pl.r, pl.template, s, label, len(t.w) AS n, name, list_filter(range(len(t.w)), lambda q: s + q >= 0 AND d.w[s + q + 1] = t.w[q + 1]) AS same, array_to_string(d.w[greatest(s, 0) + 1 : s + len(t.w)], ' ') AS span FROM pl JOIN d USING (r) JOIN t USING (template)),
+ok AS (SELECT r, list(DISTINCT label) AS own, max(len(same) / n) AS cover FROM al WHERE len(same) / n >= {MIN_COVER} AND contains(' ' || span || ' ', ' ' || name || CASE WHEN name = '' THEN '' ELSE ' ' END) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(base, ','), '') AS base_labels,
  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(own, [])))), ','), '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(cover, 0.0) END AS score
 FROM d LEFT JOIN b USING (r) LEFT JOIN ok USING (r)
