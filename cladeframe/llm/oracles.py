@@ -101,7 +101,7 @@ p AS (SELECT d.r, d.doc_id, d.size, e.source_size, e.target, e.epochs, CAST(floo
 SELECT doc_id, size, source_size, target, CAST(epochs * size + CASE WHEN upto <= rest THEN size WHEN upto - here < rest THEN floor((rest - (upto - here)) * size / here) ELSE 0 END AS BIGINT) AS taken FROM p
 """
 
-TEMPLATE_ROWS = ", ".join(f"({n}, '{label}', '{' '.join(parsed(body, 3)[0])}', '{' '.join(re.findall(r'\\[(.*)\\]', body))}')" for n, (label, body) in enumerate(notices()))
+TEMPLATE_ROWS = ", ".join(f"({n}, '{label}', '{' '.join(parsed(body, 3)[0])}', '{' '.join(re.findall(r'\[(.*)\]', body))}')" for n, (label, body) in enumerate(notices()))
 PHRASE_ROWS = ", ".join(f"('{text}', '{label}')" for text, label in PHRASES.items())
 #: Notices by another way than voting: each template aligned word by word at every place where three words of it in a row
 #: stand in the text, with none inserted or missing; a share of its words may differ, the name may not.

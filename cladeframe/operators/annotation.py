@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.store import numbered
+
 from cladeframe.functions.text import AMINO, exact, normalized_protein
 
 POLICIES = ("duplicate", "drop", "error")
@@ -35,8 +37,8 @@ def representatives(members: DataFrame, group: str = "orthogroup", gene: str = "
 
 
 def batch_labels(df: DataFrame, order: str, size: int) -> DataFrame:
-    """batch_00000 and so on by position among the rows, in order. For tables of groups: the order is global."""
-    return df.withColumn("batch", F.format_string("batch_%05d", F.floor((F.row_number().over(Window.orderBy(order)) - 1) / size).cast("int")))
+    """batch_00000 and so on by position among the rows, in order."""
+    return numbered(df, [order], "__at").withColumn("batch", F.format_string("batch_%05d", F.floor(F.col("__at") / size).cast("int"))).drop("__at")
 
 
 def hit_status(genes: DataFrame, hits: DataFrame, gene: str = "gene_id", ko: str = "ko", status: str = "assignment_status") -> DataFrame:

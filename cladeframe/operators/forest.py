@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.store import numbered, stored
+
 
 def tips(nodes: DataFrame) -> DataFrame:
     inner = nodes.where("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id")).distinct()
@@ -45,10 +47,11 @@ def tree_problems(nodes: DataFrame, expected: DataFrame | None = None) -> DataFr
     children = nodes.where("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.count("*").alias("n"))
     found = found.union(children.where("n <> 2").select("tree_id", F.lit("not_binary")).distinct())
     if expected is not None:
-        have = tips(nodes).select("tree_id", F.col("name").alias("tip"))
-        want = have.select("tree_id").distinct().crossJoin(expected.select("tip").distinct())  # of the size of all tip sets
-        found = found.union(want.join(have, ["tree_id", "tip"], "left_anti").select("tree_id", F.lit("missing_tip")).distinct())
-        found = found.union(have.join(want, ["tree_id", "tip"], "left_anti").select("tree_id", F.lit("unexpected_tip")).distinct())
+        want = expected.select("tip").distinct()
+        have = tips(nodes).select("tree_id", F.col("name").alias("tip")).join(want.withColumn("wanted", F.lit(1)), "tip", "left")
+        per = have.groupBy("tree_id").agg(F.count_distinct(F.when(F.col("wanted") == 1, F.col("tip"))).alias("known"), F.bool_or(F.col("wanted").isNull()).alias("more"))
+        per = per.crossJoin(F.broadcast(want.agg(F.count("*").alias("n"))))  # one row
+        found = found.union(per.where("known < n").select("tree_id", F.lit("missing_tip"))).union(per.where("more").select("tree_id", F.lit("unexpected_tip")))
     return found
 
 
@@ -116,22 +119,32 @@ def uniform_clades(nodes: DataFrame, traits: DataFrame, trait: str = "trait") ->
 
 
 def contrast_pairs(nodes: DataFrame, traits: DataFrame, trait: str = "trait") -> DataFrame:
-    """(tree_id, node_id, pair_id, zero, one, resolved): nodes under which uniform clades meet. After pruning tips
-    without a state a node whose children are exactly two uniform clades of opposite states is a pair; with more than two
-    groups it is unresolved and has no id. Ids follow the sorted tip lists."""
-    kept = pruned(nodes, traits.where(F.col(trait).isNotNull()).select("tip"))
+    """(tree_id, node_id, pair_id, zero, one, resolved): nodes under which uniform clades meet, and their numbers of tips in
+    each state. After pruning tips without a state a node whose children are exactly two uniform clades of opposite states
+    is a pair; with more than two groups it is unresolved and has no id. Pairs don't overlap, so ids in the order of
+    their sorted tips are ids in the order of their first tips. Give stored nodes: they are used several times."""
+    kept = stored(pruned(nodes, traits.where(F.col(trait).isNotNull()).select("tip")), "pruned")
     clades = uniform_clades(kept, traits, trait)
     children = kept.where("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.count("*").alias("children"))
+    tips_of = lambda s: F.sum(F.when(F.col("state") == s, F.col("n")).otherwise(0))
     per = clades.where("parent_id is not null").groupBy("tree_id", "parent_id").agg(
-        F.count("*").alias("groups"), F.count_if(F.col("state") == "0").alias("z"), F.count_if(F.col("state") == "1").alias("o"), F.min_by("node_id", "state").alias("zero_node"), F.max_by("node_id", "state").alias("one_node"),
+        F.count("*").alias("groups"), F.count_if(F.col("state") == "0").alias("z"), F.count_if(F.col("state") == "1").alias("o"), tips_of("0").alias("zero"), tips_of("1").alias("one"),
     )
-    per = per.join(children, ["tree_id", "parent_id"]).where("groups = children and z > 0 and o > 0")
-    names = clade_tips(kept).groupBy("tree_id", "node_id").agg(F.array_sort(F.collect_list("tip")).alias("tips"))
-    side = lambda c, name: names.select("tree_id", F.col("node_id").alias(c), F.col("tips").alias(name))
-    out = per.withColumn("resolved", (F.col("z") == 1) & (F.col("o") == 1) & (F.col("groups") == 2))
-    out = out.join(side("parent_id", "all_tips"), ["tree_id", "parent_id"]).join(side("zero_node", "zero"), ["tree_id", "zero_node"]).join(side("one_node", "one"), ["tree_id", "one_node"])
-    number = F.sum(F.col("resolved").cast("int")).over(Window.partitionBy("tree_id").orderBy("all_tips"))
-    return out.select("tree_id", F.col("parent_id").alias("node_id"), F.when(F.col("resolved"), number).cast("int").alias("pair_id"), "zero", "one", "resolved")
+    per = stored(per.join(children, ["tree_id", "parent_id"]).where("groups = children and z > 0 and o > 0"), "meeting-clades")
+    out = per.withColumn("resolved", (F.col("z") == 1) & (F.col("o") == 1) & (F.col("groups") == 2)).withColumnRenamed("parent_id", "node_id")
+    pairs = out.where("resolved").select("tree_id", "node_id")
+    first = clade_tips(kept).join(pairs, ["tree_id", "node_id"]).groupBy("tree_id", "node_id").agg(F.min("tip").alias("first"))
+    placed = numbered(first, ["tree_id", "first"])
+    start = placed.groupBy("tree_id").agg(F.min("place").alias("start"))
+    ids = placed.join(start, "tree_id").select("tree_id", "node_id", (F.col("place") - F.col("start") + 1).cast("int").alias("pair_id"))
+    return out.join(ids, ["tree_id", "node_id"], "left").select("tree_id", "node_id", "pair_id", "zero", "one", "resolved")
+
+
+def pair_tips(nodes: DataFrame, pairs: DataFrame, traits: DataFrame, trait: str = "trait") -> DataFrame:
+    """(tree_id, pair_id, tip, state) of resolved pairs, from the unpruned nodes: pruning keeps the ids of nodes."""
+    own = pairs.where("resolved").select("tree_id", "node_id", "pair_id")
+    below = clade_tips(nodes).join(own, ["tree_id", "node_id"])
+    return below.join(traits.where(F.col(trait).isNotNull()).select("tip", F.col(trait).alias("state")), "tip").select("tree_id", "pair_id", "tip", "state")
 
 
 def blocks(nodes: DataFrame, pair_tips: DataFrame, members: DataFrame) -> DataFrame:
@@ -145,11 +158,6 @@ def blocks(nodes: DataFrame, pair_tips: DataFrame, members: DataFrame) -> DataFr
     return below.join(top, ["tree_id", "node_id"]).join(members.select("tip").distinct(), "tip", "left_semi").select("tree_id", "block_id", "tip")
 
 
-def inherit_from_tips(samples: DataFrame, membership: DataFrame) -> DataFrame:
-    """Samples(sample, tip) with what their representative tip belongs to."""
-    return samples.join(membership, "tip", "left")
-
-
 def monophyly(nodes: DataFrame, taxa: DataFrame, core: float = 0.5) -> DataFrame:
     """(tree_id, rank, taxon, status, size, clade_size, intruders, outliers) from taxa(tip, rank, taxon). Tips without
     the rank are pruned for it. A group is monophyletic if it is all of its lowest clade. Otherwise the largest clade of
@@ -162,7 +170,7 @@ def monophyly(nodes: DataFrame, taxa: DataFrame, core: float = 0.5) -> DataFrame
     per = per.join(nodes.select("tree_id", "node_id", "depth"), ["tree_id", "node_id"])
     key = ["tree_id", "rank", "taxon"]
     clade = per.where("m = size").groupBy(*key, "size").agg(F.min("n").alias("clade_size"))
-    heart = per.where(F.col("m") >= core * F.col("n")).groupBy(*key).agg(F.min_by(F.struct("node_id", "m", "n"), F.struct(-F.col("m"), F.col("n"), F.col("depth"))).alias("h"))
+    heart = per.where(F.col("m") >= core * F.col("n")).groupBy(*key).agg(F.min_by(F.struct("node_id", "m", "n"), F.struct(-F.col("m"), F.col("n"), F.col("depth"), F.col("node_id"))).alias("h"))
     out = clade.join(heart, key, "left")
     status = F.when(F.col("size") == 1, "monotypic").when(F.col("size") == F.col("clade_size"), "monophyletic").otherwise("non_monophyletic")
     away = F.col("size") != F.col("clade_size")
@@ -198,16 +206,16 @@ def node_minima(fossils: DataFrame, node: str = "node_id") -> DataFrame:
 
 
 def clade_digests(nodes: DataFrame) -> DataFrame:
-    """(tree_id, digest): one for each clade, from its sorted tips."""
-    names = clade_tips(nodes).groupBy("tree_id", "node_id").agg(F.array_sort(F.collect_list("tip")).alias("t"))
-    return names.select("tree_id", F.sha2(F.to_json("t"), 256).alias("digest"))
+    """(tree_id, size, h1, h2): for each clade its number of tips and two sums of their hashes, in any order."""
+    total = lambda *seed: F.sum(F.xxhash64(*[F.lit(x) for x in seed], "tip").cast("decimal(38,0)"))
+    return clade_tips(nodes).groupBy("tree_id", "node_id").agg(F.count("*").alias("size"), total().alias("h1"), total(7).alias("h2")).drop("node_id")
 
 
 def same_topology(a: DataFrame, b: DataFrame) -> DataFrame:
     """(tree_id, same): whether trees of equal ids have the same rooted clades."""
     x = clade_digests(a).distinct().withColumn("a", F.lit(1))
     y = clade_digests(b).distinct().withColumn("b", F.lit(1))
-    return x.join(y, ["tree_id", "digest"], "full").groupBy("tree_id").agg(F.bool_and(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("same"))
+    return x.join(y, ["tree_id", "size", "h1", "h2"], "full").groupBy("tree_id").agg(F.bool_and(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("same"))
 
 
 def basal_clade(nodes: DataFrame, annotations: DataFrame, score: str = "score", tip: str = "tip", species: str = "species_id") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.store import numbered, stored
+
 from cladeframe.functions.text import decimal_ceiling
 
 STATUSES = ("Complete", "Duplicated", "Fragmented", "Missing")
@@ -33,8 +35,9 @@ def marker_coverage(hits: DataFrame, markers: DataFrame, samples: DataFrame, min
     )
     out = markers.select(marker).distinct().join(own, marker, "left").na.fill(0, ["species", "samples"]).crossJoin(F.broadcast(total))  # one row
     out = out.withColumn("occupancy", F.col("species") / F.col("total")).withColumn("eligible", F.col("species") >= decimal_ceiling(min_taxa, F.col("total")))
-    place = F.row_number().over(Window.partitionBy("eligible").orderBy(F.col("species").desc(), marker))
-    return out.withColumn("place", F.when(F.col("eligible"), place)).drop("total")
+    out = stored(out.drop("total"), "coverage")
+    placed = numbered(out.where("eligible"), [F.col("species").desc(), F.col(marker)]).withColumn("place", F.col("place") + 1)
+    return placed.unionByName(out.where("not eligible"), allowMissingColumns=True)
 
 
 def best_markers(coverage: DataFrame, most: int | None = None, marker: str = "marker") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.store import numbered
+
 
 def completeness(df: DataFrame, single: str = "single", duplicated: str = "duplicated", fragmented: str = "fragmented", missing: str = "missing", total: str = "total") -> DataFrame:
     """Adds completeness and bad: counts negative or not adding up to a positive total."""
@@ -111,12 +113,10 @@ def review(runs: DataFrame, products: DataFrame, active: DataFrame, excluded: Da
 
 
 def evenly_spaced(df: DataFrame, order: list[str], count: int) -> DataFrame:
-    """count rows at even steps of the order, both ends included, indices rounded half to even. Row numbers come from
-    one ordered task over the keys; give a table of items, not of events."""
-    n = F.count("*").over(Window.partitionBy())
-    place = F.row_number().over(Window.orderBy(*order)) - 1
-    out = df.withColumn("__n", n).withColumn("__at", place)
-    step = lambda i: F.bround(i.cast("double") * (F.col("__n") - 1) / F.lit(max(1, count - 1)), 0).cast("int")
+    """count rows at even steps of the order, both ends included, indices rounded half to even."""
+    out = numbered(df, order, "__at")
+    out = out.crossJoin(F.broadcast(out.agg(F.count("*").alias("__n"))))  # one row
+    step = lambda i: F.bround(i.cast("double") * (F.col("__n") - 1) / F.lit(max(1, count - 1)), 0).cast("long")
     wanted = F.when(F.col("__n") <= count, F.lit(True)).otherwise(F.array_contains(F.transform(F.sequence(F.lit(0), F.lit(max(0, count - 1))), step), F.col("__at")))
     return out.where(wanted).drop("__n", "__at")
 

@@ -20,30 +20,32 @@ def resolve_merged(ids: DataFrame, merged: DataFrame, nodes: DataFrame, most: in
     """(taxid, resolved_taxid): redirects followed; null where the end is no node, or redirects form a cycle (`most` hops)."""
     out = ids.select("taxid").distinct().withColumn("at", F.col("taxid"))
     hop = merged.select(F.col("taxid_old").alias("at"), F.col("taxid_new").alias("next"))
-    spark = _unlimited(ids.sparkSession)
-    out.createOrReplaceTempView("_start"), hop.createOrReplaceTempView("_hop")
-    walked = spark.sql(f"""
+    walked = _unlimited(ids.sparkSession).sql(
+        """
         WITH RECURSIVE walk(taxid, at, hops) AS (
-            SELECT taxid, at, 0 FROM _start UNION ALL
-            SELECT w.taxid, h.next, w.hops + 1 FROM walk w JOIN _hop h ON w.at = h.at WHERE w.hops < {most}
+            SELECT taxid, at, 0 FROM {start} UNION ALL
+            SELECT w.taxid, h.next, w.hops + 1 FROM walk w JOIN {hop} h ON w.at = h.at WHERE w.hops < {most}
         ) SELECT taxid, max_by(at, hops) AS at, max(hops) AS hops FROM walk GROUP BY taxid
-    """)
+    """,
+        start=out, hop=hop, most=most,
+    )
     known = nodes.select(F.col("taxid").alias("at")).distinct().withColumn("known", F.lit(True))
     return walked.join(known, "at", "left").select("taxid", F.when(F.col("known") & (F.col("hops") < most), F.col("at")).alias("resolved_taxid"))
 
 
 def lineages(nodes: DataFrame, ids: DataFrame, depth: int = 90) -> DataFrame:
-    """(taxid, depth, anc, rank, name) for the ids, from nodes(taxid, parent, rank, name); the root is its own parent."""
-    spark = _unlimited(nodes.sparkSession)
-    nodes.select("taxid", "parent", "rank", "name").createOrReplaceTempView("_nodes")
-    ids.select("taxid").distinct().createOrReplaceTempView("_ids")
-    return spark.sql(f"""
+    """(taxid, depth, anc, rank, name) for the ids, from nodes(taxid, parent, rank, name); the root is its own parent.
+    Lineages longer than depth, or going round, raise an error."""
+    return _unlimited(nodes.sparkSession).sql(
+        """
         WITH RECURSIVE up(taxid, depth, anc, parent, rank, name) AS (
-            SELECT i.taxid, 0, n.taxid, n.parent, n.rank, n.name FROM _ids i JOIN _nodes n ON i.taxid = n.taxid UNION ALL
-            SELECT u.taxid, u.depth + 1, n.taxid, n.parent, n.rank, n.name FROM up u JOIN _nodes n ON u.parent = n.taxid
+            SELECT i.taxid, 0, n.taxid, n.parent, n.rank, n.name FROM {ids} i JOIN {nodes} n ON i.taxid = n.taxid UNION ALL
+            SELECT u.taxid, u.depth + 1, n.taxid, n.parent, n.rank, n.name FROM up u JOIN {nodes} n ON u.parent = n.taxid
             WHERE u.anc <> u.parent AND u.depth < {depth}
-        ) SELECT taxid, depth, anc, rank, name FROM up
-    """)
+        ) SELECT taxid, CASE WHEN depth = {depth} AND anc <> parent THEN raise_error('a lineage is too long or goes round') ELSE depth END AS depth, anc, rank, name FROM up
+    """,
+        nodes=nodes.select("taxid", "parent", "rank", "name"), ids=ids.select("taxid").distinct(), depth=depth,
+    )
 
 
 def lineages_from_track(nodes: DataFrame, ids: DataFrame, track: str = "track") -> DataFrame:
@@ -113,6 +115,3 @@ def guide_edges(lineage: DataFrame) -> DataFrame:
     up = F.lead("node").over(Window.partitionBy("taxid").orderBy("depth"))
     return kept.withColumn("parent", up).where("parent is not null and parent <> node").select(F.col("node").alias("child"), "parent").distinct()
 
-
-def pivot_status(rows: DataFrame, key: str, column: str, values: list[str]) -> DataFrame:
-    return rows.groupBy(key).pivot(column, values).agg(F.count("*"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_BASES, MIN_RESIDUES = 150, 50
 #: Shares of ties are 1/n. Sums are kept as whole numbers over this common denominator, exact for n up to 16.
-DENOMINATOR = 720720
+DENOMINATOR, MOST_TIED = 720720, 16
 
 
 def best_hits(hits: DataFrame, taxa: DataFrame, query: str = "query", target: str = "target", score: str = "raw") -> DataFrame:
@@ -60,7 +60,8 @@ def vote_summary(votes: DataFrame, least: int, cutoff: str, by: tuple[str, ...]
     """Per run and rank: comparable loci, registered votes, leading alternative and its votes, supports, tied loci and
     status. A locus won by n shares its vote, a tie also with the registered taxon; the cut is strict and exact."""
     n = F.size("winners") + (F.col("vote") == "tie").cast("int")
-    share = F.when(F.col("vote").isin("alternative", "tie"), F.lit(DENOMINATOR).cast("decimal(30,0)") / n).cast("decimal(38,6)")
+    exact = F.when(n <= MOST_TIED, F.lit(DENOMINATOR).cast("decimal(30,0)") / n).otherwise(F.raise_error(F.lit("a tie of more than 16 has no exact share")))
+    share = F.when(F.col("vote").isin("alternative", "tie"), exact).cast("decimal(38,6)")
     own = votes.withColumn("share", share).withColumn("voted", F.col("vote").isin("registered", "alternative", "tie"))
     mine = F.when(F.col("vote") == "registered", F.lit(DENOMINATOR).cast("decimal(38,6)")).when(F.col("vote") == "tie", F.col("share"))
     keys = list(by)
@@ -98,17 +99,8 @@ def deciding_rank(summary: DataFrame, samples: DataFrame, order: list[str], leas
     return out.withColumn("status", F.coalesce("status", F.lit("no_reference")))
 
 
-def leading(df: DataFrame, by: list[str], votes: str, name: str) -> DataFrame:
-    """Row with the most votes per key, then the smallest name."""
-    return df.groupBy(*by).agg(F.min_by(F.struct(name, votes), F.struct(-F.col(votes), F.col(name))).alias("x")).select(*by, "x.*")
-
-
 def support_histogram(summary: DataFrame, column: str = "registered_support", bins: int = 20) -> DataFrame:
     """(rank, bin, assessed, flagged, unassessed): bins of equal width over 0 to 1."""
     at = F.least(F.floor(F.col(column) * bins), F.lit(bins - 1)).cast("int")
     return summary.groupBy("rank", at.alias("bin")).agg(F.count(column).alias("assessed"), F.count_if(F.col("status") == "discordant").alias("flagged"), F.count_if(F.col(column).isNull()).alias("unassessed"))
 
-
-def first_by(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """First row of each key in an order."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__n = 1").drop("__n")

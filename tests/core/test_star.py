@@ -28,7 +28,7 @@ def plain(v):
         return str(v)
 
 
-@pytest.mark.parametrize("name", ["group_expression", "mapping_quality", "function_expression_drop", "best_run", "refresh_decisions", "marker_coverage", "vote_summary", "lineages", "uniform_clades", "subset_counts"])
+@pytest.mark.parametrize("name", ["group_expression", "mapping_quality", "function_expression_drop", "best_run", "refresh_decisions", "marker_coverage", "vote_summary", "lineages", "subset_counts", "trait_pairs", "phylogenetic_blocks", "monophyly", "batches", "pilot_items", "common_ancestors"])
 def test_matches_sql(spark, engine, name):
     df = star.QUERIES[name](spark, SF)
     result = engine.execute(star.SQL[name])
