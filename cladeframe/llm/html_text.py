@@ -10,12 +10,14 @@ names or by their parts between - and _ ("cookie-banner"), but not where a part
 with furniture ("has-sidebar", "with-sidebar", "comments-open"), and never on html or body. Text of unwanted inline
 elements goes, that around them stays. If all articles and main elements stand in furniture, but in no menu, aside, footer
 or hidden element, and hold more text than is left outside, what surrounds them is a wrapper and they are kept. If nothing
-is left at all, forms are taken for wrappers.
+is left at all, forms are taken for wrappers. A block of text inside an article or main element is never template by
+itself: passages that articles repeat stay.
 
-Pages of equal content count once per host, so copies of an article don't turn it into a template. Counts are aggregated
-before the shuffle; a host with a third of all pages is spread by subtree. Texts are never shuffled: a host's template,
-at most a few subtrees for each 1 / min_share of a page, is broadcast to the parsed pages if the table of all templates
-is counted to be small, and joined by host otherwise.
+Pages of equal content count once per host and subtree, so copies of an article don't turn it into a template. Counts
+are aggregated before the shuffle; a host with a third of all pages is spread by subtree and by salt. Elements meet the
+templates on (host, subtree), not on the host, and what comes back is a list of blocks for each page. If the tables of
+templates or of such lists are counted to be small they are broadcast and no text moves; otherwise Spark shuffles the
+pages by a hash of the page.
 
 Cases: a null or empty html gives the empty text. A null url is a host of its own. Repeated rows and equal ids are pages
 of their own and get equal texts. Broken markup is read as browsers do, roughly: unknown end tags are ignored, open
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import small, written
 
-MIN_PAGES, MIN_SHARE, TEMPLATE_WORDS = 5, 0.2, 5
+MIN_PAGES, GROW, MIN_SHARE, TEMPLATE_WORDS, SALTS = 5, 2.0, 0.2, 5, 64
 #: Names of HTML elements and what class names of page furniture are made of.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody tfoot thead tr ul".split())
@@ -48,6 +50,8 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
+#: What holds blocks of text, rather than being one.
+CONTAINERS = frozenset("aside center details dialog div dl fieldset footer form header menu nav ol section table ul".split())
 #: Where a class name never makes furniture of it: the page itself.
 WHOLE = frozenset("html body".split())
 STATES = frozenset("has with without no is not open opened closed enabled disabled".split())
@@ -58,7 +62,7 @@ BLANK = re.compile(r"\s+")
 
 class Page(HTMLParser):
     """blocks: [text, wanted by tag and class, inside an article, inside main, wanted
-    if wrappers of articles are, wanted if forms are]; elements: [hash, first block, end block, words]."""
+    if wrappers of articles are, wanted if forms are]; elements: [hash, first block, end block, words, loose]."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -146,21 +150,23 @@ class Page(HTMLParser):
     def pop(self) -> None:
         if self.open[-1][0] in BLOCK or self.open[-1][0] in UNSEEN:
             self.flush()
-        tag, name, first, parts, *_ = self.open.pop()
+        tag, name, first, parts, _, _, article, main, *_ = self.open.pop()
         self.level.pop()
         self.number[tag] -= 1
         h = xxhash.xxh64_intdigest("\x00".join([name, *parts]).encode("utf-8", "surrogatepass"))
         self.open[-1][3].append(f"\x01{h}")
         if first < len(self.blocks):
             words = sum(b[0].count(" ") + 1 for b in self.blocks[first:]) if len(self.blocks) - first < 50 else TEMPLATE_WORDS
-            self.elements.append([h - 2**63, first, len(self.blocks), words])
+            inside, holds = article or main, tag in CONTAINERS
+            if holds or not inside:
+                self.elements.append([h - 2**63, first, len(self.blocks), words, holds and not inside])
 
 
 PARSED = [
     ("digest", pa.int64()), ("blocks", pa.list_(pa.string())), ("wanted", pa.list_(pa.bool_())),
-    ("elements", pa.list_(pa.struct([("h", pa.int64()), ("first", pa.int32()), ("upto", pa.int32())]))),
+    ("elements", pa.list_(pa.struct([("h", pa.int64()), ("first", pa.int32()), ("upto", pa.int32()), ("loose", pa.bool_())]))),
 ]
-PARSED_DDL = "digest long, blocks array<string>, wanted array<boolean>, elements array<struct<h: long, first: int, upto: int>>"
+PARSED_DDL = "digest long, blocks array<string>, wanted array<boolean>, elements array<struct<h: long, first: int, upto: int, loose: boolean>>"
 
 
 def parsed(html: str | None) -> tuple[int, list[str], list[bool], list[dict]]:
@@ -178,10 +184,10 @@ def parsed(html: str | None) -> tuple[int, list[str], list[bool], list[dict]]:
     texts = [b[0] for b in page.blocks]
     digest = xxhash.xxh64_intdigest("\n".join(texts).encode()) - 2**63
     elements = {}
-    for h, first, upto, words in page.elements:
-        if words >= TEMPLATE_WORDS:
-            elements.setdefault((first, upto), h)
-    return digest, texts, wanted, [{"h": h, "first": a, "upto": b} for (a, b), h in elements.items()]
+    for h, first, upto, words, loose in page.elements:
+        if words >= TEMPLATE_WORDS and not elements.get((first, upto), (0, False))[1] and (loose or (first, upto) not in elements):
+            elements[first, upto] = h, loose
+    return digest, texts, wanted, [{"h": h, "first": a, "upto": b, "loose": loose} for (a, b), (h, loose) in elements.items()]
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,23 +204,30 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id, url, text) for every row. A subtree is template if it stands in min_pages different pages of its host or
-    more, and in min_share of them."""
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, grow: float = GROW, min_share: float = MIN_SHARE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(id, url, text) for every row. A loose subtree, one that holds blocks outside articles, is template if it stands in
+    min_pages + grow * log2(pages / min_pages) different pages of its host or more: a number that hardly grows, so that the menu
+    of one section of a large host counts. Others must stand in min_share of the host's pages as well."""
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     parts = written(rows.mapInArrow(_parse, f"id {kind}, url string, host string, {PARSED_DDL}"), "pages-parsed")
-    hashes = F.array_distinct(F.transform("elements", lambda e: e["h"])).alias("hs")
-    seen = parts.select("host", "digest", hashes).groupBy("host", "digest").agg(F.first("hs").alias("hs"))
-    sizes = seen.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = seen.select("host", F.explode("hs").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    templates = counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(F.collect_list("h").alias("template"))
-    templates = small(written(templates, "page-templates"))
-
-    both = parts.join(templates, "host", "left")
-    spans = F.filter("elements", lambda e: F.array_contains("template", e["h"]))
-    gone = F.array_distinct(F.flatten(F.transform(spans, lambda e: F.sequence(e["first"], e["upto"] - 1))))
-    both = both.select("id", "url", "blocks", "wanted", F.when(F.col("template").isNotNull(), gone).alias("gone"))
+    # pages of equal texts count once for each subtree; a host's own key is never a shuffle key by itself
+    seen = parts.select("host", "digest", F.explode("elements").alias("e")).select("host", "digest", F.col("e.h").alias("h"), F.col("e.loose").alias("loose")).distinct()
+    counts = seen.groupBy("host", "h", "loose").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    different = parts.select("host", "digest").distinct()
+    sizes = different.groupBy("host", F.pmod("digest", F.lit(SALTS)).alias("salt")).agg(F.count("*").alias("pages")).groupBy("host").agg(F.sum("pages").alias("pages"))
+    counts = written(counts, "subtree-counts")
+    few = small(written(sizes.join(small(written(counts.select("host").distinct(), "template-hosts")), "host", "left_semi"), "host-sizes"))
+    floor = min_pages + grow * F.log2(F.col("pages") / min_pages)
+    templates = small(written(counts.join(few, "host").where((F.col("n") >= floor) & (F.col("loose") | (F.col("n") >= min_share * F.col("pages")))).select("host", "h", "loose"), "page-templates"))
+
+    # which blocks each page loses: elements meet templates on (host, h), so no page is moved and no host is one task
+    row = F.struct(F.xxhash64("id", "url", "host", "digest", F.to_json("elements")).alias("a"), F.xxhash64(F.lit(7), "digest", "host", "url", "id", F.to_json("wanted")).alias("b"))
+    parts = parts.withColumn("page", row)
+    spans = parts.select("page", "host", F.explode("elements").alias("e")).select("page", "host", F.col("e.h").alias("h"), F.col("e.first").alias("first"), F.col("e.upto").alias("upto"), F.col("e.loose").alias("loose"))
+    gone = spans.join(templates, ["host", "h", "loose"]).groupBy("page").agg(F.collect_set(F.struct("first", "upto")).alias("spans"))
+    gone = gone.select("page", F.array_distinct(F.flatten(F.transform("spans", lambda e: F.sequence(e["first"], e["upto"] - 1)))).alias("gone"))
+    both = parts.select("page", "id", "url", "blocks", "wanted").join(small(written(gone, "template-blocks")), "page", "left")
     numbered = F.filter(F.transform("blocks", lambda b, i: F.struct(b.alias("b"), i.cast("int").alias("i"), F.get("wanted", i).alias("w"))), lambda x: x["w"])
     left = F.filter(numbered, lambda x: F.col("gone").isNull() | ~F.array_contains("gone", x["i"]))
     text = F.array_join(F.transform(left, lambda x: x["b"]), "\n")
