@@ -128,5 +128,5 @@ def append_new(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
     """(bin, n): equal bins, counted from 0; high itself falls into the last. Null: not assessed."""
-    at = F.least(F.floor((F.col(column) - low) / ((high - low) / bins)), F.lit(bins - 1)).cast("int")
+    at = F.when(F.col(column).isNotNull(), F.least(F.floor((F.col(column) - low) / ((high - low) / bins)), F.lit(bins - 1))).cast("int")
     return df.groupBy(at.alias("bin")).agg(F.count("*").alias("n"))

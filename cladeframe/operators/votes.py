@@ -101,6 +101,6 @@ def deciding_rank(summary: DataFrame, samples: DataFrame, order: list[str], leas
 
 def support_histogram(summary: DataFrame, column: str = "registered_support", bins: int = 20) -> DataFrame:
     """(rank, bin, assessed, flagged, unassessed): bins of equal width over 0 to 1."""
-    at = F.least(F.floor(F.col(column) * bins), F.lit(bins - 1)).cast("int")
+    at = F.when(F.col(column).isNotNull(), F.least(F.floor(F.col(column) * bins), F.lit(bins - 1))).cast("int")
     return summary.groupBy("rank", at.alias("bin")).agg(F.count(column).alias("assessed"), F.count_if(F.col("status") == "discordant").alias("flagged"), F.count_if(F.col(column).isNull()).alias("unassessed"))
 

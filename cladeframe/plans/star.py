@@ -526,12 +526,16 @@ def locus_votes(spark, sf_dir):
     return event_votes(spark, sf_dir).select("run", "rank", "locus", "vote", F.array_join("winners", ",").alias("winners"))
 
 
-def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vote_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = event_hits(spark, sf_dir).withColumn("s", F.floor(F.col("score") / 10))
     best = top.groupBy("run", "rank", "locus").agg(F.max("s").alias("s"))
     won = top.join(best, ["run", "rank", "locus", "s"]).groupBy("run", "rank", "locus").agg(F.bool_or(F.col("taxon") == "view").alias("reg"), F.array_sort(F.collect_list(F.when(F.col("taxon") != "view", F.col("taxon")))).alias("winners"))
     vote = F.when(F.col("reg") & (F.size("winners") == 0), "registered").when(F.col("reg"), "tie").otherwise("alternative")
-    return votes.vote_summary(won.select("run", "rank", "locus", vote.alias("vote"), "winners"), 5, "0.25")
+    return won.select("run", "rank", "locus", vote.alias("vote"), "winners")
+
+
+def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes.vote_summary(vote_table(spark, sf_dir), 5, "0.25")
 
 
 @query(f"WITH {VOTES_SQL}, {SUMMARY_SQL} SELECT * FROM summary")

@@ -6,8 +6,10 @@ faults come back as rows or raise in Spark's own reader (FAILFAST), never as a d
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +22,14 @@ HITS = "query string, target string, raw int, qstart int, qend int, tstart int,
 QC = "species string, run string, targets long, protein_genes long, quantified_proteins long, mapped_targets long, ambiguous_targets long, retained_targets long, orthogroups long, total_tpm double, mapped_tpm double, mapped_tpm_fraction double, retained_tpm double, retained_tpm_fraction double, multimap string"
 
 
-def _options(reader, header: bool = True):
-    return reader.option("sep", "\t").option("header", header).option("quote", '"').option("escape", '"').option("multiLine", True).option("mode", "FAILFAST").option("emptyValue", "").option("nullValue", "\0").option("enforceSchema", False)
+def _options(reader, multiline: bool = False):
+    return reader.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline).option("mode", "FAILFAST").option("emptyValue", "").option("nullValue", "\0").option("enforceSchema", False)
 
 
-def read_tsv(spark: SparkSession, path: str | list[str], fields: Sequence[str]) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str | list[str], fields: Sequence[str], multiline: bool = False) -> DataFrame:
     """A table of text columns whose header must hold the fields, each name once; other columns stay. Rows that are too
-    short or long, or files whose header differs, fail the read. Blank is the empty string."""
+    short or long, or files whose header differs, fail the read. Blank is the empty string. Line ends inside quotes need
+    multiline, which makes every file one task; without it Spark splits large files."""
     first = path if isinstance(path, str) else path[0]
     head = spark.read.option("sep", "\t").option("header", False).option("quote", '"').option("escape", '"').csv(first).limit(1).first()
     names = [x or "" for x in head] if head else []
@@ -35,7 +38,7 @@ def read_tsv(spark: SparkSession, path: str | list[str], fields: Sequence[str])
     if lacking := [f for f in fields if f not in names]:
         raise ValueError(f"{first} lacks {lacking}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return _options(spark.read.schema(schema)).csv(path).na.fill("")
+    return _options(spark.read.schema(schema), multiline).csv(path).na.fill("")
 
 
 def preferred_paths(paths: Sequence[str]) -> list[str]:
@@ -178,9 +181,18 @@ def content_identity(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+            digest, raw = hashlib.sha256(), pa.BufferReader(content.as_buffer())
+            with pa.CompressedInputStream(raw, "gzip") if path.endswith(".gz") else raw as stream:
+                while block := stream.read(1 << 20):
+                    digest.update(block)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string())], ["path", "sha256"])
+
+
 def decoded_identity(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, sha256) of the lines that text files hold once unpacked, each ended by a newline; the lines are read by Spark,
-    which unpacks gzip itself. Files are whole in one group: for per-run products, not for archives."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("i"), "value")
-    whole = lines.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("x"))
-    return whole.select("path", F.sha2(F.concat(F.array_join(F.transform("x", lambda s: s["value"]), "\n"), F.lit("\n")), 256).alias("sha256"))
+    """(path, sha256) of what files hold once unpacked, a block at a time. A packed file must fit a task."""
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_decoded, "path string, sha256 string")
