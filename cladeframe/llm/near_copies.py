@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, value_key, written
+from .common import partitions, small, value_key, written
 from .rolling import rows_batch
 from .simhash import connected
 
@@ -167,29 +167,38 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(part), pa.int64()), part], ["g", "t"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's shingles, hashed once and sorted, however many pairs it stands in."""
+    for batch in batches:
+        packed = [shingles(t.as_py()).tobytes() for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(packed, pa.binary())], ["t", "s"])
+
+
 def _similar(similarity: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first = None, None
         for batch in batches:
-            a, b, left, right = (batch.column(c) for c in ("a", "b", "text_a", "text_b"))
             near = []
-            for x, s, y in zip(a.to_pylist(), left, right):
-                if x != last:
-                    last, first = x, shingles(s.as_py())
-                second = shingles(y.as_py())
+            for x, y in zip(batch.column("s_a"), batch.column("s_b")):
+                first, second = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
+                few, many = sorted((len(first), len(second)))
+                if few < similarity * many:  # too unlike in size
+                    near.append(False)
+                    continue
                 both = len(np.intersect1d(first, second, assume_unique=True))
                 near.append(both >= similarity * (len(first) + len(second) - both))
             near = pa.array(near, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(near), b.filter(near)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
 
     return run
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    used = pairs.select(F.explode(F.array("a", "b")).alias("t")).distinct()
-    own = written(texts.join(used, "t", "left_semi").groupBy("t").agg(F.first("text").alias("text")), "near-texts")
-    both = pairs.join(own.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(_similar(similarity), "a long, b long"), "near-pairs")
+    """The pairs whose texts are similar. Bodies are broadcast only if they are counted to be small."""
+    used = small(written(pairs.select(F.explode(F.array("a", "b")).alias("t")).distinct(), "near-used"))
+    own = texts.join(used, "t", "left_semi").dropDuplicates(["t"])
+    own = small(written(own.mapInArrow(_packed, "t long, s binary"), "near-shingles"))
+    both = pairs.join(own.select(F.col("t").alias("a"), F.col("s").alias("s_a")), "a").join(own.select(F.col("t").alias("b"), F.col("s").alias("s_b")), "b")
+    return written(both.select("a", "b", "s_a", "s_b").mapInArrow(_similar(similarity), "a long, b long"), "near-pairs")
 
 
 def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> DataFrame:
