@@ -7,8 +7,9 @@ similarity 0.8 differ in about 15 % of the bits and meet with a chance of about
 by accident is thinned by 64 bits of the neighbouring blocks. Pairs that are left are decided by the exact similarity of
 their texts.
 
-Groups of more than SMALL_GROUP texts that meet are linked to their smallest member first; then their members that are
-still in different components are compared pair by pair, so that no pair that met is left out.
+Pairs with the smallest member of a group that meets are decided first. Other pairs, and those of groups of more than
+SMALL_GROUP texts, are decided only where their texts are in different components by then, so that no pair that met is
+left out, and a group of near copies costs links in proportion to its members.
 
 Cases: upper and lower case are equal (ASCII), words end at ASCII white space. A text of fewer words than a shingle is one
 shingle; null texts and texts without words are copies of each other. Equal texts, named by 64 bits, are merged before
@@ -36,7 +37,7 @@ LOW = 32 - PREFIX
 FLUSH_PRINTS, RECORDS = 20_000, 200_000
 SEEDS = np.arange(1, PRINT_WORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 DEALT = pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("value", pa.binary()), ("t", pa.binary()), ("check", pa.binary())])
-MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("members", pa.binary())])
+MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("star", pa.bool_()), ("members", pa.binary())])
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -98,7 +99,8 @@ def _deal(n: int) -> Callable:
 
 
 def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray) -> tuple[list, list]:
-    """Pairs (a, b) that meet and are near by the check bits, and the sorted members of every large group by its hash."""
+    """Rows (a, b, star) of pairs that meet and are near by the check bits, star being 1 for pairs with a group's smallest
+    member, and the sorted members of every large group by its hash."""
     home = np.flatnonzero(value >> np.uint32(LOW) == place & np.uint16(2**PREFIX - 1))
     low, base = (value & np.uint32(2**LOW - 1)).astype(U), place.astype(U) << U(LOW)
     who = np.concatenate([np.arange(len(t)), np.tile(home, LOW)])
@@ -110,22 +112,23 @@ def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray)
     at, size = at[size > 1], size[size > 1]
     pairs, groups = [], {}
 
-    def add(x: np.ndarray, y: np.ndarray) -> None:
+    def add(x: np.ndarray, y: np.ndarray, star: np.ndarray) -> None:
         near = np.bitwise_count(check[x] ^ check[y]) <= FAR
-        pairs.append(np.unique(np.stack([t[x[near]], t[y[near]]], axis=1), axis=0))
+        pairs.append(np.unique(np.stack([t[x[near]], t[y[near]], star[near].astype(np.int64)], axis=1), axis=0))
 
     few, first = size[size <= SMALL_GROUP], at[size <= SMALL_GROUP]
     for step in range(1, int(few.max(initial=1))):
         n = few[few > step] - step
-        i = np.repeat(first[few > step] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        add(who[i], who[i + step])
+        begin = np.repeat(first[few > step], n)
+        i = begin - np.repeat(np.cumsum(n) - n, n) + np.arange(n.sum())
+        add(who[i], who[i + step], i == begin)
     for i, n in zip(at[size > SMALL_GROUP], size[size > SMALL_GROUP]):
         members = who[i : i + n]
         packed = t[members].tobytes()
         name = xxhash.xxh64_intdigest(packed) - 2**63
         if name not in groups:
             groups[name] = packed
-            add(np.repeat(members[:1], n - 1), members[1:])
+            add(np.repeat(members[:1], n - 1), members[1:], np.ones(n - 1, bool))
     return pairs, list(groups.items())
 
 
@@ -150,12 +153,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         more, large = _met(place[k], value[k], t[k], check[k])
         pairs += more
         groups.update(large)
-    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0)
+    pairs = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *pairs]), axis=0)
     for i in range(0, len(pairs), 100_000):
-        a, b = (pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in (0, 1))
-        yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.binary())], schema=MET)
+        a, b, star = (pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(3))
+        yield pa.RecordBatch.from_arrays([a, b, star.cast(pa.bool_()), pa.nulls(len(a), pa.binary())], schema=MET)
     for name, packed in groups.items():
-        yield rows_batch([[name, 0, packed]], MET)
+        yield rows_batch([[name, 0, False, packed]], MET)
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +177,27 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(packed, pa.binary())], ["t", "s"])
 
 
+def spanning(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """(node, root): a star over each component of these links, with the same components and a link less than nodes."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up] if up in root else up
+            x = up
+        return x
+
+    for x, y in zip(a, b):
+        x, y = find(x), find(y)
+        root[max(x, y)] = min(x, y)
+    return [(x, find(x)) for x in root if find(x) != x]
+
+
 def _similar(similarity: float) -> Callable:
+    """Links that hold; those of one task are thinned to a spanning forest, so a group of copies gives a link per member."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: list[tuple[int, int]] = []
         for batch in batches:
             near = []
             for x, y in zip(batch.column("s_a"), batch.column("s_b")):
@@ -187,13 +209,17 @@ def _similar(similarity: float) -> Callable:
                 both = len(np.intersect1d(first, second, assume_unique=True))
                 near.append(both >= similarity * (len(first) + len(second) - both))
             near = pa.array(near, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
+            a, b = zip(*links) if links else ((), ())
+            links = spanning([*a, *batch.column("a").filter(near).to_pylist()], [*b, *batch.column("b").filter(near).to_pylist()])
+        for i in range(0, len(links), 100_000):
+            a, b = zip(*links[i : i + 100_000])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose texts are similar. Bodies are broadcast only if they are counted to be small."""
+    """Links of the components of the pairs whose texts are similar. Bodies are broadcast only if they are counted to be small."""
     used = small(written(pairs.select(F.explode(F.array("a", "b")).alias("t")).distinct(), "near-used"))
     own = texts.join(used, "t", "left_semi").dropDuplicates(["t"])
     own = small(written(own.mapInArrow(_packed, "t long, s binary"), "near-shingles"))
@@ -205,20 +231,26 @@ def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> Data
     """(node, root) for texts (t, text): every text that isn't the smallest of its component."""
     prints = texts.mapInArrow(_prints, "t long, print binary").groupBy("t").agg(F.first("print").alias("print"))
     dealt = prints.mapInArrow(_deal(n), "bucket int, place binary, value binary, t binary, check binary")
-    met = written(dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long, members binary"), "near-met")
-    near = _verified(written(met.where("members is null").select("a", "b").distinct(), "near-candidates"), texts, similarity)
-    roots = connected(near)
+    met = written(dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long, star boolean, members binary"), "near-met")
+    pairs = lambda star: met.where(F.col("members").isNull() & (F.col("star") == star)).select("a", "b").distinct()
+    roots = connected(_verified(written(pairs(True), "near-candidates"), texts, similarity))
+    links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+
+    # what met besides is compared only where it isn't in one component by now
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    rest = pairs(False).join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    rest = rest.select("a", "b")
     large = met.where("members is not null")
-    if large.isEmpty():
-        return roots
-    members = large.dropDuplicates(["a"]).select("a", "members").mapInArrow(_members, "g long, t long")
-    members = members.join(roots.withColumnRenamed("node", "t"), "t", "left").select("g", "t", F.coalesce("root", "t").alias("root"))
-    members = written(members, "near-members")
-    split = members.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("g")
-    members = members.join(split, "g", "left_semi")
-    left, right = (members.select("g", F.col("t").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    cross = left.join(right, "g").where("root_a < root_b").select("a", "b").distinct()
-    return connected(near.union(_verified(written(cross, "near-candidates"), texts, similarity)))
+    if not large.isEmpty():
+        members = large.dropDuplicates(["a"]).select("a", "members").mapInArrow(_members, "g long, t long")
+        members = members.join(roots.withColumnRenamed("node", "t"), "t", "left").select("g", "t", F.coalesce("root", "t").alias("root"))
+        members = written(members, "near-members")
+        split = members.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("g")
+        members = members.join(split, "g", "left_semi")
+        left, right = (members.select("g", F.col("t").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+        rest = rest.union(left.join(right, "g").where("root_a < root_b").select("a", "b")).distinct()
+    more = _verified(written(rest, "near-candidates"), texts, similarity)
+    return connected(links.union(more))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", n: int | None = None) -> DataFrame:

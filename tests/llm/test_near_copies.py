@@ -79,3 +79,13 @@ def test_meets_one_flip_variants():
                     t.append(name)
             pairs, _ = N._met(np.array(place, np.uint16), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64))
             assert any(len(p) for p in pairs) == meet
+
+
+def test_spanning_forest():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 300, 250).tolist(), rng.integers(0, 300, 250).tolist()
+    root = {x: x for x in (*a, *b)}
+    for _ in range(300):
+        for x, y in zip(a, b):
+            root[x] = root[y] = min(root[x], root[y])
+    assert sorted(N.spanning(a, b)) == sorted((x, r) for x, r in root.items() if x != r)
