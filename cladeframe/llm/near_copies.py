@@ -7,9 +7,10 @@ similarity 0.8 differ in about 15 % of the bits and meet with a chance of about
 by accident is thinned by 64 bits of the neighbouring blocks. Pairs that are left are decided by the exact similarity of
 their texts.
 
-Pairs with the smallest member of a group that meets are decided first. Other pairs, and those of groups of more than
-SMALL_GROUP texts, are decided only where their texts are in different components by then, so that no pair that met is
-left out, and a group of near copies costs links in proportion to its members.
+Each text is decided first with the one it meets most often, and twice more with one outside its component. Other pairs, and those of groups of more than SMALL_GROUP
+texts, are decided only where their texts are in different components by then and could be similar: shingles that no other
+such text has cannot be common, which bounds a pair's similarity from above. So no pair that met is left out unless it
+cannot be a link, and a group of near copies costs links in proportion to its members.
 
 Cases: upper and lower case are equal (ASCII), words end at ASCII white space. A text of fewer words than a shingle is one
 shingle; null texts and texts without words are copies of each other. Equal texts, named by 64 bits, are merged before
@@ -23,7 +24,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, small, value_key, written
@@ -32,12 +33,12 @@ from .simhash import connected
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
-PRINT_WORDS, PREFIX, FAR, SMALL_GROUP = 20, 5, 22, 32
+PRINT_WORDS, PREFIX, FAR, SMALL_GROUP, ROUNDS = 20, 5, 22, 32, 3
 LOW = 32 - PREFIX
 FLUSH_PRINTS, RECORDS = 20_000, 200_000
 SEEDS = np.arange(1, PRINT_WORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 DEALT = pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("value", pa.binary()), ("t", pa.binary()), ("check", pa.binary())])
-MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("star", pa.bool_()), ("members", pa.binary())])
+MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("members", pa.binary())])
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -99,8 +100,8 @@ def _deal(n: int) -> Callable:
 
 
 def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray) -> tuple[list, list]:
-    """Rows (a, b, star) of pairs that meet and are near by the check bits, star being 1 for pairs with a group's smallest
-    member, and the sorted members of every large group by its hash."""
+    """Rows (a, b) of pairs that meet and are near by the check bits, and the sorted members of every large group by its
+    hash; of a large group, the pairs are those with its smallest member."""
     home = np.flatnonzero(value >> np.uint32(LOW) == place & np.uint16(2**PREFIX - 1))
     low, base = (value & np.uint32(2**LOW - 1)).astype(U), place.astype(U) << U(LOW)
     who = np.concatenate([np.arange(len(t)), np.tile(home, LOW)])
@@ -112,23 +113,23 @@ def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray)
     at, size = at[size > 1], size[size > 1]
     pairs, groups = [], {}
 
-    def add(x: np.ndarray, y: np.ndarray, star: np.ndarray) -> None:
+    def add(x: np.ndarray, y: np.ndarray) -> None:
         near = np.bitwise_count(check[x] ^ check[y]) <= FAR
-        pairs.append(np.unique(np.stack([t[x[near]], t[y[near]], star[near].astype(np.int64)], axis=1), axis=0))
+        pairs.append(np.unique(np.stack([t[x[near]], t[y[near]]], axis=1), axis=0))
 
     few, first = size[size <= SMALL_GROUP], at[size <= SMALL_GROUP]
     for step in range(1, int(few.max(initial=1))):
         n = few[few > step] - step
         begin = np.repeat(first[few > step], n)
         i = begin - np.repeat(np.cumsum(n) - n, n) + np.arange(n.sum())
-        add(who[i], who[i + step], i == begin)
+        add(who[i], who[i + step])
     for i, n in zip(at[size > SMALL_GROUP], size[size > SMALL_GROUP]):
         members = who[i : i + n]
         packed = t[members].tobytes()
         name = xxhash.xxh64_intdigest(packed) - 2**63
         if name not in groups:
             groups[name] = packed
-            add(np.repeat(members[:1], n - 1), members[1:], np.ones(n - 1, bool))
+            add(np.repeat(members[:1], n - 1), members[1:])
     return pairs, list(groups.items())
 
 
@@ -153,12 +154,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         more, large = _met(place[k], value[k], t[k], check[k])
         pairs += more
         groups.update(large)
-    pairs = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *pairs]), axis=0)
+    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0)
     for i in range(0, len(pairs), 100_000):
-        a, b, star = (pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(3))
-        yield pa.RecordBatch.from_arrays([a, b, star.cast(pa.bool_()), pa.nulls(len(a), pa.binary())], schema=MET)
+        a, b = (pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(2))
+        yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.binary())], schema=MET)
     for name, packed in groups.items():
-        yield rows_batch([[name, 0, False, packed]], MET)
+        yield rows_batch([[name, 0, packed]], MET)
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +174,9 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's shingles, hashed once and sorted, however many pairs it stands in."""
     for batch in batches:
-        packed = [shingles(t.as_py()).tobytes() for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(packed, pa.binary())], ["t", "s"])
+        sets = [shingles(t.as_py()) for t in batch.column("text")]
+        packed = pa.array([x.tobytes() for x in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(map(len, sets), pa.int32()), packed], ["t", "n", "s"])
 
 
 def spanning(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -218,38 +220,85 @@ def _similar(similarity: float) -> Callable:
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links of the components of the pairs whose texts are similar. Bodies are broadcast only if they are counted to be small."""
-    used = small(written(pairs.select(F.explode(F.array("a", "b")).alias("t")).distinct(), "near-used"))
-    own = texts.join(used, "t", "left_semi").dropDuplicates(["t"])
-    own = small(written(own.mapInArrow(_packed, "t long, s binary"), "near-shingles"))
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for t, s in zip(batch.column("t"), batch.column("s")):
+            x = np.frombuffer(s.as_buffer(), np.int64)
+            for i in range(0, len(x), 100_000):
+                part = pa.array(x[i : i + 100_000])
+                yield pa.RecordBatch.from_arrays([pa.array([t.as_py()] * len(part), pa.int64()), part], ["t", "x"])
+
+
+def _verified(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
+    """Links of the components of the pairs whose shingles (t, s) are similar."""
     both = pairs.join(own.select(F.col("t").alias("a"), F.col("s").alias("s_a")), "a").join(own.select(F.col("t").alias("b"), F.col("s").alias("s_b")), "b")
     return written(both.select("a", "b", "s_a", "s_b").mapInArrow(_similar(similarity), "a long, b long"), "near-pairs")
 
 
+def _shared(own: DataFrame, some: DataFrame) -> DataFrame:
+    """(t, n, m) for the texts t of some: how many shingles they have, and how many of them another of these texts has."""
+    own = own.join(some, "t", "left_semi")
+    alone = own.select("t", "s").mapInArrow(_each, "t long, x long").groupBy("x").agg(F.min("t").alias("t"), F.max("t").alias("high"))
+    alone = alone.where("t = high").groupBy("t").agg(F.count("*").alias("alone"))
+    return own.select("t", "n").join(alone, "t", "left").select("t", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
+
+
+def _possible(n_a: Column, m_a: Column, n_b: Column, m_b: Column, similarity: float) -> Column:
+    """No more than min(m_a, m_b) shingles can be common; a pair that fails this cannot be similar."""
+    both = F.least(m_a, m_b)
+    return both * (1 + similarity) >= similarity * (n_a + n_b) - 1e-6
+
+
+def _across(members: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of possible links between the components of each large group, from its members (g, t, root, n, m).
+    Members that share too little to be similar to any text as long as the group's shortest are left out; of the others,
+    those outside the group's largest component are compared with the rest of it."""
+    short = members.groupBy("g").agg(F.min("n").alias("short"))
+    able = members.join(short, "g").where(_possible(F.col("n"), F.col("m"), F.greatest("short", "m"), F.col("m"), similarity)).drop("short")
+    able = written(able, "near-able")
+    major = able.groupBy("g", "root").count().groupBy("g").agg(F.max_by("root", F.struct("count", "root")).alias("major"))
+    apart = small(written(able.join(major, "g").where("root != major").drop("major"), "near-apart"))
+    side = lambda df, x: df.select("g", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "root", "n", "m")])
+    near = (F.col("root_a") != F.col("root_b")) & _possible(*[F.col(c) for c in ("n_a", "m_a", "n_b", "m_b")], similarity)
+    found = side(able, "b").join(side(apart, "a"), "g").where(near)
+    return found.select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
+
+
 def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) for texts (t, text): every text that isn't the smallest of its component."""
     prints = texts.mapInArrow(_prints, "t long, print binary").groupBy("t").agg(F.first("print").alias("print"))
     dealt = prints.mapInArrow(_deal(n), "bucket int, place binary, value binary, t binary, check binary")
-    met = written(dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long, star boolean, members binary"), "near-met")
-    pairs = lambda star: met.where(F.col("members").isNull() & (F.col("star") == star)).select("a", "b").distinct()
-    roots = connected(_verified(written(pairs(True), "near-candidates"), texts, similarity))
-    links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-
-    # what met besides is compared only where it isn't in one component by now
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    rest = pairs(False).join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-    rest = rest.select("a", "b")
-    large = met.where("members is not null")
-    if not large.isEmpty():
-        members = large.dropDuplicates(["a"]).select("a", "members").mapInArrow(_members, "g long, t long")
-        members = members.join(roots.withColumnRenamed("node", "t"), "t", "left").select("g", "t", F.coalesce("root", "t").alias("root"))
-        members = written(members, "near-members")
-        split = members.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("g")
-        members = members.join(split, "g", "left_semi")
-        left, right = (members.select("g", F.col("t").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-        rest = rest.union(left.join(right, "g").where("root_a < root_b").select("a", "b")).distinct()
-    more = _verified(written(rest, "near-candidates"), texts, similarity)
+    met = written(dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long, members binary"), "near-met")
+    pairs = written(met.where("members is null").groupBy("a", "b").agg(F.count("*").alias("times")), "near-candidates")
+    members = met.where("members is not null").dropDuplicates(["a"]).select("a", "members").mapInArrow(_members, "g long, t long")
+    members = written(members, "near-members")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("t")).union(members.select("t")).distinct()
+    own = texts.join(small(written(used, "near-used")), "t", "left_semi").dropDuplicates(["t"])
+    own = small(written(own.mapInArrow(_packed, "t long, n int, s binary"), "near-shingles"))
+
+    # each text with the one it meets most often outside its component, then all that isn't in one component by now
+    links, roots, rest = None, None, pairs
+    of = lambda df, t, root: df.join(roots.select(F.col("node").alias(t), F.col("root").alias(root)), t, "left").withColumn(root, F.coalesce(root, t))
+    for _ in range(ROUNDS):
+        pair = F.struct("a", "b").alias("pair")
+        both = rest.select("times", pair, F.col("a").alias("t"), F.col("b").alias("other")).union(rest.select("times", pair, F.col("b").alias("t"), F.col("a").alias("other")))
+        first = written(both.groupBy("t").agg(F.max_by("pair", F.struct("times", "other")).alias("pair")).select("pair.*").distinct(), "near-first")
+        found = _verified(first, own, similarity)
+        links = written(links.union(found), "near-links") if links else found
+        roots = connected(links)
+        rest = of(of(rest.join(small(first), ["a", "b"], "left_anti"), "a", "root_a"), "b", "root_b").where("root_a != root_b")
+        rest = written(rest.select("a", "b", "times"), "near-rest")
+    links, rest = roots.select(F.col("root").alias("a"), F.col("node").alias("b")), rest.select("a", "b")
+    placed = of(members, "t", "root")
+    split = placed.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("g")
+    placed = written(placed.join(split, "g", "left_semi"), "near-members")
+
+    some = rest.select(F.explode(F.array("a", "b")).alias("t")).union(placed.select("t")).distinct()
+    shared = small(written(_shared(own, some), "near-shared"))
+    side = lambda x: shared.select(F.col("t").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"))
+    rest = rest.join(side("a"), "a").join(side("b"), "b").where(_possible(*[F.col(c) for c in ("n_a", "m_a", "n_b", "m_b")], similarity))
+    rest = rest.select("a", "b").union(_across(placed.join(shared, "t"), similarity)).distinct()
+    more = _verified(written(rest, "near-candidates"), own, similarity)
     return connected(links.union(more))
 
 
