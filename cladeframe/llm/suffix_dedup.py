@@ -359,10 +359,12 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, gram: int = GRAM,
     members = written(near.mapInArrow(_contexts(window, gram), CONTEXT_DDL), "contexts")
     classes = members.groupBy(*context).agg(F.count("*").alias("m"), F.min(F.struct("k1", "k2", "lo", "n")).alias("x"))
     classes = written(classes.select(*context, "m", "x.*"), "context-classes")
-    by_anchor = classes.groupBy("anchor").agg(F.count("*").alias("contexts"), F.sum("m").alias("total")).where("total > 1")
-    placed = written(classes.join(by_anchor, "anchor"), "context-groups")
+    by_anchor = classes.groupBy("anchor").agg(F.count("*").alias("contexts"), F.sum("m").alias("total"))
+    hot = small(written(by_anchor.where(F.col("contexts") > hot_contexts).select("anchor"), "hot-anchors"))
+    # hot anchors leave before anything is dealt by anchor, so no task gets more than hot_contexts rows of one
+    again = by_anchor.where(F.col("contexts").between(1, hot_contexts) & (F.col("total") > 1)).select("anchor")
+    cold = written(classes.join(hot, "anchor", "left_anti").join(again, "anchor", "left_semi"), "context-groups")
 
-    cold = placed.where(F.col("contexts") <= hot_contexts)
     sort_these = cold.groupBy(*key).agg(F.collect_list(F.struct("anchor", "c1", "c2", "lo", "n")).alias("parts"))
     ship = texts.join(sort_these.hint("shuffle_hash"), key).dropDuplicates(key)
     shipped = ship.mapInArrow(_shipped(window, n), "bucket int, anchor long, c1 long, c2 long, body binary").repartitionById(n, "bucket")
@@ -372,7 +374,6 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, gram: int = GRAM,
     marked = often.union(marked.join(often_keys, context, "left_anti"))
     found = members.join(marked, context).groupBy(*key).agg(F.collect_list(F.struct("lo", "n", "starts")).alias("parts"))
 
-    hot = small(written(placed.where(F.col("contexts") > hot_contexts).select("anchor").distinct(), "hot-anchors"))
     hot_runs = members.join(hot, "anchor").groupBy(*key).agg(F.collect_set(F.struct("lo", "n")).alias("parts"))
     by_string = R.repeated_places(texts.join(hot_runs.hint("shuffle_hash"), key), _hot_strings(window), n)
 
