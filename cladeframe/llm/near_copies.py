@@ -7,10 +7,12 @@ similarity 0.8 differ in about 15 % of the bits and meet with a chance of about
 by accident is thinned by 64 bits of the neighbouring blocks. Pairs that are left are decided by the exact similarity of
 their texts.
 
-Each text is decided first with the one it meets most often, and twice more with one outside its component. Other pairs, and those of groups of more than SMALL_GROUP
-texts, are decided only where their texts are in different components by then and could be similar: shingles that no other
-such text has cannot be common, which bounds a pair's similarity from above. So no pair that met is left out unless it
-cannot be a link, and a group of near copies costs links in proportion to its members.
+What meets is thinned to a spanning forest, whose pairs are decided first. Texts of one component of that forest form a
+cluster; every pair that met is in one. In a cluster that still falls into several groups of copies, links between groups are
+found exactly, by the differences of each text's shingles from those of one central text: two texts are similar only if their
+differences have enough in common. As at least one of them isn't similar to the central text, a known number of the rarest
+differences of the other must hold a common one, so texts meet on those alone, whichever block they met on. Differences
+that no other group has meet nothing. So a group of near copies costs rows in proportion to its members.
 
 Cases: upper and lower case are equal (ASCII), words end at ASCII white space. A text of fewer words than a shingle is one
 shingle; null texts and texts without words are copies of each other. Equal texts, named by 64 bits, are merged before
@@ -19,12 +21,13 @@ anything else. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, small, value_key, written
@@ -33,12 +36,13 @@ from .simhash import connected
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
-PRINT_WORDS, PREFIX, FAR, SMALL_GROUP, ROUNDS = 20, 5, 22, 32, 3
+PRINT_WORDS, PREFIX, FAR, SMALL_GROUP = 20, 5, 22, 32
 LOW = 32 - PREFIX
 FLUSH_PRINTS, RECORDS = 20_000, 200_000
 SEEDS = np.arange(1, PRINT_WORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 DEALT = pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("value", pa.binary()), ("t", pa.binary()), ("check", pa.binary())])
-MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("members", pa.binary())])
+APART = pa.schema([("c", pa.int64()), ("root", pa.int64()), ("t", pa.int64()), ("apart", pa.bool_()), ("n", pa.int32()), ("d", pa.int32()), ("rarest", pa.int32()), ("x", pa.int64())])
+SLACK = 1e-6  # for rounding, always towards keeping a pair
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -99,9 +103,14 @@ def _deal(n: int) -> Callable:
     return run
 
 
-def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray) -> tuple[list, list]:
-    """Rows (a, b) of pairs that meet and are near by the check bits, and the sorted members of every large group by its
-    hash; of a large group, the pairs are those with its smallest member."""
+def _central(check: np.ndarray) -> int:
+    """The member of a group that is nearest to the majority of its check bits."""
+    bits = np.unpackbits(check.view(np.uint8).reshape(len(check), -1), axis=1)
+    return int((bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1).argmin())
+
+
+def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray) -> list[np.ndarray]:
+    """Rows (a, b) of pairs that meet and are near by the check bits; in a large group, each member with the central one."""
     home = np.flatnonzero(value >> np.uint32(LOW) == place & np.uint16(2**PREFIX - 1))
     low, base = (value & np.uint32(2**LOW - 1)).astype(U), place.astype(U) << U(LOW)
     who = np.concatenate([np.arange(len(t)), np.tile(home, LOW)])
@@ -111,26 +120,41 @@ def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray)
     at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     size = np.diff(np.append(at, len(keys)))
     at, size = at[size > 1], size[size > 1]
-    pairs, groups = [], {}
-
-    def add(x: np.ndarray, y: np.ndarray) -> None:
-        near = np.bitwise_count(check[x] ^ check[y]) <= FAR
-        pairs.append(np.unique(np.stack([t[x[near]], t[y[near]]], axis=1), axis=0))
-
+    pairs, groups = [], set()
     few, first = size[size <= SMALL_GROUP], at[size <= SMALL_GROUP]
     for step in range(1, int(few.max(initial=1))):
         n = few[few > step] - step
         begin = np.repeat(first[few > step], n)
         i = begin - np.repeat(np.cumsum(n) - n, n) + np.arange(n.sum())
-        add(who[i], who[i + step])
+        x, y = who[i], who[i + step]
+        near = np.bitwise_count(check[x] ^ check[y]) <= FAR
+        pairs.append(np.unique(np.stack([t[x[near]], t[y[near]]], axis=1), axis=0))
     for i, n in zip(at[size > SMALL_GROUP], size[size > SMALL_GROUP]):
         members = who[i : i + n]
-        packed = t[members].tobytes()
-        name = xxhash.xxh64_intdigest(packed) - 2**63
+        name = xxhash.xxh64_intdigest(t[members].tobytes())
         if name not in groups:
-            groups[name] = packed
-            add(np.repeat(members[:1], n - 1), members[1:])
-    return pairs, list(groups.items())
+            groups.add(name)
+            hub = t[members[_central(check[members])]]
+            others = t[members][t[members] != hub]
+            pairs.append(np.stack([np.minimum(others, hub), np.maximum(others, hub)], axis=1))
+    return pairs
+
+
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """Pairs that connect the same texts without a cycle, those of the texts with most partners preferred."""
+    nodes, at, partners = np.unique(pairs, return_inverse=True, return_counts=True)
+    at = at.reshape(-1, 2)
+    order = np.argsort(-partners[at].max(axis=1), kind="stable")
+    root, kept = list(range(len(nodes))), []
+    for k, (x, y) in zip(order.tolist(), at[order].tolist()):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[y] = x
+            kept.append(k)
+    return pairs[kept]
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,27 +172,13 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for s in starts.tolist():
         if s - cuts[-1] >= RECORDS:
             cuts.append(s)
-    pairs, groups = [], {}
+    pairs = []
     for a, b in zip(cuts, [*cuts[1:], len(order)]):
         k = order[a:b]
-        more, large = _met(place[k], value[k], t[k], check[k])
-        pairs += more
-        groups.update(large)
-    pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0)
+        pairs += _met(place[k], value[k], t[k], check[k])
+    pairs = _forest(np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0))
     for i in range(0, len(pairs), 100_000):
-        a, b = (pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(2))
-        yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.binary())], schema=MET)
-    for name, packed in groups.items():
-        yield rows_batch([[name, 0, packed]], MET)
-
-
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for name, packed in zip(batch.column("a"), batch.column("members")):
-            t = np.frombuffer(packed.as_buffer(), np.int64)
-            for i in range(0, len(t), 100_000):
-                part = pa.array(t[i : i + 100_000])
-                yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(part), pa.int64()), part], ["g", "t"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(2)], ["a", "b"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,85 +230,85 @@ def _similar(similarity: float) -> Callable:
     return run
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for t, s in zip(batch.column("t"), batch.column("s")):
-            x = np.frombuffer(s.as_buffer(), np.int64)
-            for i in range(0, len(x), 100_000):
-                part = pa.array(x[i : i + 100_000])
-                yield pa.RecordBatch.from_arrays([pa.array([t.as_py()] * len(part), pa.int64()), part], ["t", "x"])
+def _far(similarity: float) -> float:
+    """Two texts are similar if shingles of one alone are at most this share of the sum of their shingles."""
+    return (1 - similarity) / (1 + similarity)
 
 
-def _verified(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
-    """Links of the components of the pairs whose shingles (t, s) are similar."""
-    both = pairs.join(own.select(F.col("t").alias("a"), F.col("s").alias("s_a")), "a").join(own.select(F.col("t").alias("b"), F.col("s").alias("s_b")), "b")
-    return written(both.select("a", "b", "s_a", "s_b").mapInArrow(_similar(similarity), "a long, b long"), "near-pairs")
+def _differences(similarity: float) -> Callable:
+    """A row for each shingle that a text or its cluster's central text has alone: d of a text with n shingles. apart: it isn't
+    similar to the central text. rarest: how many of the differences must hold one that it has in common with a text that is
+    apart and, if it is apart itself, has no fewer differences, if the two are similar."""
+    far = _far(similarity)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, root, t, s, s_c in zip(*[batch.column(x) for x in ("c", "root", "t", "s", "s_c")]):
+                own, center = np.frombuffer(s.as_buffer(), np.int64), np.frombuffer(s_c.as_buffer(), np.int64)
+                x = np.setxor1d(own, center, assume_unique=True)
+                apart = len(x) > far * (len(own) + len(center)) + SLACK
+                need = math.floor((len(x) + far * (len(center) - len(own)) + SLACK / 2) / 2) + 1
+                if apart:
+                    need = max(need, math.ceil(len(x) - far * len(own) * (1 + 1 / similarity) / 2 - SLACK))
+                same = [c.as_py(), root.as_py(), t.as_py(), apart, len(own), len(x), len(x) - max(1, need) + 1]
+                for i in range(0, len(x), 100_000):
+                    part = x[i : i + 100_000]
+                    yield pa.RecordBatch.from_arrays([*[pa.array([v] * len(part), f.type) for v, f in zip(same, APART)], pa.array(part)], schema=APART)
 
-def _shared(own: DataFrame, some: DataFrame) -> DataFrame:
-    """(t, n, m) for the texts t of some: how many shingles they have, and how many of them another of these texts has."""
-    own = own.join(some, "t", "left_semi")
-    alone = own.select("t", "s").mapInArrow(_each, "t long, x long").groupBy("x").agg(F.min("t").alias("t"), F.max("t").alias("high"))
-    alone = alone.where("t = high").groupBy("t").agg(F.count("*").alias("alone"))
-    return own.select("t", "n").join(alone, "t", "left").select("t", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
+    return run
 
 
-def _possible(n_a: Column, m_a: Column, n_b: Column, m_b: Column, similarity: float) -> Column:
-    """No more than min(m_a, m_b) shingles can be common; a pair that fails this cannot be similar."""
-    both = F.least(m_a, m_b)
-    return both * (1 + similarity) >= similarity * (n_a + n_b) - 1e-6
+def _verified(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
+    """Links of the components of the pairs whose shingles (t, s) are similar."""
+    both = pairs.join(own.select(F.col("t").alias("a"), F.col("s").alias("s_a")), "a").join(own.select(F.col("t").alias("b"), F.col("s").alias("s_b")), "b")
+    return written(both.select("a", "b", "s_a", "s_b").mapInArrow(_similar(similarity), "a long, b long"), "near-pairs")
 
 
-def _across(members: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of possible links between the components of each large group, from its members (g, t, root, n, m).
-    Members that share too little to be similar to any text as long as the group's shortest are left out; of the others,
-    those outside the group's largest component are compared with the rest of it."""
-    short = members.groupBy("g").agg(F.min("n").alias("short"))
-    able = members.join(short, "g").where(_possible(F.col("n"), F.col("m"), F.greatest("short", "m"), F.col("m"), similarity)).drop("short")
-    able = written(able, "near-able")
-    major = able.groupBy("g", "root").count().groupBy("g").agg(F.max_by("root", F.struct("count", "root")).alias("major"))
-    apart = small(written(able.join(major, "g").where("root != major").drop("major"), "near-apart"))
-    side = lambda df, x: df.select("g", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "root", "n", "m")])
-    near = (F.col("root_a") != F.col("root_b")) & _possible(*[F.col(c) for c in ("n_a", "m_a", "n_b", "m_b")], similarity)
-    found = side(able, "b").join(side(apart, "a"), "g").where(near)
-    return found.select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b"))
+def _across(placed: DataFrame, own: DataFrame, centers: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different groups of copies, one at least for each link between texts of one cluster in which not both
+    texts are similar to the central one. placed: (t, c, root), c the cluster and root the group; centers: (c, center)."""
+    center = centers.join(own.select(F.col("t").alias("center"), F.col("s").alias("s_c")), "center").select("c", "s_c")
+    texts = placed.join(own.select("t", "s"), "t").join(center, "c")
+    kinds = "c long, root long, t long, apart boolean, n int, d int, rarest int, x long"
+    every = written(texts.select("c", "root", "t", "s", "s_c").mapInArrow(_differences(similarity), kinds), "near-differences")
+    met = every.groupBy("c", "x").agg(F.count("*").alias("texts"), F.min("root").alias("low"), F.max("root").alias("high"), F.max("apart").alias("probed"))
+    met = met.where("low < high and probed").select("c", "x", "texts")
+    same = ["c", "root", "t", "apart", "n", "d", "rarest"]
+    each = every.join(met, ["c", "x"]).groupBy(same).agg(F.sort_array(F.collect_list(F.struct("texts", "x"))).alias("xs"))
+    # a text's differences from the rarest on, of which those that meet nothing are the first; after: how many follow one
+    each = each.select(*same, F.size("xs").alias("size"), F.posexplode("xs").alias("at", "x"))
+    each = written(each.select(*same, F.col("x.x").alias("x"), (F.col("size") - F.col("at") - 1).alias("after")), "near-differences")
+    side = lambda df, k: df.select("c", "x", *[F.col(v).alias(f"{v}_{k}") for v in ("root", "t", "apart", "n", "d", "after")])
+    a, b = side(each.where("apart"), "a"), side(each.where("d - after <= rarest"), "b")
+    order = ~F.col("apart_b") | (F.struct("d_a", "t_a") > F.struct("d_b", "t_b"))
+    # if this is the first in common
+    enough = 2 * (1 + F.least("after_a", "after_b")) >= F.col("d_a") + F.col("d_b") - _far(similarity) * (F.col("n_a") + F.col("n_b")) - SLACK
+    pairs = a.join(b, ["c", "x"]).where((F.col("root_a") != F.col("root_b")) & order & enough)
+    return pairs.select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b")).distinct()
 
 
 def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) for texts (t, text): every text that isn't the smallest of its component."""
     prints = texts.mapInArrow(_prints, "t long, print binary").groupBy("t").agg(F.first("print").alias("print"))
     dealt = prints.mapInArrow(_deal(n), "bucket int, place binary, value binary, t binary, check binary")
-    met = written(dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long, members binary"), "near-met")
-    pairs = written(met.where("members is null").groupBy("a", "b").agg(F.count("*").alias("times")), "near-candidates")
-    members = met.where("members is not null").dropDuplicates(["a"]).select("a", "members").mapInArrow(_members, "g long, t long")
-    members = written(members, "near-members")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("t")).union(members.select("t")).distinct()
-    own = texts.join(small(written(used, "near-used")), "t", "left_semi").dropDuplicates(["t"])
+    met = dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long")
+    pairs = written(met.groupBy("a", "b").agg(F.count("*").alias("times")), "near-pairs-met")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("t"), "times").groupBy("t").agg(F.sum("times").alias("times"))
+    used = small(written(used, "near-used"))
+    own = texts.join(used, "t", "left_semi").dropDuplicates(["t"])
     own = small(written(own.mapInArrow(_packed, "t long, n int, s binary"), "near-shingles"))
-
-    # each text with the one it meets most often outside its component, then all that isn't in one component by now
-    links, roots, rest = None, None, pairs
-    of = lambda df, t, root: df.join(roots.select(F.col("node").alias(t), F.col("root").alias(root)), t, "left").withColumn(root, F.coalesce(root, t))
-    for _ in range(ROUNDS):
-        pair = F.struct("a", "b").alias("pair")
-        both = rest.select("times", pair, F.col("a").alias("t"), F.col("b").alias("other")).union(rest.select("times", pair, F.col("b").alias("t"), F.col("a").alias("other")))
-        first = written(both.groupBy("t").agg(F.max_by("pair", F.struct("times", "other")).alias("pair")).select("pair.*").distinct(), "near-first")
-        found = _verified(first, own, similarity)
-        links = written(links.union(found), "near-links") if links else found
-        roots = connected(links)
-        rest = of(of(rest.join(small(first), ["a", "b"], "left_anti"), "a", "root_a"), "b", "root_b").where("root_a != root_b")
-        rest = written(rest.select("a", "b", "times"), "near-rest")
-    links, rest = roots.select(F.col("root").alias("a"), F.col("node").alias("b")), rest.select("a", "b")
-    placed = of(members, "t", "root")
-    split = placed.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("g")
-    placed = written(placed.join(split, "g", "left_semi"), "near-members")
-
-    some = rest.select(F.explode(F.array("a", "b")).alias("t")).union(placed.select("t")).distinct()
-    shared = small(written(_shared(own, some), "near-shared"))
-    side = lambda x: shared.select(F.col("t").alias(x), F.col("n").alias(f"n_{x}"), F.col("m").alias(f"m_{x}"))
-    rest = rest.join(side("a"), "a").join(side("b"), "b").where(_possible(*[F.col(c) for c in ("n_a", "m_a", "n_b", "m_b")], similarity))
-    rest = rest.select("a", "b").union(_across(placed.join(shared, "t"), similarity)).distinct()
-    more = _verified(written(rest, "near-candidates"), own, similarity)
+    links = _verified(pairs.select("a", "b"), own, similarity)
+
+    # clusters that fall into several groups of copies
+    of = lambda df, roots, name: df.join(roots.select(F.col("node").alias("t"), F.col("root").alias(name)), "t", "left").withColumn(name, F.coalesce(name, "t"))
+    placed = written(of(of(used, connected(pairs), "c"), connected(links), "root"), "near-placed")
+    center = F.max_by(F.struct(F.col("t").alias("center"), F.col("root").alias("root_c")), F.struct("times", "t")).alias("x")
+    centers = placed.groupBy("c").agg(F.min("root").alias("low"), F.max("root").alias("high"), center).where("low < high")
+    centers = small(written(centers.select("c", "x.*"), "near-centers"))
+    placed = written(placed.join(centers, "c").select("t", "c", "root", "center", "root_c"), "near-placed")
+    to_center = placed.where("root != root_c").select(F.least("t", "center").alias("a"), F.greatest("t", "center").alias("b"))
+    across = _across(placed.select("t", "c", "root"), own, centers.select("c", "center"), similarity)
+    more = _verified(written(to_center.union(across).distinct(), "near-candidates"), own, similarity)
     return connected(links.union(more))
 
 

@@ -77,10 +77,48 @@ def test_meets_one_flip_variants():
                     place.append((int(x) >> N.LOW) ^ flip)
                     value.append(x)
                     t.append(name)
-            pairs, _ = N._met(np.array(place, np.uint16), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64))
+            pairs = N._met(np.array(place, np.uint16), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64))
             assert any(len(p) for p in pairs) == meet
 
 
+def test_pairs_across_groups(spark):
+    """Every link of a cluster is found from the differences to any text of it, if not both its texts are similar to that."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    sets, texts = {}, []
+    for i in range(240):
+        words = list(base)
+        for k in rng.sample(range(120), i % 9):
+            words[k] = f"x{rng.randrange(3)}"
+        if i % 4 == 3:  # near an earlier one, wherever that lies
+            words = (texts[rng.randrange(len(texts))] + " y").split() + ["z"] * (i % 3)
+        texts.append(" ".join(words))
+        sets[i] = N.shingles(texts[i])
+    sets |= {300 + k: N.shingles(" ".join(f"v{rng.randrange(40)}" for _ in range(k))) for k in (1, 6, 7, 60)}
+
+    def similar(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return both >= 0.8 * (len(sets[a]) + len(sets[b]) - both)
+
+    own = spark.createDataFrame([(i, len(s), bytearray(s.tobytes())) for i, s in sets.items()], "t long, n int, s binary")
+    placed = spark.createDataFrame([(i, 0, i) for i in sets], "t long, c long, root long")
+    for center in (0, 8, 360):
+        found = {tuple(r) for r in N._across(placed, own, spark.createDataFrame([(0, center)], "c long, center long"), 0.8).collect()}
+        near = {i for i in sets if similar(i, center)}
+        links = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if similar(a, b)}
+        sought = {(a, b) for a, b in links if center not in (a, b) and not (a in near and b in near)}
+        assert sought and sought <= found
+
+
+def test_forest_connects_the_same():
+    rng = np.random.default_rng(3)
+    pairs = np.unique(np.sort(rng.integers(0, 300, (280, 2)), axis=1), axis=0)
+    pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+    kept = N._forest(pairs)
+    assert sorted(N.spanning(*kept.T.tolist())) == sorted(N.spanning(*pairs.T.tolist()))
+    assert len(kept) == len(N.spanning(*pairs.T.tolist())) and len(N._forest(pairs[:0])) == 0
+
+
 def test_spanning_forest():
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 300, 250).tolist(), rng.integers(0, 300, 250).tolist()
