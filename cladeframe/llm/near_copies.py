@@ -110,8 +110,11 @@ def _central(check: np.ndarray) -> int:
 
 
 def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray) -> list[np.ndarray]:
-    """Rows (a, b) of pairs that meet and are near by the check bits; in a large group, each member with the central one."""
-    home = np.flatnonzero(value >> np.uint32(LOW) == place & np.uint16(2**PREFIX - 1))
+    """Rows (a, b) of pairs that meet and are near by the check bits; in a large group, each member with the central one.
+    Texts that come from the same other prefix meet at that one already."""
+    origin = value >> np.uint32(LOW)
+    away = origin != place & np.uint16(2**PREFIX - 1)
+    home = np.flatnonzero(~away)
     low, base = (value & np.uint32(2**LOW - 1)).astype(U), place.astype(U) << U(LOW)
     who = np.concatenate([np.arange(len(t)), np.tile(home, LOW)])
     keys = np.concatenate([base | low, *[(base | (low ^ U(1 << j)))[home] for j in range(LOW)]])
@@ -127,10 +130,12 @@ def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray)
         begin = np.repeat(first[few > step], n)
         i = begin - np.repeat(np.cumsum(n) - n, n) + np.arange(n.sum())
         x, y = who[i], who[i + step]
-        near = np.bitwise_count(check[x] ^ check[y]) <= FAR
+        near = (np.bitwise_count(check[x] ^ check[y]) <= FAR) & ~((origin[x] == origin[y]) & away[x])
         pairs.append(np.unique(np.stack([t[x[near]], t[y[near]]], axis=1), axis=0))
     for i, n in zip(at[size > SMALL_GROUP], size[size > SMALL_GROUP]):
         members = who[i : i + n]
+        if away[members[0]] and (origin[members] == origin[members[0]]).all():
+            continue
         name = xxhash.xxh64_intdigest(t[members].tobytes())
         if name not in groups:
             groups.add(name)
