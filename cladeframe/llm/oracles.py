@@ -121,6 +121,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM d LEFT JOIN b USING (r) LEFT JOIN ok USING (r)
 """
 
+EXACT = f"""
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AND row_number() OVER (PARTITION BY t, doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {LOW} AS t FROM documents) WINDOW g AS (PARTITION BY t)
+"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING,
     "op2_line_dedup": LINES,
@@ -128,4 +133,5 @@ SQL: dict[str, str] = {
     "op4_decontaminate": CONTAMINATION,
     "op9_mix_sources": MIX,
     "op10_license_scan": LICENSES,
+    "op13_exact_dedup": EXACT,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import table
 from .decontaminate import contamination
+from .exact_dedup import duplicate_groups
 from .html_text import main_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
@@ -79,6 +80,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with the largest doc_id among the rows of equal text, and how many these are."""
+    out = duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
