@@ -126,6 +126,22 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM (SELECT doc_id, {LOW} AS t FROM documents) WINDOW g AS (PARTITION BY t)
 """
 
+AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS} AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+ || CASE WHEN 100 * {count("[A-Z]", "t")} > 10 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS bad FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, bad, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY ALL),
+v AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM v a, v b, v c, v d, v e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[:step - 1] AS earlier FROM o, range(1, 6) r(step)),
+x AS (SELECT part, filter_order, step, own, n, good, toxic, bad, contains(bad, own) AS fails, translate(bad, earlier, '') <> bad AS gone FROM m, s),
+g AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (WHERE NOT fails AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (WHERE fails AND gone), 0) AS redundant,
+ coalesce(sum(n) FILTER (WHERE bad = own), 0) AS unique_fails, coalesce(sum(good) FILTER (WHERE fails AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE fails AND NOT gone), 0) AS toxic_lost FROM x GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+ CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g
+"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING,
     "op2_line_dedup": LINES,
@@ -133,5 +149,6 @@ SQL: dict[str, str] = {
     "op4_decontaminate": CONTAMINATION,
     "op9_mix_sources": MIX,
     "op10_license_scan": LICENSES,
+    "op12_filter_audit": AUDIT,
     "op13_exact_dedup": EXACT,
 }

@@ -11,6 +11,7 @@ from . import oracles
 from .common import table
 from .decontaminate import contamination
 from .exact_dedup import duplicate_groups
+from .filter_audit import audit
 from .html_text import main_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
@@ -80,6 +81,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, by language, order of the filters and step."""
+    return audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row with the largest doc_id among the rows of equal text, and how many these are."""
     out = duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
