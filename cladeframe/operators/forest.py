@@ -1,8 +1,10 @@
 """Operators on forests: node tables of many trees at once.
 
-nodes(tree_id, node_id, parent_id, name, dist, support, depth, tin, tout, path): a tip has tin = tout, its number from
-the left; an inner node spans [tin, tout]; path lists the nodes from the root. Joins between nodes and tips go through
-exploded paths, so they are equi-joins whose size is the sum of tip depths.
+nodes(tree_id, node_id, parent_id, name, dist, support, depth, tin, tout): a tip has tin = tout, its number from
+the left, from 0; an inner node spans [tin, tout]. Counts below nodes are differences of prefix sums over the tips, lowest
+common ancestors are least depths between two tips, and tips meet clades that don't overlap by the last clade that began
+before them; these take memory and rows in proportion to the nodes, however deep a tree is. Where pairs of tip and
+ancestor are the result (clade_tips, and monophyly, which counts by taxon), nodes meet tips in bins of their intervals.
 """
 
 from __future__ import annotations
@@ -10,35 +12,122 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeframe.operators.intervals import least_between, nearest, prefix_sums, previous_equal
 from cladeframe.operators.store import numbered, stored
 
 
+BIN_BITS = 8
+
+
 def tips(nodes: DataFrame) -> DataFrame:
     inner = nodes.where("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id")).distinct()
     return nodes.join(inner, ["tree_id", "node_id"], "left_anti")
 
 
+def above(nodes: DataFrame, points: DataFrame) -> DataFrame:
+    """points (tree_id, at, ...) with node_id, tin, tout and depth of each node whose interval holds their position: both sides meet in
+    bins of positions."""
+    tip_bin = lambda c: F.shiftright(F.col(c).cast("long"), BIN_BITS)
+    spans = nodes.select("tree_id", "node_id", "depth", F.col("tin").cast("long").alias("tin"), F.col("tout").cast("long").alias("tout"), F.explode(F.sequence(tip_bin("tin"), tip_bin("tout"))).alias("__bin"))
+    return points.withColumn("__bin", tip_bin("at")).join(spans, ["tree_id", "__bin"]).where("at between tin and tout").drop("__bin")
+
+
 def clade_tips(nodes: DataFrame) -> DataFrame:
     """(tree_id, node_id, tip, tip_id): every tip below each node, the tip itself included."""
-    own = tips(nodes).select("tree_id", F.col("name").alias("tip"), F.col("node_id").alias("tip_id"), "path")
-    return own.select("tree_id", F.explode("path").alias("node_id"), "tip", "tip_id")
+    own = tips(nodes).select("tree_id", F.col("tin").cast("long").alias("at"), F.col("name").alias("tip"), F.col("node_id").alias("tip_id"))
+    return above(nodes, own).select("tree_id", "node_id", "tip", "tip_id")
+
+
+def positions(nodes: DataFrame) -> DataFrame:
+    """(tree_id, at, tip): the tips by their number from the left."""
+    return tips(nodes).select("tree_id", F.col("tin").cast("long").alias("at"), F.col("name").alias("tip"))
+
+
+def _sums_below(nodes: DataFrame, sums: DataFrame, names: list[str], left_open: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """(tree_id, node_id, names): sums over each node's tips from prefix sums (tree_id, at, names); those of left_open
+    leave out the node's first tip. keep: more columns of nodes."""
+    last = sums.select("tree_id", F.col("at").alias("tout"), *[F.col(n).alias(f"{n}_to") for n in names])
+    first = sums.select("tree_id", F.col("at").alias("tin"), *[(F.col(n) if n in left_open else F.col(f"{n}_open")).alias(f"{n}_from") for n in names])
+    out = nodes.select("tree_id", "node_id", *keep, F.col("tin").cast("long").alias("tin"), F.col("tout").cast("long").alias("tout")).join(last, ["tree_id", "tout"]).join(first, ["tree_id", "tin"])
+    return out.select("tree_id", "node_id", *keep, *[(F.col(f"{n}_to") - F.col(f"{n}_from")).alias(n) for n in names])
+
+
+def _summed(own: DataFrame, values: dict) -> DataFrame:
+    """Prefix sums with the position (name) and without it (name_open)."""
+    out = prefix_sums(own.select("tree_id", "at", *[v.alias(f"own_{n}") for n, v in values.items()]), {n: F.col(f"own_{n}") for n in values})
+    return out.select("tree_id", "at", *values, *[(F.col(n) - F.col(f"own_{n}")).alias(f"{n}_open") for n in values])
+
+
+def _chain_tops(nodes: DataFrame) -> DataFrame:
+    """(tree_id, at, depth, parent_id) of the highest node that begins at each tip; the tip and the one before it have
+    parent_id as their lowest common ancestor."""
+    top = nodes.groupBy("tree_id", F.col("tin").cast("long").alias("at")).agg(F.min(F.struct("depth", "node_id", "parent_id")).alias("t"))
+    return top.select("tree_id", "at", F.col("t.depth").alias("depth"), F.col("t.parent_id").alias("parent_id"))
 
 
 def clade_counts(nodes: DataFrame, annotations: DataFrame, trait: str = "trait", tip: str = "tip", species: str = "species_id") -> DataFrame:
-    """(tree_id, node_id, samples, species, zero, one, missing) for every node; annotations hold one row per tip."""
-    own = clade_tips(nodes).join(annotations.select(F.col(tip).alias("tip"), species, trait), "tip", "left")
-    return own.groupBy("tree_id", "node_id").agg(
-        F.count("*").alias("samples"), F.count_distinct(species).alias("species"), F.count_if(F.col(trait) == "0").alias("zero"), F.count_if(F.col(trait) == "1").alias("one"), F.count_if(F.col(trait).isNull()).alias("missing"),
-    )
+    """(tree_id, node_id, samples, species, zero, one, missing) for every node; annotations hold one row per tip.
+
+    Distinct species are the tips that have one, less one for each tip whose species stood further left below the same
+    node: that holds from the lowest common ancestor of the two upwards."""
+    own = positions(nodes).join(annotations.select(F.col(tip).alias("tip"), F.col(species).alias("species"), F.col(trait).alias("trait")), "tip", "left")
+    own = stored(own.select("tree_id", "at", "species", "trait"), "clade-tips")
+    again = previous_equal(own.where("species is not null").select("tree_id", "at", "species"), "species").where("before is not null")
+    points = _chain_tops(nodes).select("tree_id", "at", F.col("depth").alias("v"))
+    marks = least_between(points, again.select("tree_id", (F.col("before") + 1).alias("lo"), F.col("at").alias("hi")))
+    marks = marks.groupBy("tree_id", F.col("least").alias("at")).agg(F.count("*").alias("marks"))
+    own = own.join(marks, ["tree_id", "at"], "left")
+    one_if = lambda rule: F.when(rule, 1).otherwise(0)
+    state = F.col("trait")
+    sums = _summed(own, {
+        "samples": F.lit(1), "named": one_if(F.col("species").isNotNull()), "marks": F.coalesce("marks", F.lit(0)),
+        "zero": one_if(state == "0"), "one": one_if(state == "1"), "missing": one_if(state.isNull()),
+    })
+    out = _sums_below(nodes, sums, ["samples", "named", "marks", "zero", "one", "missing"], ("marks",))
+    return out.select("tree_id", "node_id", "samples", (F.col("named") - F.col("marks")).alias("species"), "zero", "one", "missing")
+
+
+def lowest_common(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pairs (tree_id, lo, hi, ...) with node_id, the lowest node above the tips numbered lo and hi, lo <= hi."""
+    tops = _chain_tops(nodes)
+    found = least_between(tops.select("tree_id", "at", F.col("depth").alias("v")), pairs.where("lo < hi").withColumn("lo", F.col("lo") + 1))
+    found = found.withColumn("lo", F.col("lo") - 1).join(tops.select("tree_id", F.col("at").alias("least"), F.col("parent_id").alias("node_id")), ["tree_id", "least"])
+    alone = pairs.where("lo = hi").join(tips(nodes).select("tree_id", F.col("tin").cast("long").alias("lo"), "node_id"), ["tree_id", "lo"])
+    return found.select(*pairs.columns, "node_id").unionByName(alone.select(*pairs.columns, "node_id"))
 
 
 def common_ancestors(nodes: DataFrame, groups: DataFrame, group: str = "grp") -> DataFrame:
     """(tree_id, group, node_id): lowest node above all of each group's tips that the tree has."""
-    own = clade_tips(nodes).join(groups.select(group, "tip").distinct(), "tip")
-    size = own.groupBy("tree_id", group).agg(F.count_distinct("tip").alias("n"))
-    met = own.groupBy("tree_id", group, "node_id").agg(F.count("*").alias("m")).join(size, ["tree_id", group]).where("m = n")
-    deep = met.join(nodes.select("tree_id", "node_id", "depth"), ["tree_id", "node_id"])
-    return deep.groupBy("tree_id", group).agg(F.max_by("node_id", "depth").alias("node_id"))
+    ends = positions(nodes).join(groups.select(group, "tip").distinct(), "tip").groupBy("tree_id", group).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    return lowest_common(nodes, ends).select("tree_id", group, "node_id")
+
+
+def covering(nodes: DataFrame, clades: DataFrame) -> DataFrame:
+    """(tree_id, at, tip, ...): tips with the columns of the clade (tree_id, node_id, ...) that holds them. Clades of one tree
+    must not overlap."""
+    kept = [c for c in clades.columns if c != "tree_id"]
+    begin = clades.join(nodes.select("tree_id", "node_id", F.col("tin").cast("long").alias("at"), F.col("tout").cast("long").alias("__end")), ["tree_id", "node_id"])
+    begin = begin.select("tree_id", "at", F.struct("__end", *kept).alias("__clade"))
+    own = nearest(positions(nodes).join(begin, ["tree_id", "at"], "left"), F.col("__clade"))
+    return own.where(F.col("near.__end") >= F.col("at")).select("tree_id", "at", "tip", *[F.col(f"near.{c}").alias(c) for c in kept])
+
+
+def one_label(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(tree_id, node_id, parent_id, depth, n, label) for nodes above a labelled tip: n labelled tips, and their label if all have the same, else
+    null. labels: (tree_id, at, label), a tip at most once and never null.
+
+    Below a node all labels are one if none from the second labelled tip on differs from the labelled tip before it."""
+    own = positions(nodes).select("tree_id", "at").join(labels, ["tree_id", "at"], "left")
+    shifted = own.select("tree_id", (F.col("at") + 1).alias("at"), F.col("label").alias("left_label"))
+    back = nearest(own.join(shifted, ["tree_id", "at"], "left"), F.col("left_label"), name="last_label")
+    sums = _summed(back, {"n": F.when(F.col("label").isNotNull(), 1).otherwise(0), "changes": F.when(F.col("label") != F.col("last_label"), 1).otherwise(0)})
+    sums = stored(own.join(sums, ["tree_id", "at"]), "label-sums")
+    first = nearest(sums.select("tree_id", "at", F.when(F.col("label").isNotNull(), F.struct("label", "changes")).alias("s")), F.col("s"), name="first", after=True)
+    out = nodes.select("tree_id", "node_id", "parent_id", "depth", F.col("tin").cast("long").alias("tin"), F.col("tout").cast("long").alias("tout"))
+    out = out.join(first.select("tree_id", F.col("at").alias("tin"), "first"), ["tree_id", "tin"])
+    out = out.join(sums.select("tree_id", F.col("at").alias("tin"), "n_open"), ["tree_id", "tin"]).join(sums.select("tree_id", F.col("at").alias("tout"), F.col("n").alias("n_to"), F.col("changes").alias("to")), ["tree_id", "tout"])
+    out = out.withColumn("n", F.col("n_to") - F.col("n_open")).where("n > 0")
+    return out.select("tree_id", "node_id", "parent_id", "depth", "n", F.when(F.col("to") == F.col("first.changes"), F.col("first.label")).alias("label"))
 
 
 def tree_problems(nodes: DataFrame, expected: DataFrame | None = None) -> DataFrame:
@@ -64,58 +153,70 @@ def root_check(nodes: DataFrame, outgroup: DataFrame) -> DataFrame:
 
 def _hits(nodes: DataFrame, group: DataFrame) -> DataFrame:
     """(tree_id, node_id, n, hits, k, total): tips and group tips below each node, and in the tree."""
-    own = clade_tips(nodes).join(group.select("tip").distinct().withColumn("h", F.lit(1)), "tip", "left")
-    per = own.groupBy("tree_id", "node_id").agg(F.count("*").alias("n"), F.count("h").alias("hits"))
-    return per.join(per.where("node_id = 0").select("tree_id", F.col("hits").alias("k"), F.col("n").alias("total")), "tree_id")
+    own = positions(nodes).join(group.select("tip").distinct().withColumn("h", F.lit(1)), "tip", "left")
+    per = stored(_sums_below(nodes, _summed(own, {"n": F.lit(1), "hits": F.coalesce("h", F.lit(0))}), ["n", "hits"], keep=("parent_id",)), "hits")
+    whole = per.where("parent_id is null").select("tree_id", F.col("hits").alias("k"), F.col("n").alias("total"))
+    return per.drop("parent_id").join(whole, "tree_id")
 
 
 def separating_edges(nodes: DataFrame, group: DataFrame) -> DataFrame:
     """(tree_id, node_id): edges above the nodes that part the group's tips from all others."""
-    c = _hits(nodes, group).where("node_id <> 0 and k > 0")
+    c = _hits(nodes, group).where("n < total and k > 0")
     inside = (F.col("hits") == F.col("k")) & (F.col("n") == F.col("k"))
     outside = (F.col("hits") == 0) & (F.col("n") == F.col("total") - F.col("k"))
     return c.where(inside | outside).select("tree_id", "node_id")
 
 
+def _contracted(nodes: DataFrame, keep: DataFrame) -> DataFrame:
+    """(tree_id, node_id, parent_id, name, dist, n, tin, tout) of the trees cut to the tips of keep(tip)."""
+    own = positions(nodes).join(keep.select("tip").distinct().withColumn("kept", F.lit(1)), "tip", "left").select("tree_id", "at", "kept")
+    sums = _summed(own, {"n": F.coalesce("kept", F.lit(0))})
+    spans = nodes.select("tree_id", "node_id", "parent_id", "name", "dist", "depth", F.col("tin").cast("long").alias("tin"), F.col("tout").cast("long").alias("tout"))
+    spans = spans.join(sums.select("tree_id", F.col("at").alias("tin"), F.col("n_open").alias("a")), ["tree_id", "tin"]).join(sums.select("tree_id", F.col("at").alias("tout"), F.col("n").alias("b")), ["tree_id", "tout"])
+    spans = stored(spans.where("b > a").select("tree_id", "node_id", "parent_id", "name", "dist", "depth", "a", "b"), "kept-spans")
+    # nodes of one way with the same tips below become one, the lowest: it is a tip, or a child has fewer
+    of = ["tree_id", "a", "b"]
+    chains = spans.groupBy(*of).agg(F.max_by(F.struct("node_id", "name"), "depth").alias("low"), F.min_by("parent_id", "depth").alias("above"), F.sum("dist").alias("dist"))
+    up = chains.join(spans.select("tree_id", F.col("node_id").alias("above"), F.col("a").alias("up_a"), F.col("b").alias("up_b")), ["tree_id", "above"], "left")
+    reps = chains.select("tree_id", F.col("a").alias("up_a"), F.col("b").alias("up_b"), F.col("low.node_id").alias("parent_id"))
+    out = up.join(reps, ["tree_id", "up_a", "up_b"], "left")
+    big = chains.groupBy("tree_id").agg(F.max(F.col("b") - F.col("a")).alias("m")).where("m >= 2").select("tree_id")
+    n = F.col("b") - F.col("a")
+    return out.join(big, "tree_id", "left_semi").select(
+        "tree_id", F.col("low.node_id").alias("node_id"), "parent_id", F.when(n == 1, F.col("low.name")).alias("name"), F.when(F.col("parent_id").isNotNull(), F.col("dist")).alias("dist"),
+        n.alias("n"), F.col("a").alias("tin"), (F.col("b") - 1).alias("tout"),
+    )
+
+
+def with_depth(nodes: DataFrame) -> DataFrame:
+    """nodes with depth, from intervals: in the order of opening, the nodes before one less those that have closed."""
+    first = numbered(nodes, [F.col("tree_id"), F.col("tin"), F.col("tout").desc()], "__place")
+    start = first.groupBy("tree_id").agg(F.min("__place").alias("__start"))
+    closed = first.groupBy("tree_id", F.col("tout").cast("long").alias("at")).agg(F.count("*").alias("closed"))
+    shut = prefix_sums(closed, {"shut": F.col("closed")}).select("tree_id", (F.col("at") + 1).alias("tin"), "shut")
+    out = first.drop("depth").join(start, "tree_id").join(shut, ["tree_id", "tin"], "left")
+    depth = (F.col("__place") - F.col("__start") - F.coalesce("shut", F.lit(0))).cast("int")
+    return out.withColumn("depth", depth).drop("__place", "__start", "shut")
+
+
 def pruned(nodes: DataFrame, keep: DataFrame) -> DataFrame:
     """Node table of the trees cut to the tips of keep(tip): nodes with one child left are contracted, branch lengths
     summed along them, names and supports of inner nodes cleared; trees with under two tips are dropped. tin, tout and
-    path are those of the kept nodes."""
-    kept = clade_tips(nodes).join(keep.select("tip").distinct(), "tip", "left_semi")
-    counts = kept.groupBy("tree_id", "node_id").agg(F.count("*").alias("n"), F.min("tip_id").alias("a"), F.max("tip_id").alias("b"))
-    big = counts.groupBy("tree_id").agg(F.max("n").alias("m")).where("m >= 2").select("tree_id")
-    own = nodes.join(counts, ["tree_id", "node_id"]).join(big, "tree_id", "left_semi")
-    # of the nodes of one way with the same tips below, the lowest is kept: it is a tip, or a child has fewer
-    same = own.groupBy("tree_id", "a", "b", "n").agg(F.max_by("node_id", "depth").alias("rep"))
-    own = own.join(same, ["tree_id", "a", "b", "n"])
-    length = own.groupBy("tree_id", "rep").agg(F.sum("dist").alias("dist"))
-    reps = own.where("node_id = rep").select("tree_id", "node_id", "name", "path", "n")
-    alive = reps.select("tree_id", F.col("node_id").alias("up"))
-    steps = reps.select("tree_id", "node_id", F.posexplode("path").alias("at", "up")).join(alive, ["tree_id", "up"])
-    steps = steps.groupBy("tree_id", "node_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "up"))), lambda s: s["up"]).alias("path"))
-    out = reps.drop("path").join(steps, ["tree_id", "node_id"]).join(length.withColumnRenamed("rep", "node_id"), ["tree_id", "node_id"])
-    place = F.dense_rank().over(Window.partitionBy("tree_id").orderBy("node_id")) - 1
-    tip = out.where("n = 1").select("tree_id", "node_id", place.alias("tin"))
-    span = out.where("n = 1").select("tree_id", F.col("node_id").alias("t"), F.explode("path").alias("node_id")).join(tip.withColumnRenamed("node_id", "t"), ["tree_id", "t"])
-    span = span.groupBy("tree_id", "node_id").agg(F.min("tin").alias("tin"), F.max("tin").alias("tout"))
-    out = out.join(span, ["tree_id", "node_id"])
-    depth = F.size("path") - 1
-    return out.select(
-        "tree_id", "node_id", F.when(depth > 0, F.get("path", depth - 1)).alias("parent_id"), F.when(F.col("n") == 1, F.col("name")).alias("name"),
-        F.when(depth > 0, F.col("dist")).alias("dist"), F.lit(None).cast("double").alias("support"), depth.alias("depth"), "tin", "tout", "path", F.lit(None).cast("string").alias("problem"),
-    )
+    depth are those of the kept nodes."""
+    out = with_depth(_contracted(nodes, keep))
+    return out.select("tree_id", "node_id", "parent_id", "name", "dist", F.lit(None).cast("double").alias("support"), "depth", "tin", "tout", F.lit(None).cast("string").alias("problem"))
+
+
+def _labelled(nodes: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    return positions(nodes).join(labels.where(F.col(label).isNotNull()).select("tip", F.col(label).alias("label")), "tip").select("tree_id", "at", "label")
 
 
 def uniform_clades(nodes: DataFrame, traits: DataFrame, trait: str = "trait") -> DataFrame:
-    """(tree_id, node_id, state): maximal clades whose tips all have one observed state. Tips without a state are pruned first."""
-    seen = traits.where(F.col(trait).isNotNull()).select("tip", trait)
-    own = clade_tips(nodes).join(seen, "tip")
-    states = own.groupBy("tree_id", "node_id").agg(F.min(trait).alias("lo"), F.max(trait).alias("hi"), F.min("tip_id").alias("a"), F.max("tip_id").alias("b"), F.count("*").alias("n"))
-    states = states.join(nodes.select("tree_id", "node_id", "parent_id", "depth"), ["tree_id", "node_id"])
-    one = states.where("lo = hi")
-    mixed = states.where("lo <> hi").select("tree_id", F.col("node_id").alias("parent_id"), F.lit(True).alias("mixed"))
-    top = one.join(mixed, ["tree_id", "parent_id"], "left").where("mixed or parent_id is null")
-    return top.select("tree_id", "node_id", F.col("lo").alias("state"), "parent_id", "n")
+    """(tree_id, node_id, state, parent_id, n): maximal clades whose tips all have one observed state. Tips without a state don't count."""
+    per = stored(one_label(nodes, _labelled(nodes, traits, trait)), "one-label")
+    above = per.select("tree_id", F.col("node_id").alias("parent_id"), F.col("label").isNull().alias("mixed"))
+    top = per.where("label is not null").join(above, ["tree_id", "parent_id"], "left").where("mixed or parent_id is null")
+    return top.select("tree_id", "node_id", F.col("label").alias("state"), "parent_id", "n")
 
 
 def contrast_pairs(nodes: DataFrame, traits: DataFrame, trait: str = "trait") -> DataFrame:
@@ -123,7 +224,8 @@ def contrast_pairs(nodes: DataFrame, traits: DataFrame, trait: str = "trait") ->
     each state. After pruning tips without a state a node whose children are exactly two uniform clades of opposite states
     is a pair; with more than two groups it is unresolved and has no id. Pairs don't overlap, so ids in the order of
     their sorted tips are ids in the order of their first tips. Give stored nodes: they are used several times."""
-    kept = stored(pruned(nodes, traits.where(F.col(trait).isNotNull()).select("tip")), "pruned")
+    kept = _contracted(nodes, traits.where(F.col(trait).isNotNull()).select("tip"))
+    kept = stored(kept.withColumn("depth", F.lit(0)), "pruned")
     clades = uniform_clades(kept, traits, trait)
     children = kept.where("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.count("*").alias("children"))
     tips_of = lambda s: F.sum(F.when(F.col("state") == s, F.col("n")).otherwise(0))
@@ -132,8 +234,7 @@ def contrast_pairs(nodes: DataFrame, traits: DataFrame, trait: str = "trait") ->
     )
     per = stored(per.join(children, ["tree_id", "parent_id"]).where("groups = children and z > 0 and o > 0"), "meeting-clades")
     out = per.withColumn("resolved", (F.col("z") == 1) & (F.col("o") == 1) & (F.col("groups") == 2)).withColumnRenamed("parent_id", "node_id")
-    pairs = out.where("resolved").select("tree_id", "node_id")
-    first = clade_tips(kept).join(pairs, ["tree_id", "node_id"]).groupBy("tree_id", "node_id").agg(F.min("tip").alias("first"))
+    first = covering(kept, out.where("resolved").select("tree_id", "node_id")).groupBy("tree_id", "node_id").agg(F.min("tip").alias("first"))
     placed = numbered(first, ["tree_id", "first"])
     start = placed.groupBy("tree_id").agg(F.min("place").alias("start"))
     ids = placed.join(start, "tree_id").select("tree_id", "node_id", (F.col("place") - F.col("start") + 1).cast("int").alias("pair_id"))
@@ -142,20 +243,18 @@ def contrast_pairs(nodes: DataFrame, traits: DataFrame, trait: str = "trait") ->
 
 def pair_tips(nodes: DataFrame, pairs: DataFrame, traits: DataFrame, trait: str = "trait") -> DataFrame:
     """(tree_id, pair_id, tip, state) of resolved pairs, from the unpruned nodes: pruning keeps the ids of nodes."""
-    own = pairs.where("resolved").select("tree_id", "node_id", "pair_id")
-    below = clade_tips(nodes).join(own, ["tree_id", "node_id"])
+    below = covering(nodes, pairs.where("resolved").select("tree_id", "node_id", "pair_id"))
     return below.join(traits.where(F.col(trait).isNotNull()).select("tip", F.col(trait).alias("state")), "tip").select("tree_id", "pair_id", "tip", "state")
 
 
 def blocks(nodes: DataFrame, pair_tips: DataFrame, members: DataFrame) -> DataFrame:
     """(tree_id, block_id, tip): the largest clade with one pair and no other; pair_tips(tree_id, tip, pair_id) are the
     tips of pairs, members(tip) those that may join (tips without a trait may not)."""
-    below = clade_tips(nodes)
-    own = below.join(pair_tips, ["tree_id", "tip"]).groupBy("tree_id", "node_id").agg(F.count_distinct("pair_id").alias("pairs"), F.min("pair_id").alias("block_id"), F.count_distinct("tip").alias("n"))
+    labels = positions(nodes).join(pair_tips.select("tree_id", "tip", F.col("pair_id").alias("label")).distinct(), ["tree_id", "tip"]).select("tree_id", "at", "label")
     full = pair_tips.groupBy("tree_id", F.col("pair_id").alias("block_id")).agg(F.count_distinct("tip").alias("size"))
-    single = own.where("pairs = 1").join(full, ["tree_id", "block_id"]).where("n = size").join(nodes.select("tree_id", "node_id", "depth"), ["tree_id", "node_id"])
+    single = one_label(nodes, labels).where("label is not null").withColumnRenamed("label", "block_id").join(full, ["tree_id", "block_id"]).where("n = size")
     top = single.groupBy("tree_id", "block_id").agg(F.min_by("node_id", "depth").alias("node_id"))
-    return below.join(top, ["tree_id", "node_id"]).join(members.select("tip").distinct(), "tip", "left_semi").select("tree_id", "block_id", "tip")
+    return covering(nodes, stored(top, "block-tops")).join(members.select("tip").distinct(), "tip", "left_semi").select("tree_id", "block_id", "tip")
 
 
 def monophyly(nodes: DataFrame, taxa: DataFrame, core: float = 0.5) -> DataFrame:
@@ -191,9 +290,10 @@ def monophyly_roles(nodes: DataFrame, taxa: DataFrame, groups: DataFrame) -> Dat
 def age_conflicts(nodes: DataFrame, bounds: DataFrame) -> DataFrame:
     """(tree_id, node_id, minimum, maximum, youngest_max, conflict, redundant) from bounds(tree_id, node_id, minimum,
     maximum): a maximum under some descendant's minimum is a conflict, a minimum below a descendant's is redundant."""
-    own = bounds.join(nodes.select("tree_id", "node_id", "path"), ["tree_id", "node_id"])
-    up = own.select("tree_id", F.explode("path").alias("anc"), F.col("node_id").alias("d"), F.col("minimum").alias("low")).where("anc <> d")
-    most = up.groupBy("tree_id", F.col("anc").alias("node_id")).agg(F.max("low").alias("below"))
+    placed = bounds.join(nodes.select("tree_id", "node_id", "tin", "tout", "depth"), ["tree_id", "node_id"])
+    points = placed.select("tree_id", F.col("tin").cast("long").alias("at"), F.col("node_id").alias("d"), F.col("tout").alias("end"), F.col("depth").alias("level"), F.col("minimum").alias("low"))
+    up = above(placed, points).where("tout >= end and depth < level")
+    most = up.groupBy("tree_id", "node_id").agg(F.max("low").alias("below"))
     out = bounds.join(most, ["tree_id", "node_id"], "left")
     return out.withColumn("conflict", F.coalesce(F.col("maximum") < F.col("below"), F.lit(False))).withColumn("redundant", F.coalesce(F.col("minimum") < F.col("below"), F.lit(False)))
 
@@ -207,8 +307,9 @@ def node_minima(fossils: DataFrame, node: str = "node_id") -> DataFrame:
 
 def clade_digests(nodes: DataFrame) -> DataFrame:
     """(tree_id, size, h1, h2): for each clade its number of tips and two sums of their hashes, in any order."""
-    total = lambda *seed: F.sum(F.xxhash64(*[F.lit(x) for x in seed], "tip").cast("decimal(38,0)"))
-    return clade_tips(nodes).groupBy("tree_id", "node_id").agg(F.count("*").alias("size"), total().alias("h1"), total(7).alias("h2")).drop("node_id")
+    hashed = lambda *seed: F.xxhash64(*[F.lit(x) for x in seed], "tip").cast("decimal(28,0)")
+    sums = _summed(positions(nodes), {"size": F.lit(1), "h1": hashed(), "h2": hashed(7)})
+    return _sums_below(nodes, sums, ["size", "h1", "h2"]).drop("node_id")
 
 
 def same_topology(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -221,7 +322,7 @@ def same_topology(a: DataFrame, b: DataFrame) -> DataFrame:
 def basal_clade(nodes: DataFrame, annotations: DataFrame, score: str = "score", tip: str = "tip", species: str = "species_id") -> DataFrame:
     """(tree_id, node_id, species, anchor): of the root's children the one with the fewest species, then the best-scored tip, and that tip."""
     top = nodes.where("depth = 1").select("tree_id", "node_id")
-    own = clade_tips(nodes).join(top, ["tree_id", "node_id"]).join(annotations.select(F.col(tip).alias("tip"), species, score), "tip")
+    own = covering(nodes, top).join(annotations.select(F.col(tip).alias("tip"), species, score), "tip")
     per = own.groupBy("tree_id", "node_id").agg(F.count_distinct(species).alias("species"), F.min_by(F.struct("tip", score), F.struct(-F.col(score), F.col("tip"))).alias("b"))
     best = per.groupBy("tree_id").agg(F.min_by(F.struct("node_id", "species", "b"), F.struct("species", -F.col(f"b.{score}"), "b.tip")).alias("x"))
     return best.select("tree_id", "x.node_id", "x.species", F.col("x.b.tip").alias("anchor"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cladeframe.functions import text as T
 from cladeframe.operators import annotation, checks, expression, forest, identity, mapping, markers, selection, subset, taxonomy, votes
+from cladeframe.operators.intervals import prefix_sums
 from cladeframe.operators.store import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -790,13 +791,13 @@ def levels(spark: SparkSession, sf_dir: str) -> int:
 def key_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored node tables: a tip is a key, its ancestors the key without its last bits; node ids count from the root, 0."""
     top = levels(spark, sf_dir)
-    node = lambda level: F.lit((1 << (top - level)) - 1).cast("long") + F.shiftright(F.col("k"), level)
-    out = tip_rows(spark, sf_dir).select("tree_id", "k", "tip", F.array(*[node(i) for i in range(top, -1, -1)]).alias("way"))
-    each = out.select("tree_id", "k", "tip", "way", F.posexplode("way").alias("depth", "node_id"))
-    each = each.groupBy("tree_id", "node_id", "depth").agg(F.min("k").alias("tin"), F.max("k").alias("tout"), F.first(F.slice("way", F.lit(1), F.col("depth") + 1)).alias("path"), F.max("tip").alias("t"))
+    node_of = lambda level: F.lit((1 << (top - level)) - 1).cast("long") + F.shiftright(F.col("at"), level)
+    own = tip_rows(spark, sf_dir).select("tree_id", F.col("k").alias("at"), "tip")
+    own = prefix_sums(own, {"n": F.lit(1)}).select("tree_id", (F.col("n") - 1).alias("at"), "tip", F.posexplode(F.array(*[node_of(i) for i in range(top, -1, -1)])).alias("depth", "node_id"))
+    each = own.groupBy("tree_id", "node_id", "depth").agg(F.min("at").alias("tin"), F.max("at").alias("tout"), F.max("tip").alias("t"))
     return stored(each.select(
-        "tree_id", "node_id", F.when(F.col("depth") > 0, F.get("path", F.col("depth") - 1)).alias("parent_id"), F.when(F.col("depth") == top, F.col("t")).alias("name"), F.lit(1.0).alias("dist"),
-        F.lit(None).cast("double").alias("support"), "depth", "tin", "tout", "path", F.lit(None).cast("string").alias("problem"),
+        "tree_id", "node_id", F.when(F.col("depth") > 0, F.floor((F.col("node_id") - 1) / 2)).alias("parent_id"), F.when(F.col("depth") == top, F.col("t")).alias("name"), F.lit(1.0).alias("dist"),
+        F.lit(None).cast("double").alias("support"), "depth", "tin", "tout", F.lit(None).cast("string").alias("problem"),
     ), "forest")
 
 

@@ -10,16 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NODES = "tree_id string, node_id int, parent_id int, name string, dist double, support double, depth int, tin int, tout int, path array<int>, problem string"
+NODES = "tree_id string, node_id int, parent_id int, name string, dist double, support double, depth int, tin int, tout int, problem string"
 SCHEMA = pa.schema([
     ("tree_id", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("name", pa.string()), ("dist", pa.float64()), ("support", pa.float64()),
-    ("depth", pa.int32()), ("tin", pa.int32()), ("tout", pa.int32()), ("path", pa.list_(pa.int32())), ("problem", pa.string()),
+    ("depth", pa.int32()), ("tin", pa.int32()), ("tout", pa.int32()), ("problem", pa.string()),
 ])
 TOKEN = re.compile(r"\s*(?:\[[^\]]*\]|('(?:[^']|'')*')|([(),:;])|([^\s(),:;\[']+))")
 
 
 def nodes_of(tree_id: str, text: str) -> list[tuple]:
-    """Rows of one tree: ids in order of opening, tips numbered from left to right, path from the root to the node. A
+    """Rows of one tree: ids in order of opening, tips numbered from left to right. A
     tree that can't be read gives one row with its problem."""
     parent, name, dist, opened = [None], [""], [None], 0
     at, expect = 0, "name"
@@ -53,13 +53,13 @@ def nodes_of(tree_id: str, text: str) -> list[tuple]:
         if opened or at is None:
             raise ValueError("unbalanced")
     except (ValueError, TypeError, IndexError):
-        return [(tree_id, 0, None, None, None, None, 0, 0, 0, [0], "unreadable")]
+        return [(tree_id, 0, None, None, None, None, 0, 0, 0, "unreadable")]
     n = len(parent)
-    depth, path = [0] * n, [[0]] * n
+    depth = [0] * n
     tin, tout, tips = [0] * n, [-1] * n, 0
     for i in range(n):
         if i:
-            depth[i], path[i] = depth[parent[i]] + 1, [*path[parent[i]], i]
+            depth[i] = depth[parent[i]] + 1
         if not children[i]:
             tin[i] = tout[i] = tips
             tips += 1
@@ -76,7 +76,7 @@ def nodes_of(tree_id: str, text: str) -> list[tuple]:
     for i in range(n):
         inner = children[i] > 0
         support = float(name[i]) if inner and re.fullmatch(r"[0-9.]+(?:[eE][+-]?[0-9]+)?", name[i]) and name[i] != "." else None
-        out.append((tree_id, i, parent[i], name[i] if not (inner and support is not None) else None, dist[i], support, depth[i], first[i], tout[i], path[i], bad))
+        out.append((tree_id, i, parent[i], name[i] if not (inner and support is not None) else None, dist[i], support, depth[i], first[i], tout[i], bad))
     return out
 
 
