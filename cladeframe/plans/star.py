@@ -869,6 +869,14 @@ def node_minima(spark, sf_dir):
     return forest.node_minima(own).select("node_id", "minimum", "applied")
 
 
+PAIRS_SQL_TAIL = """c AS (SELECT tree_id, node_id, l, any_value(top) AS top, count(*) AS n, min(k) AS a, max(k) AS b, min(trait) AS lo, max(trait) AS hi, min(tip) AS first FROM clades WHERE trait IS NOT NULL GROUP BY tree_id, node_id, l),
+ r AS (SELECT tree_id, a, b, n, any_value(lo) AS lo, any_value(hi) AS hi, any_value(top) AS top, min(l) AS low, max(l) AS high, arg_min(node_id, l) AS node_id, any_value(first) AS first FROM c GROUP BY tree_id, a, b, n),
+ up AS (SELECT r.*, c.a AS pa, c.b AS pb, c.n AS pn FROM r JOIN c ON c.tree_id = r.tree_id AND c.l = r.high + 1 AND c.node_id = (CAST(1 AS BIGINT) << greatest(r.top - r.high - 1, 0)) - 1 + (r.a >> (r.high + 1))),
+ met AS (SELECT tree_id, pa, pb, pn, count(*) FILTER (WHERE lo = hi AND lo = '0') AS z, count(*) FILTER (WHERE lo = hi AND lo = '1') AS o, count(*) AS children, CAST(sum(n) FILTER (WHERE lo = hi AND lo = '0') AS BIGINT) AS zero, CAST(sum(n) FILTER (WHERE lo = hi AND lo = '1') AS BIGINT) AS one FROM up GROUP BY tree_id, pa, pb, pn),
+ pairs AS (SELECT met.tree_id, r.node_id, CAST(row_number() OVER (PARTITION BY met.tree_id ORDER BY r.first) AS INTEGER) AS pair_id, true AS resolved, zero, one FROM met JOIN r ON r.tree_id = met.tree_id AND r.a = pa AND r.b = pb AND r.n = pn WHERE z = 1 AND o = 1 AND children = 2)"""
+PAIRS_SQL = f"{TIPS_SQL}, {PAIRS_SQL_TAIL}"
+
+
 # --- subsets of a whole result set -----------------------------------------------------------------------------------
 
 @query("""WITH k AS (SELECT c_custkey FROM customer WHERE c_nationkey % 3 = 0), o AS (SELECT o_orderkey, o_custkey FROM orders)
@@ -880,6 +888,76 @@ def subset_counts(spark, sf_dir):
     return subset.subset_counts(tables, subset.subset(tables, customer.where("c_nationkey % 3 = 0")))
 
 
+#: Samples are customers, runs their orders, expression the lines of orders, long, wide and as counts; alignments are events, by type.
+KEPT_SQL = """WITH samples AS (SELECT * FROM customer WHERE c_nationkey % 5 < 3), runs AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM samples)), expr AS (SELECT l_orderkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM runs))"""
+KEPT_TIPS_SQL = TIPS_SQL.replace("c_nationkey % 10 < 9", "c_nationkey % 5 < 3 AND c_nationkey % 10 < 9")
+
+
+def result_set(spark: SparkSession, sf_dir: str) -> dict[str, subset.Node]:
+    line = read(spark, sf_dir, "lineitem")
+    flags = [F.sum(F.when(F.col("l_returnflag") == f, F.col("l_quantity").cast("decimal(18,2)"))).alias(f) for f in "ANR"]
+    old_pairs = tip_rows(spark, sf_dir).select("tree_id", F.lit("stale").alias("pair_id"))
+    return {
+        "pairs": subset.Node(old_pairs, "pairs", parent="forest", traits="traits"),
+        "forest": subset.Node(key_forest(spark, sf_dir), "forest", parent="samples", parent_key="tip", group="tree_id"),
+        "samples": subset.Node(read(spark, sf_dir, "customer").withColumn("tip", text("c_custkey")), "keep", "c_custkey"),
+        "traits": subset.Node(tip_rows(spark, sf_dir).select("tip", "trait"), "rows", "tip", "samples", "tip", unique=True, complete=True),
+        "runs": subset.Node(read(spark, sf_dir, "orders"), "rows", "o_custkey", "samples", "c_custkey"),
+        "expression": subset.Node(line, "rows", "l_orderkey", "runs", "o_orderkey"),
+        "expression_wide": subset.Node(line.groupBy("l_orderkey").agg(*flags), "rows", "l_orderkey", "runs", "o_orderkey", unique=True),
+        "quality": subset.Node(line.groupBy("l_orderkey").agg(F.count("*").alias("genes")), "rows", "l_orderkey", "runs", "o_orderkey", unique=True),
+        "alignments": subset.Node(read(spark, sf_dir, "events").where("user_id > 0"), "groups", "user_id", "samples", "c_custkey", group="event_type"),
+        "labels": subset.Node(read(spark, sf_dir, "part"), "whole"),
+    }
+
+
+@query(f"""{KEPT_SQL}, {KEPT_TIPS_SQL.replace("tips AS (", "all_tips AS (", 1).replace("FROM tips, lv", "FROM all_tips, lv")}, cut AS (SELECT * FROM clades WHERE species_id % 5 < 3), big AS (SELECT tree_id FROM cut WHERE l = 0 GROUP BY 1 HAVING count(*) > 1), spans AS (SELECT DISTINCT tree_id, n, a, b FROM (SELECT tree_id, node_id, count(*) AS n, min(k) AS a, max(k) AS b FROM cut GROUP BY ALL) JOIN big USING (tree_id)),
+ {PAIRS_SQL_TAIL}
+ SELECT 'samples' AS "table", 'keep' AS rule, (SELECT count(*) FROM customer) AS rows_before, (SELECT count(*) FROM samples) AS rows_after, 0 AS orphans
+ UNION ALL SELECT 'runs', 'rows', (SELECT count(*) FROM orders), (SELECT count(*) FROM runs), 0 UNION ALL SELECT 'expression', 'rows', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM expr), 0
+ UNION ALL SELECT 'expression_wide', 'rows', (SELECT count(DISTINCT l_orderkey) FROM lineitem), (SELECT count(DISTINCT l_orderkey) FROM expr), 0 UNION ALL SELECT 'quality', 'rows', (SELECT count(DISTINCT l_orderkey) FROM lineitem), (SELECT count(DISTINCT l_orderkey) FROM expr), 0
+ UNION ALL SELECT 'traits', 'rows', (SELECT count(*) FROM customer), (SELECT count(*) FROM samples), 0 UNION ALL SELECT 'alignments', 'groups', (SELECT count(*) FROM events WHERE user_id > 0), (SELECT count(*) FROM events WHERE user_id > 0 AND user_id IN (SELECT c_custkey FROM samples)), 0
+ UNION ALL SELECT 'labels', 'whole', (SELECT count(*) FROM part), (SELECT count(*) FROM part), 0
+ UNION ALL SELECT 'forest', 'forest', (SELECT count(*) FROM (SELECT DISTINCT tree_id, node_id FROM clades)), (SELECT count(*) FROM spans), 0
+ UNION ALL SELECT 'pairs', 'pairs', (SELECT count(*) FROM customer), (SELECT count(*) FROM met WHERE z > 0 AND o > 0 AND z + o = children), 0""")
+def subset_graph(spark, sf_dir):
+    """SO-05, AG-23: ten linked tables cut by one keep list: samples, runs, expression long, wide and quality, traits, alignments, pruned
+    trees, pairs found again on them, labels; rows before and after, and keys without a parent."""
+    keep = read(spark, sf_dir, "customer").where("c_nationkey % 5 < 3").select(F.col("c_custkey").alias("sample"))
+    return subset.write_graph(result_set(spark, sf_dir), keep)[1]
+
+
+@query("""WITH s AS (SELECT c_custkey FROM customer WHERE c_nationkey % 5 < 3), k AS (SELECT c_custkey FROM customer)
+ SELECT 'runs' AS "table", 'orphan' AS problem, CAST(o_custkey AS VARCHAR) AS "key" FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM s) GROUP BY ALL
+ UNION ALL SELECT 'quality', 'missing', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY ALL
+ UNION ALL SELECT 'expression', 'repeated', CAST(l_orderkey AS VARCHAR) FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
+ UNION ALL SELECT 'samples', 'unknown', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey % 5 = 4""")
+def subset_problems(spark, sf_dir):
+    """SO-05, PR-18: sources that don't fit together, named before a subset: unknown keys to keep, orphans, repeated and missing keys."""
+    graph = {
+        "samples": subset.Node(read(spark, sf_dir, "customer").where("c_nationkey % 5 < 3"), "keep", "c_custkey"),
+        "runs": subset.Node(read(spark, sf_dir, "orders"), "rows", "o_custkey", "samples", "c_custkey"),
+        "expression": subset.Node(read(spark, sf_dir, "lineitem"), "rows", "l_orderkey", "runs", "o_orderkey", unique=True),
+        "quality": subset.Node(read(spark, sf_dir, "lineitem"), "rows", "l_orderkey", "runs", "o_orderkey", complete=True),
+    }
+    keep = read(spark, sf_dir, "customer").where("c_nationkey % 5 < 3 or c_nationkey % 5 = 4").select(F.col("c_custkey").alias("sample"))
+    return subset.graph_problems(graph, keep)
+
+
+@query("""WITH s AS (SELECT c_custkey FROM customer WHERE c_custkey % 97 = 5), g AS (SELECT user_id // 10 AS og, user_id FROM events)
+ SELECT 'alignments' AS "table", CAST(og AS VARCHAR) AS "group" FROM g GROUP BY og HAVING count(*) FILTER (WHERE user_id IN (SELECT c_custkey FROM s)) = 0
+ UNION ALL SELECT 'forest', c_mktsegment FROM customer GROUP BY c_mktsegment HAVING count(*) FILTER (WHERE c_custkey % 97 = 5) < 2""")
+def subset_dropped(spark, sf_dir):
+    """SO-05: alignments left empty and trees left with fewer than two tips by a short keep list."""
+    graph = {
+        "samples": subset.Node(read(spark, sf_dir, "customer").withColumn("tip", text("c_custkey")), "keep", "c_custkey"),
+        "alignments": subset.Node(read(spark, sf_dir, "events").select("user_id", F.floor(F.col("user_id") / 10).alias("og")), "groups", "user_id", "samples", "c_custkey", group="og"),
+        "forest": subset.Node(key_forest(spark, sf_dir), "forest", parent="samples", parent_key="tip"),
+    }
+    keep = read(spark, sf_dir, "customer").where("c_custkey % 97 = 5").select(F.col("c_custkey").alias("sample"))
+    return subset.dropped_in_graph(graph, subset.cut_graph(graph, keep))
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
 def without_flagged(spark, sf_dir):
     """SO-06: flagged samples removed."""
@@ -950,13 +1028,6 @@ def cigar_positions(spark, sf_dir):
     return own.select("event_id", F.size("a").cast("long").alias("aligned"), end["q"].cast("long").alias("last_query"), end["t"].cast("long").alias("last_target"))
 
 
-PAIRS_SQL = f"""{TIPS_SQL}, c AS (SELECT tree_id, node_id, l, any_value(top) AS top, count(*) AS n, min(k) AS a, max(k) AS b, min(trait) AS lo, max(trait) AS hi, min(tip) AS first FROM clades WHERE trait IS NOT NULL GROUP BY tree_id, node_id, l),
- r AS (SELECT tree_id, a, b, n, any_value(lo) AS lo, any_value(hi) AS hi, any_value(top) AS top, min(l) AS low, max(l) AS high, arg_min(node_id, l) AS node_id, any_value(first) AS first FROM c GROUP BY tree_id, a, b, n),
- up AS (SELECT r.*, c.a AS pa, c.b AS pb, c.n AS pn FROM r JOIN c ON c.tree_id = r.tree_id AND c.l = r.high + 1 AND c.node_id = (CAST(1 AS BIGINT) << greatest(r.top - r.high - 1, 0)) - 1 + (r.a >> (r.high + 1))),
- met AS (SELECT tree_id, pa, pb, pn, count(*) FILTER (WHERE lo = hi AND lo = '0') AS z, count(*) FILTER (WHERE lo = hi AND lo = '1') AS o, count(*) AS children, CAST(sum(n) FILTER (WHERE lo = hi AND lo = '0') AS BIGINT) AS zero, CAST(sum(n) FILTER (WHERE lo = hi AND lo = '1') AS BIGINT) AS one FROM up GROUP BY tree_id, pa, pb, pn),
- pairs AS (SELECT met.tree_id, r.node_id, CAST(row_number() OVER (PARTITION BY met.tree_id ORDER BY r.first) AS INTEGER) AS pair_id, true AS resolved, zero, one FROM met JOIN r ON r.tree_id = met.tree_id AND r.a = pa AND r.b = pb AND r.n = pn WHERE z = 1 AND o = 1 AND children = 2)"""
-
-
 @query(f"WITH {PAIRS_SQL} SELECT * FROM pairs")
 def trait_pairs(spark, sf_dir):
     """TR-06: contrast pairs of every tree, with their tips in each state."""
