@@ -31,10 +31,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet into the shared folder and read it again."""
+def written(df: DataFrame, name: str, long_rows: bool = False) -> DataFrame:
+    """Cut the lineage: write df as Parquet into the shared folder and read it again. long_rows: rows of many MB, of which
+    writers and readers hold a few at a time only."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if long_rows:
+        writer = writer.option("parquet.block.size", str(16 << 20)).option("parquet.page.size.row.check.min", "1")
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,11 @@
 """Filter interaction audit over a sparse document-term matrix.
 
-document_term_matrix: every task turns its documents, a few million bytes at a time, into shards in CSR form (row
-starts, terms, counts) over a vocabulary of the shard. The vocabularies, far smaller than the texts, meet by word and
-make the global dictionary; term ids are ranks within hash buckets of words behind the sizes of the buckets before, so
-they don't depend on partitions. Each shard then receives the ids of its words and is written anew with global terms,
-sorted within rows. row_statistics reads a document's words (sum of the row) and distinct words (its nonzero entries)
-from that matrix.
+document_term_matrix: every task turns its documents, some million bytes at a time, into shards in CSR form (row
+starts, terms, counts) over a vocabulary of its own, and begins another vocabulary when that is full. The vocabularies, far
+fewer words than the texts, are dealt to buckets by hash and ranked there, which is the global dictionary: a word's id is
+its bucket times 2^32 plus its rank among the bucket's words, so ids don't depend on partitions or shards. Each shard then
+receives the ids of its words, and its terms become global, sorted within rows. row_statistics reads a document's words
+(sum of the row) and distinct words (its nonzero entries) from that matrix.
 
 audit: filters A and B from the row statistics, C and D from counts made while the text was at hand, E from the
 smallest id of each text's 256-bit digest. Documents are counted by part and set of failed filters, 32 rows a part at
@@ -26,6 +26,7 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,11 +35,11 @@ from .common import written
 
 FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 100, 80, 10
-SHARD_BYTES, BUCKETS = 16_000_000, 4096
+SHARD_BYTES, VOCABULARY_WORDS, BUCKETS = 6_000_000, 500_000, 4096
 CAPITALS, SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
 FACTS = [("n_chars", pa.int64()), ("n_capitals", pa.int64()), ("n_symbols", pa.int64()), ("digest", pa.binary())]
-SHARD = "shard long, docs array<struct<row:{row},n_chars:bigint,n_capitals:bigint,n_symbols:bigint,digest:binary>>, starts array<int>, terms array<{term}>, counts array<int>"
-VOCABULARY = ", vocabulary array<struct<word:string,n_docs:bigint,n:bigint>>"
+SHARD = "words long, docs array<struct<row:{row},n_chars:bigint,n_capitals:bigint,n_symbols:bigint,digest:binary>>, starts array<int>, terms array<{term}>, counts array<int>"
+LISTED = ", listed boolean, first int, vocabulary array<string>, n_docs array<int>, n array<bigint>"
 
 
 def _listed(values: pa.Array) -> pa.Array:
@@ -46,41 +47,84 @@ def _listed(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _shard(shard: int, rows: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
-    known: dict[bytes, int] = {}
-    lengths, local = [], []
-    for text in texts:
-        words = (text or b"").split()
-        lengths.append(len(words))
-        local += [known.setdefault(w, len(known)) for w in words]
-    row = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
-    cells, counts = np.unique(row << 32 | np.array(local, np.int64), return_counts=True)
-    terms = (cells & 0xFFFFFFFF).astype(np.int64)
-    starts = np.searchsorted(cells >> 32, np.arange(len(texts) + 1))
-    n = np.bincount(terms, weights=counts, minlength=len(known)).astype(np.int64)
-    texts = [t or b"" for t in texts]
-    facts = [
-        pa.array([len(t.decode()) for t in texts], pa.int64()), pa.array([len(t) - len(t.translate(None, CAPITALS)) for t in texts], pa.int64()),
-        pa.array([len(t) - len(t.translate(None, SYMBOLS)) for t in texts], pa.int64()), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+class _Vocabulary:
+    """Numbers of words within one task, with their documents and occurrences."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+        self.n_docs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        return np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+
+    def count(self, terms: np.ndarray, counts: np.ndarray) -> None:
+        size = len(self.known)
+        grown = lambda old, new: np.pad(old, (0, size - len(old))) + new
+        self.n_docs = grown(self.n_docs, np.bincount(terms, minlength=size))
+        self.n = grown(self.n, np.bincount(terms, weights=counts, minlength=size).astype(np.int64))
+
+    def rows(self, own: int, schema: pa.Schema, at_once: int = 50_000) -> Iterator[pa.RecordBatch]:
+        words = list(self.known)
+        for i in range(0, len(words), at_once):
+            part = slice(i, i + at_once)
+            filled = {
+                "words": pa.array([own], pa.int64()), "listed": pa.array([True]), "first": pa.array([i], pa.int32()), "vocabulary": _listed(pa.array(words[part], pa.string())),
+                "n_docs": _listed(pa.array(self.n_docs[part].astype(np.int32))), "n": _listed(pa.array(self.n[part])),
+            }
+            yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
+
+
+def _facts(texts: pa.Array) -> list[pa.Array]:
+    plain = texts.cast(pa.binary()).to_pylist()
+    return [
+        pc.utf8_length(texts).cast(pa.int64()), pa.array([len(t) - len(t.translate(None, CAPITALS)) for t in plain], pa.int64()),
+        pa.array([len(t) - len(t.translate(None, SYMBOLS)) for t in plain], pa.int64()), pa.array([hashlib.sha256(t).digest() for t in plain], pa.binary()),
     ]
-    words = pa.StructArray.from_arrays([pa.array(list(known), pa.binary()).cast(pa.string()), pa.array(np.bincount(terms, minlength=len(known)).astype(np.int64)), pa.array(n)], ["word", "n_docs", "n"])
-    docs = pa.StructArray.from_arrays([rows, *facts], ["row", *[name for name, _ in FACTS]])
-    lists = [docs, pa.array(starts.astype(np.int32)), pa.array(terms.astype(np.int32)), pa.array(counts.astype(np.int32)), words]
-    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), *map(_listed, lists)], ["shard", "docs", "starts", "terms", "counts", "vocabulary"])
 
 
-def _shards(shard_bytes: int) -> Callable:
+def _cells(texts: pa.Array, vocabulary: _Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The matrix of texts: cells in order, a row's number times 2^32 plus a term's, and their counts."""
+    split = pc.ascii_split_whitespace(texts)
+    words = split.flatten()
+    full = pc.not_equal(words, "")
+    row = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(split).to_numpy())[full.to_numpy(zero_copy_only=False)]
+    coded = words.filter(full).dictionary_encode()
+    return np.unique(row << 32 | vocabulary.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()], return_counts=True)
+
+
+def _schema(row: pa.DataType) -> pa.Schema:
+    docs = pa.struct([pa.field("row", row), *[pa.field(n, t) for n, t in FACTS]])
+    lists = [("docs", docs), ("starts", pa.int32()), ("terms", pa.int32()), ("counts", pa.int32())]
+    words = [("listed", pa.bool_()), ("first", pa.int32()), *[(n, pa.list_(t)) for n, t in (("vocabulary", pa.string()), ("n_docs", pa.int32()), ("n", pa.int64()))]]
+    return pa.schema([("words", pa.int64()), *[(n, pa.list_(t)) for n, t in lists], *words])
+
+
+def _shards(shard_bytes: int, most_words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = TaskContext.get().partitionId() << 32
+        own, vocabulary, schema = TaskContext.get().partitionId() << 32, _Vocabulary(), None
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
+            schema = schema or _schema(batch.schema.field("row").type)
+            texts = batch.column("text").fill_null("")
             size = np.cumsum(np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]))
             # a shard ends behind the row that fills it
             cuts = np.flatnonzero(np.diff(size // shard_bytes, prepend=0)) + 1
             cuts = np.unique([0, *cuts.tolist(), len(texts)]).tolist()
             for a, b in zip(cuts, cuts[1:]):
-                yield _shard(made, batch.column("row").slice(a, b - a), texts.slice(a, b - a).to_pylist())
-                made += 1
+                part = texts.slice(a, b - a)
+                docs = pa.StructArray.from_arrays([batch.column("row").slice(a, b - a), *_facts(part)], fields=list(schema.field("docs").type.value_type))
+                cells, counts = _cells(part, vocabulary)
+                terms, starts = cells & 0xFFFFFFFF, np.searchsorted(cells >> 32, np.arange(len(part) + 1))
+                vocabulary.count(terms, counts)
+                filled = {"words": pa.array([own], pa.int64()), "listed": pa.array([False]), "docs": _listed(docs)}
+                filled |= {n: _listed(pa.array(x.astype(np.int32))) for n, x in (("starts", starts), ("terms", terms), ("counts", counts))}
+                del cells, terms, counts
+                yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
+                if len(vocabulary.known) >= most_words:
+                    yield from vocabulary.rows(own, schema)
+                    own, vocabulary = own + 1, _Vocabulary()
+        if vocabulary.known:
+            yield from vocabulary.rows(own, schema)
 
     return run
 
@@ -91,12 +135,14 @@ def _globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(len(batch)):
             one = batch.slice(i, 1)
             values = lambda name: one.column(name).flatten().to_numpy(zero_copy_only=False)  # noqa: E731, B023
-            starts, ids = values("starts"), values("ids")
+            starts, at = values("starts"), values("at")
+            ids = np.empty(len(at), np.int64)
+            ids[at.astype(np.int64)] = values("ids")
             row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            terms = ids[values("terms")].astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+            terms = ids[values("terms").astype(np.int64)]
             order = np.lexsort((terms, row))
             counts = values("counts")[order].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([one.column("shard"), one.column("docs"), one.column("starts"), _listed(pa.array(terms[order])), _listed(pa.array(counts))], ["shard", "docs", "starts", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([one.column("words"), one.column("docs"), one.column("starts"), _listed(pa.array(terms[order])), _listed(pa.array(counts))], ["words", "docs", "starts", "terms", "counts"])
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,29 +156,27 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*own, pa.array(before[starts[1:]] - before[starts[:-1]]), pa.array(np.diff(starts))], ["row", *[name for name, _ in FACTS], "n_words", "n_distinct"])
 
 
-def dictionary(shards: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(word, term, n_docs, n) of the vocabularies of shards: every word's id, documents and occurrences."""
-    words = shards.select(F.explode("vocabulary").alias("w")).select("w.*")
-    words = words.groupBy("word").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
-    words = written(words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int")), "audit-words")
-    sizes = words.groupBy("bucket").agg(F.count("*").alias("size"))
-    # as many rows as buckets, whatever the input
-    starts = sizes.select("bucket", (F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).alias("start"))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("word")) - 1
-    return words.withColumn("rank", rank).join(F.broadcast(starts), "bucket").select("word", (F.col("start") + F.col("rank")).alias("term"), "n_docs", "n")
+def _with_terms(words: DataFrame, buckets: int) -> DataFrame:
+    words = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
+    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")) - 1
+    return words.withColumn("term", F.call_function("shiftleft", F.col("bucket").cast("long"), F.lit(32)) + rank).drop("bucket")
 
 
-def document_term_matrix(docs: DataFrame, row: Column, text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The dictionary (word, term, n_docs, n), and the matrix: shards (shard, docs, starts, terms, counts), whose k-th
-    document has the terms from starts[k] up to starts[k + 1]. row: what a document carries along."""
+def document_term_matrix(docs: DataFrame, row: Column, text_col: str = "text", shard_bytes: int = SHARD_BYTES, most_words: int = VOCABULARY_WORDS, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
+    """The dictionary (word, term, n_docs, n), and the matrix: shards (words, docs, starts, terms, counts), whose k-th
+    document has the terms from starts[k] up to starts[k + 1]; words names the task's vocabulary. row: what a document
+    carries along."""
     texts = docs.select(row.alias("row"), F.col(text_col).alias("text"))
     kind = texts.schema["row"].dataType.simpleString()
-    local = written(texts.mapInArrow(_shards(shard_bytes), SHARD.format(row=kind, term="int") + VOCABULARY), "audit-shards")
-    words = written(dictionary(local), "audit-dictionary")
-    used = local.select("shard", F.posexplode("vocabulary").alias("at", "w")).select("shard", "at", F.col("w.word").alias("word"))
-    ids = used.join(words.select("word", "term"), "word").groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("at", "term"))).alias("ids"))
-    ids = ids.select("shard", F.col("ids.term").alias("ids"))
-    coded = local.drop("vocabulary").join(ids, "shard", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<bigint>")))
+    local = written(texts.mapInArrow(_shards(shard_bytes, most_words), SHARD.format(row=kind, term="int") + LISTED), "audit-shards", long_rows=True)
+    listed = local.where("listed")
+    counted = listed.select(F.explode(F.arrays_zip("vocabulary", "n_docs", "n")).alias("w")).select(F.col("w.vocabulary").alias("word"), "w.n_docs", "w.n")
+    words = _with_terms(counted, buckets).groupBy("word", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
+    used = listed.select("words", "first", F.posexplode("vocabulary").alias("at", "word")).select("words", (F.col("first") + F.col("at")).alias("at"), "word")
+    # both lists grow by one entry a row, so they run alike
+    ids = _with_terms(used, buckets).groupBy("words").agg(F.collect_list("at").alias("at"), F.collect_list("term").alias("ids"))
+    coded = local.where("not listed").select("words", "docs", "starts", "terms", "counts").join(ids, "words", "left")
+    coded = coded.withColumn("at", F.coalesce("at", F.array().cast("array<int>"))).withColumn("ids", F.coalesce("ids", F.array().cast("array<bigint>")))
     return words, coded.mapInArrow(_globally, SHARD.format(row=kind, term="bigint"))
 
 
