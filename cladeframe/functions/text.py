@@ -62,8 +62,15 @@ def number(x: Column, nonnegative: bool = True) -> Column:
 
 
 def exact(x: Column, scale: int = 18) -> Column:
-    """Decimal of a number held as text or double: sums of these don't depend on order."""
-    return x.try_cast(f"decimal(38,{scale})")
+    """Decimal of a finite number held as text or double: sums of these don't depend on order. Null for what is no number. A number that the
+    decimal can't hold, too large or too small beside 0, is an error and never becomes null or 0; operators.sums adds
+    those."""
+    value = x.try_cast("double")
+    size = F.abs(value)
+    fits = (value == 0) | ((size >= float(f"1e-{scale}")) & (size < float(f"1e{38 - scale}")))
+    kept = x.try_cast(f"decimal(38,{scale})")
+    wrong = F.raise_error(F.concat(F.lit("no exact decimal of "), x.cast("string"))).cast(f"decimal(38,{scale})")
+    return F.when(value.isNull(), None).when(F.isnan(value) | fits, kept).otherwise(wrong)
 
 
 def decimal_ceiling(fraction: str, total: Column) -> Column:

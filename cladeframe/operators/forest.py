@@ -211,6 +211,71 @@ def _labelled(nodes: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return positions(nodes).join(labels.where(F.col(label).isNotNull()).select("tip", F.col(label).alias("label")), "tip").select("tree_id", "at", "label")
 
 
+def root_distances(nodes: DataFrame) -> DataFrame:
+    """(tree_id, at, tip, distance): branch lengths from the root to each tip, from the lengths of nodes that begin at or
+    before the tip less those of nodes that end before it, as decimals."""
+    length = F.coalesce("dist", F.lit(0.0)).cast("decimal(28,12)")
+    begin = nodes.groupBy("tree_id", F.col("tin").cast("long").alias("at")).agg(F.sum(length).alias("begin"))
+    end = nodes.groupBy("tree_id", (F.col("tout").cast("long") + 1).alias("at")).agg(F.sum(length).alias("end"))
+    own = positions(nodes).join(begin, ["tree_id", "at"], "left").join(end, ["tree_id", "at"], "left")
+    sums = prefix_sums(own, {"total": F.coalesce("begin", F.lit(0)) - F.coalesce("end", F.lit(0))})
+    return sums.select("tree_id", "at", "tip", F.col("total").cast("double").alias("distance"))
+
+
+def outgroup_edges(nodes: DataFrame, outgroup: DataFrame) -> DataFrame:
+    """(tree_id, node_id, rooted, problem): the node whose branch parts the outgroup(tip) from all others, for each tree;
+    rooted: the root does so already. problem: no_outgroup, no_ingroup, or not_monophyletic (no branch does)."""
+    hits = _hits(nodes, outgroup)
+    inside = (F.col("hits") == F.col("k")) & (F.col("n") == F.col("k"))
+    outside = (F.col("hits") == 0) & (F.col("n") == F.col("total") - F.col("k"))
+    apart = F.min(F.when((inside | outside) & (F.col("n") < F.col("total")), F.col("node_id")))
+    per = hits.groupBy("tree_id").agg(apart.alias("node_id"), F.max("k").alias("k"), F.max("total").alias("total"))
+    out = per.join(root_check(nodes, outgroup), "tree_id", "left")
+    problem = F.when(F.col("k") == 0, "no_outgroup").when(F.col("k") == F.col("total"), "no_ingroup").when(F.col("node_id").isNull(), "not_monophyletic")
+    return out.select("tree_id", F.when(problem.isNull(), F.col("node_id")).alias("node_id"), F.coalesce("rooted", F.lit(False)).alias("rooted"), problem.alias("problem"))
+
+
+def rerooted(nodes: DataFrame, outgroup: DataFrame) -> DataFrame:
+    """Node table of the trees with their roots on the branch that parts the outgroup(tip) from all others; that branch is halved. Trees rooted so
+    stay as they are; trees that can't be are left out (outgroup_edges names them).
+
+    Links from that branch up to the old root turn round, with their lengths and supports; an old root with one child
+    left is contracted. The tips keep their circular order and begin with the node below the branch, so that new intervals
+    follow from old ones: a turned node spans what lay outside of its former child. Lengths between tips don't change. A
+    new root has the number after the largest of its tree."""
+    edges = stored(outgroup_edges(nodes, outgroup).where("problem is null"), "outgroup-edges")
+    same = nodes.join(edges.where("rooted").select("tree_id"), "tree_id", "left_semi")
+    turn = nodes.join(edges.where("not rooted").select("tree_id"), "tree_id", "left_semi")
+    whole = turn.groupBy("tree_id").agg((F.max("tout").cast("long") + 1).alias("n"), (F.max("node_id") + 1).alias("new"))
+    cut = edges.where("not rooted").select("tree_id", "node_id").join(turn, ["tree_id", "node_id"]).select("tree_id", F.col("node_id").alias("v"), F.col("tin").cast("long").alias("v_tin"), F.col("tout").cast("long").alias("v_tout"), F.col("dist").alias("v_dist"), F.col("support").alias("v_support"), F.col("depth").alias("v_depth"))
+    cut = cut.join(whole, "tree_id")
+    own = turn.withColumn("tin", F.col("tin").cast("long")).withColumn("tout", F.col("tout").cast("long")).join(cut, "tree_id")
+    on_way = (F.col("tin") <= F.col("v_tin")) & (F.col("tout") >= F.col("v_tout")) & (F.col("depth") < F.col("v_depth"))
+    own = stored(own.withColumn("on_way", on_way), "rerooting")
+    # the child of each node on the way that leads to the branch
+    child = own.where("on_way or node_id = v").select("tree_id", F.col("parent_id").alias("node_id"), F.col("node_id").alias("c"), F.col("dist").alias("c_dist"), F.col("support").alias("c_support"), F.col("tin").alias("c_tin"), F.col("tout").alias("c_tout"))
+    children = own.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("children"))
+    way = own.where("on_way").join(child, ["tree_id", "node_id"]).join(children, ["tree_id", "node_id"])
+    first, half = F.col("c") == F.col("v"), F.col("v_dist") / 2
+    way = stored(way.select(
+        "tree_id", "node_id", F.when(first, F.col("new")).otherwise(F.col("c")).alias("to"), F.when(first, half).otherwise(F.col("c_dist")).alias("to_dist"), F.when(first, F.col("v_support")).otherwise(F.col("c_support")).alias("to_support"),
+        (F.col("c_tout") + 1 - F.col("v_tin")).alias("to_tin"), (F.col("n") - 1 + F.col("c_tin") - F.col("v_tin")).alias("to_tout"), (F.col("parent_id").isNull() & (F.col("children") == 2)).alias("gone"),
+    ), "rerooting-way")
+    gone = way.where("gone").select("tree_id", F.col("node_id").alias("parent_id"), F.col("to").alias("past"), F.col("to_dist").alias("past_dist"))
+    moved = lambda c: F.pmod(F.col(c) - F.col("v_tin"), F.col("n"))
+    out = own.join(way, ["tree_id", "node_id"], "left").where("gone is null or not gone").join(gone, ["tree_id", "parent_id"], "left")
+    turned, below, lifted = F.col("to").isNotNull(), F.col("node_id") == F.col("v"), F.col("past").isNotNull() & F.col("to").isNull()
+    pick = lambda a, b, c, d: F.when(turned, a).when(below, b).when(lifted, c).otherwise(d)
+    out = out.select(
+        "tree_id", "node_id", pick(F.col("to"), F.col("new"), F.col("past"), F.col("parent_id")).alias("parent_id"), "name", pick(F.col("to_dist"), half, F.col("dist") + F.col("past_dist"), F.col("dist")).alias("dist"),
+        F.when(turned, F.col("to_support")).otherwise(F.col("support")).alias("support"), F.when(turned, F.col("to_tin")).otherwise(moved("tin")).alias("tin"), F.when(turned, F.col("to_tout")).otherwise(moved("tout")).alias("tout"), "problem",
+    )
+    none = lambda kind: F.lit(None).cast(kind)
+    roots = cut.select("tree_id", F.col("new").alias("node_id"), none("long").alias("parent_id"), none("string").alias("name"), none("double").alias("dist"), none("double").alias("support"), F.lit(0).cast("long").alias("tin"), (F.col("n") - 1).alias("tout"), none("string").alias("problem"))
+    columns = ["tree_id", "node_id", "parent_id", "name", "dist", "support", "depth", "tin", "tout", "problem"]
+    return with_depth(out.unionByName(roots)).select(*columns).unionByName(same.select(*columns))
+
+
 def uniform_clades(nodes: DataFrame, traits: DataFrame, trait: str = "trait") -> DataFrame:
     """(tree_id, node_id, state, parent_id, n): maximal clades whose tips all have one observed state. Tips without a state don't count."""
     per = stored(one_label(nodes, _labelled(nodes, traits, trait)), "one-label")

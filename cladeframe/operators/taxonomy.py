@@ -1,51 +1,75 @@
 """Taxonomy: merged ids, lineages, names, nearest references.
 
-Lineages come from parent links by recursive SQL, or from a stored ancestor list; both give the long table
-(taxid, depth, anc, rank, name), depth 0 being the taxon itself.
+Lineages come from parent links, or from a stored ancestor list; both give the long table (taxid, depth, anc, rank, name),
+depth 0 being the taxon itself. Links are followed by pointer doubling: each round joins the table of pointers with itself,
+so n hops take log2(n) rounds, however long chains are, and what is still under way after more hops than there are links
+goes round in a circle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _unlimited(spark: SparkSession) -> SparkSession:
-    """Recursive SQL stops at a million rows by default, which is too few for many taxa."""
-    spark.conf.set("spark.sql.cteRecursionRowLimit", -1)
-    return spark
-
-
-def resolve_merged(ids: DataFrame, merged: DataFrame, nodes: DataFrame, most: int = 20) -> DataFrame:
-    """(taxid, resolved_taxid): redirects followed; null where the end is no node, or redirects form a cycle (`most` hops)."""
-    out = ids.select("taxid").distinct().withColumn("at", F.col("taxid"))
-    hop = merged.select(F.col("taxid_old").alias("at"), F.col("taxid_new").alias("next"))
-    walked = _unlimited(ids.sparkSession).sql(
-        """
-        WITH RECURSIVE walk(taxid, at, hops) AS (
-            SELECT taxid, at, 0 FROM {start} UNION ALL
-            SELECT w.taxid, h.next, w.hops + 1 FROM walk w JOIN {hop} h ON w.at = h.at WHERE w.hops < {most}
-        ) SELECT taxid, max_by(at, hops) AS at, max(hops) AS hops FROM walk GROUP BY taxid
-    """,
-        start=out, hop=hop, most=most,
-    )
-    known = nodes.select(F.col("taxid").alias("at")).distinct().withColumn("known", F.lit(True))
-    return walked.join(known, "at", "left").select("taxid", F.when(F.col("known") & (F.col("hops") < most), F.col("at")).alias("resolved_taxid"))
-
-
-def lineages(nodes: DataFrame, ids: DataFrame, depth: int = 90) -> DataFrame:
-    """(taxid, depth, anc, rank, name) for the ids, from nodes(taxid, parent, rank, name); the root is its own parent.
-    Lineages longer than depth, or going round, raise an error."""
-    return _unlimited(nodes.sparkSession).sql(
-        """
-        WITH RECURSIVE up(taxid, depth, anc, parent, rank, name) AS (
-            SELECT i.taxid, 0, n.taxid, n.parent, n.rank, n.name FROM {ids} i JOIN {nodes} n ON i.taxid = n.taxid UNION ALL
-            SELECT u.taxid, u.depth + 1, n.taxid, n.parent, n.rank, n.name FROM up u JOIN {nodes} n ON u.parent = n.taxid
-            WHERE u.anc <> u.parent AND u.depth < {depth}
-        ) SELECT taxid, CASE WHEN depth = {depth} AND anc <> parent THEN raise_error('a lineage is too long or goes round') ELSE depth END AS depth, anc, rank, name FROM up
-    """,
-        nodes=nodes.select("taxid", "parent", "rank", "name"), ids=ids.select("taxid").distinct(), depth=depth,
-    )
+from cladeframe.operators.store import stored
+
+
+def follow(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(at, end, hops, circular) of links (at, next), each `at` once: where the links from each `at` end, and whether they
+    never do; and for k = 0, 1, ... the table (at, to) of the jumps over 2^k links."""
+    most = links.count()
+    at = links.select("at", F.col("next").alias("to"), F.lit(1).cast("long").alias("hops"))
+    way, jumps, k = stored(at, "links"), [], 0
+    while True:
+        jumps.append(way.where(F.col("hops") == 1 << k).select("at", "to"))
+        onward = way.select(F.col("at").alias("to"), F.col("to").alias("far"), F.col("hops").alias("more"))
+        both = stored(way.join(onward, "to", "left").select("at", F.coalesce("far", "to").alias("to"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("far").isNotNull().alias("moved")), "links")
+        if 1 << k > most or both.where("moved").isEmpty():
+            return both.select("at", F.col("to").alias("end"), "hops", F.col("moved").alias("circular")), jumps
+        way, k = both.drop("moved"), k + 1
+
+
+def resolve_merged(ids: DataFrame, merged: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(taxid, resolved_taxid, reason): redirects followed to their end; without one the id is null and the reason is
+    cycle (the redirects never end) or unknown (the end is no node). Of several redirects of one id the smallest holds."""
+    ends, _ = follow(merged.groupBy(F.col("taxid_old").alias("at")).agg(F.min("taxid_new").alias("next")))
+    own = ids.select("taxid").distinct().join(ends.withColumnRenamed("at", "taxid"), "taxid", "left").withColumn("to", F.coalesce("end", "taxid"))
+    known = nodes.select(F.col("taxid").alias("to")).distinct().withColumn("known", F.lit(True))
+    reason = F.when(F.col("circular"), "cycle").when(F.col("known").isNull(), "unknown")
+    out = own.join(known, "to", "left").withColumn("reason", reason)
+    return out.select("taxid", F.when(F.col("reason").isNull(), F.col("to")).alias("resolved_taxid"), "reason")
+
+
+def _parents(nodes: DataFrame, root: int) -> DataFrame:
+    return nodes.where((F.col("taxid") != F.col("parent")) & (F.col("taxid") != root)).groupBy(F.col("taxid").alias("at")).agg(F.min("parent").alias("next"))
+
+
+def _ended(nodes: DataFrame, ids: DataFrame, ends: DataFrame) -> DataFrame:
+    """(taxid, problem): null if the taxon's parents lead to a root."""
+    known = nodes.select(F.col("taxid").alias("end")).distinct().withColumn("known", F.lit(True))
+    own = ids.select("taxid").distinct().join(ends.withColumnRenamed("at", "taxid"), "taxid", "left").withColumn("end", F.coalesce("end", "taxid")).join(known, "end", "left")
+    problem = F.when(F.col("circular"), "cycle").when(F.col("known").isNull(), F.when(F.col("hops").isNull(), "unknown").otherwise("incomplete"))
+    return own.select("taxid", problem.alias("problem"))
+
+
+def lineage_problems(nodes: DataFrame, ids: DataFrame, root: int = 1) -> DataFrame:
+    """(taxid, problem) of the ids without a whole lineage: unknown (no node), incomplete (a parent is no node), cycle."""
+    return _ended(nodes, ids, follow(_parents(nodes, root))[0]).where("problem is not null")
+
+
+def lineages(nodes: DataFrame, ids: DataFrame, root: int = 1, strict: bool = True) -> DataFrame:
+    """(taxid, depth, anc, rank, name) for the ids, from nodes(taxid, parent, rank, name), up to the root, which is its own
+    parent or has the number `root`. Incomplete and circular lineages are an error, or left out if not strict (lineage_problems
+    names them); unknown ids have no rows. Ancestors 2^k steps up are joined once for all depths below 2^k."""
+    ends, jumps = follow(_parents(nodes, root))
+    state = stored(_ended(nodes, ids, ends), "lineage-ends")
+    if strict and (bad := state.where("problem in ('incomplete', 'cycle')").limit(5).collect()):
+        raise ValueError("no whole lineage: " + ", ".join(f"{r.taxid} ({r.problem})" for r in bad))
+    out = state.where("problem is null").select("taxid", F.lit(0).alias("depth"), F.col("taxid").alias("anc"))
+    for k, jump in enumerate(jumps):
+        far = out.join(jump.withColumnRenamed("at", "anc"), "anc").select("taxid", (F.col("depth") + (1 << k)).alias("depth"), F.col("to").alias("anc"))
+        out = stored(out.union(far), "lineages")
+    return out.join(nodes.select(F.col("taxid").alias("anc"), "rank", "name"), "anc").select("taxid", "depth", "anc", "rank", "name")
 
 
 def lineages_from_track(nodes: DataFrame, ids: DataFrame, track: str = "track") -> DataFrame:

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_BASES, MIN_RESIDUES = 150, 50
-#: Shares of ties are 1/n. Sums are kept as whole numbers over this common denominator, exact for n up to 16.
-DENOMINATOR, MOST_TIED = 720720, 16
+WHOLE = "decimal(38,0)"
+
+
+def least_common_multiple(sizes: Column) -> Column:
+    """Of an array of positive integers, as decimal; more than 38 digits are an error."""
+    one = F.lit(1).cast(WHOLE)
+
+    def divisor(a: Column, b: Column) -> Column:
+        # after the first step both are below b, which an int's Fibonacci numbers bound to 46 steps
+        steps = F.sequence(F.lit(1), F.lit(48))
+        start = F.struct(a.cast(WHOLE).alias("a"), b.cast(WHOLE).alias("b"))
+        return F.aggregate(steps, start, lambda s, _: F.struct(F.when(s["b"] == 0, s["a"]).otherwise(s["b"]).alias("a"), F.when(s["b"] == 0, s["b"]).otherwise(s["a"] % F.greatest(s["b"], one)).cast(WHOLE).alias("b")), lambda s: s["a"])
+
+    return F.aggregate(sizes, one, lambda m, n: (m * (n.cast(WHOLE) / divisor(m, n)).cast(WHOLE)).cast(WHOLE))
 
 
 def best_hits(hits: DataFrame, taxa: DataFrame, query: str = "query", target: str = "target", score: str = "raw") -> DataFrame:
@@ -59,22 +73,24 @@ def locus_votes(hits: DataFrame, protein: bool = False) -> DataFrame:
 def vote_summary(votes: DataFrame, least: int, cutoff: str, by: tuple[str, ...] = ("run", "rank")) -> DataFrame:
     """Per run and rank: comparable loci, registered votes, leading alternative and its votes, supports, tied loci and
     status. A locus won by n shares its vote, a tie also with the registered taxon; the cut is strict and exact."""
-    n = F.size("winners") + (F.col("vote") == "tie").cast("int")
-    exact = F.when(n <= MOST_TIED, F.lit(DENOMINATOR).cast("decimal(30,0)") / n).otherwise(F.raise_error(F.lit("a tie of more than 16 has no exact share")))
-    share = F.when(F.col("vote").isin("alternative", "tie"), exact).cast("decimal(38,6)")
-    own = votes.withColumn("share", share).withColumn("voted", F.col("vote").isin("registered", "alternative", "tie"))
-    mine = F.when(F.col("vote") == "registered", F.lit(DENOMINATOR).cast("decimal(38,6)")).when(F.col("vote") == "tie", F.col("share"))
     keys = list(by)
+    whole = lambda c: c.cast(WHOLE)
+    n = F.when(F.col("vote").isin("alternative", "tie"), F.size("winners") + (F.col("vote") == "tie").cast("int"))
+    own = votes.withColumn("n", n).withColumn("voted", F.col("vote").isin("registered", "alternative", "tie"))
+    # shares of a run and rank have one denominator, the least that all of its ties divide
+    common = own.groupBy(*keys).agg(F.collect_set("n").alias("sizes")).select(*keys, least_common_multiple(F.array_sort("sizes")).alias("den"))
+    own = own.join(common, keys).withColumn("share", whole(F.col("den") / F.col("n")))
+    mine = F.when(F.col("vote") == "registered", F.col("den")).when(F.col("vote") == "tie", F.col("share"))
     totals = own.groupBy(*keys).agg(
-        F.count_if("voted").alias("comparable_loci"), F.coalesce(F.sum(mine), F.lit(0).cast("decimal(38,6)")).alias("mine"),
+        F.count_if("voted").alias("comparable_loci"), F.max("den").alias("den"), F.coalesce(F.sum(mine), F.lit(0).cast(WHOLE)).alias("mine"),
         F.count_if(F.col("vote").isin("tie", "uninformative_tie")).alias("tied_loci"), F.count_if(F.col("vote").isin("alternative", "tie")).alias("alternative_loci"),
     )
-    rivals = own.where(F.col("share").isNotNull()).select(*keys, F.explode("winners").alias("alternative"), "share").groupBy(*keys, "alternative").agg(F.sum("share").alias("votes"))
-    lead = rivals.groupBy(*keys).agg(F.min_by(F.struct("alternative", "votes"), F.struct(-F.col("votes"), F.col("alternative"))).alias("x"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("alternative", (F.col("votes").cast("double") / DENOMINATOR).alias("n"))))).alias("alternative_counts"))
+    rivals = own.where(F.col("share").isNotNull()).select(*keys, F.explode("winners").alias("alternative"), "share", "den").groupBy(*keys, "alternative").agg(F.sum("share").alias("votes"), F.max("den").alias("den"))
+    lead = rivals.groupBy(*keys).agg(F.min_by(F.struct("alternative", "votes"), F.struct(-F.col("votes"), F.col("alternative"))).alias("x"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("alternative", (F.col("votes").cast("double") / F.col("den").cast("double")).alias("n"))))).alias("alternative_counts"))
     out = totals.join(lead, keys, "left")
-    loci = F.col("comparable_loci")
-    status = F.when(loci < least, "insufficient_comparison").when(F.col("mine") < loci * F.lit(DENOMINATOR) * F.lit(cutoff).cast("decimal(10,6)"), "discordant").otherwise("no_discordance")
-    over = lambda c: (c.cast("double") / DENOMINATOR)
+    loci, cut = F.col("comparable_loci"), Fraction(cutoff)
+    status = F.when(loci < least, "insufficient_comparison").when(whole(F.col("mine") * cut.denominator) < whole(loci * F.col("den") * cut.numerator), "discordant").otherwise("no_discordance")
+    over = lambda c: (c.cast("double") / F.col("den").cast("double"))
     per = lambda c: F.when(loci > 0, over(c) / loci)
     return out.select(
         *keys, status.alias("status"), loci, over(F.col("mine")).alias("registered_votes"), "tied_loci", "alternative_loci", F.col("x.alternative").alias("alternative"),

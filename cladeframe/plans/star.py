@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.functions import text as T
-from cladeframe.operators import annotation, checks, expression, forest, identity, mapping, markers, selection, subset, taxonomy, votes
+from cladeframe.operators import annotation, checks, expression, forest, identity, mapping, markers, selection, subset, sums, taxonomy, votes
 from cladeframe.operators.intervals import prefix_sums
 from cladeframe.operators.store import stored
 
@@ -752,7 +752,44 @@ def resolved_taxids(spark, sf_dir):
     cycle = ids.where("taxid % 5 = 4").select(F.col("taxid").alias("taxid_old"), F.col("taxid").alias("taxid_new"))
     far = hop.union(last.where("taxid_old <> -taxid_new"))
     loops = hop.join(last.where("taxid_old = -taxid_new").select(F.col("taxid_old").alias("taxid_new")), "taxid_new", "left_semi").select("taxid_old", "taxid_new")
-    return taxonomy.resolve_merged(ids, far.join(loops, ["taxid_old", "taxid_new"], "left_anti").union(cycle), alive)
+    return taxonomy.resolve_merged(ids, far.join(loops, ["taxid_old", "taxid_new"], "left_anti").union(cycle), alive).select("taxid", "resolved_taxid")
+
+
+@query("""SELECT c_custkey AS taxid, CASE WHEN k % 7 < 5 THEN c_custkey - c_custkey % 60 + 59 END AS resolved_taxid, CASE WHEN k % 7 = 5 THEN 'cycle' WHEN k % 7 = 6 THEN 'unknown' END AS reason FROM (SELECT c_custkey, c_custkey // 60 AS k FROM customer)""")
+def redirect_chains(spark, sf_dir):
+    """JN-12, JN-13: redirects in chains of up to 59 hops, in circles of 60, and to ids that are no nodes."""
+    k = F.col("c_custkey")
+    own = read(spark, sf_dir, "customer").select(k.alias("taxid"), F.floor(k / 60).alias("chain"))
+    last = F.col("taxid") % 60 == 59
+    # every chain goes on to its end, whether or not the table has all of its ids
+    links = own.select("chain").distinct().select("chain", F.explode(F.sequence(F.col("chain") * 60, F.col("chain") * 60 + 59)).alias("taxid"))
+    links = links.where(~last | (F.col("chain") % 7 == 5)).select(F.col("taxid").alias("taxid_old"), F.when(last, F.col("taxid") - 59).otherwise(F.col("taxid") + 1).alias("taxid_new"))
+    nodes = own.where("chain % 7 <> 6").select((F.col("chain") * 60 + 59).alias("taxid"))
+    return taxonomy.resolve_merged(own, links, nodes)
+
+
+@query(f"""WITH {NODES_SQL} SELECT taxid, CASE WHEN parent % 7 = 3 THEN 'incomplete' ELSE 'cycle' END AS problem FROM nodes WHERE rank = 'species' AND parent % 7 IN (3, 5)
+ UNION ALL SELECT -taxid, 'unknown' FROM nodes WHERE rank = 'species' AND parent % 7 < 3""")
+def lineage_problems(spark, sf_dir):
+    """JN-12, IO-09: taxa whose family is no node, whose family goes round in a circle, and ids that are no taxa."""
+    nodes = tax_nodes(spark, sf_dir)
+    family = F.col("rank") == "family"
+    odd = nodes.where(family & (F.col("taxid") % 7 == 5))
+    back = odd.select((-F.col("taxid")).alias("taxid"), F.col("taxid").alias("parent"), "rank", "name")
+    broken = nodes.where(~family | (F.col("taxid") % 7 != 3)).withColumn("parent", F.when(family & (F.col("taxid") % 7 == 5), -F.col("taxid")).otherwise(F.col("parent")))
+    ids = nodes.where("rank = 'species'").select("taxid")
+    unknown = nodes.where("rank = 'species' and parent % 7 < 3").select((-F.col("taxid")).alias("taxid"))
+    return taxonomy.lineage_problems(broken.unionByName(back), ids.union(unknown))
+
+
+@query("SELECT k AS taxid, CAST(d AS INTEGER) AS depth, k >> d AS anc FROM (SELECT c_custkey AS k, unnest(range(length(bin(c_custkey)))) AS d FROM customer WHERE c_custkey > 0)")
+def deep_lineages(spark, sf_dir):
+    """JN-12: lineages of every depth, a taxon's parent being half its number."""
+    k = F.col("c_custkey")
+    ids = read(spark, sf_dir, "customer").where("c_custkey > 0").select(k.alias("taxid"))
+    nodes = ids.select(F.explode(F.transform(F.sequence(F.lit(0), F.length(F.bin("taxid")) - 1), lambda d: F.call_function("shiftright", F.col("taxid"), d.cast("int")))).alias("taxid")).distinct()
+    nodes = nodes.select("taxid", F.greatest(F.lit(1).cast("long"), F.shiftright("taxid", 1)).alias("parent"), F.lit("r").alias("rank"), text("taxid").alias("name"))
+    return taxonomy.lineages(nodes, ids).select("taxid", "depth", "anc")
 
 
 @query(f"""WITH {NODES_SQL}, g AS (SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN -1 ELSE o_orderkey // 2 END AS grp, 1000 + o_custkey AS taxid FROM orders GROUP BY ALL), m AS (SELECT grp, anc, max(3 - depth) AS lvl, count(*) AS n FROM g JOIN up USING (taxid) GROUP BY ALL), s AS (SELECT grp, count(*) AS k FROM g GROUP BY 1)
@@ -771,6 +808,26 @@ def nearest_reference_rank(spark, sf_dir):
     return taxonomy.nearest_reference_rank(tax_lineage(spark, sf_dir), refs, ["family", "order"])
 
 
+# --- sums over the whole range of doubles ---------------------------------------------------------------------------
+
+@query("""WITH v AS (SELECT l_suppkey AS sample, CAST(l_quantity AS BIGINT) AS q, l_linenumber AS n FROM lineitem)
+ SELECT sample, CAST(sum(CASE WHEN n % 2 = 0 THEN q ELSE 0 END) AS DOUBLE) AS total, CAST(NULL AS VARCHAR) AS problem FROM v GROUP BY 1""")
+def wide_range_sums(spark, sf_dir):
+    """FN-02: exact sums of values that cancel at 1e300 and 1e21, with small ones that must stay."""
+    v = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("sample"), F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("n"))
+    parts = F.array(F.col("q") * 1e300, F.when(F.col("n") % 2 == 0, F.col("q")).otherwise(0.0), F.col("q") * -1e300, F.lit(1e21) * F.col("n"), F.lit(5e-324), F.lit(-1e21) * F.col("n"), F.lit(-5e-324))
+    return sums.exact_sums(v.select("sample", F.explode(parts).alias("x")), "x", ["sample"])
+
+
+@query("""SELECT l_orderkey % 5 AS kind, NULL::DOUBLE AS total, CASE WHEN l_orderkey % 5 < 3 THEN 'not_finite' ELSE 'overflow' END AS problem FROM lineitem WHERE l_orderkey % 5 < 4 GROUP BY ALL
+ UNION ALL SELECT 4, CAST(count(*) AS DOUBLE), NULL FROM lineitem WHERE l_orderkey % 5 = 4 HAVING count(*) > 0""")
+def sum_problems(spark, sf_dir):
+    """FN-02, PR-07: sums with nan, infinity, words and overflow among their values are named."""
+    kind = F.col("l_orderkey") % 5
+    x = F.when(kind == 0, "nan").when(kind == 1, "-inf").when(kind == 2, "x").when(kind == 3, "1.7e308").otherwise("1")
+    return sums.exact_sums(read(spark, sf_dir, "lineitem").select(kind.alias("kind"), x.alias("x")), "x", ["kind"])
+
+
 # --- forests: perfect binary trees over customers, one per market segment -------------------------------------------
 
 TIPS_SQL = """tips AS (SELECT c_mktsegment AS tree_id, c_custkey AS k, CAST(c_custkey AS VARCHAR) AS tip, c_nationkey AS species_id, CASE WHEN c_nationkey % 10 < 9 THEN CAST(c_nationkey % 3 // 2 AS VARCHAR) END AS trait FROM customer),
@@ -829,6 +886,29 @@ def separating_edges(spark, sf_dir):
     return forest.separating_edges(key_forest(spark, sf_dir), group).groupBy("tree_id").agg(F.count("*").alias("edges"))
 
 
+@query(f"""WITH {TIPS_SQL}, q AS (SELECT tree_id, tip, k >> (top - 2) AS quarter, top FROM tips, lv), n AS (SELECT tree_id, count(*) FILTER (WHERE quarter = 1) AS hits FROM q GROUP BY 1)
+ SELECT tree_id, tip, CASE quarter WHEN 1 THEN top - 2 + 0.5 WHEN 0 THEN top - 2 + 1.5 ELSE top + 1.5 END AS distance FROM q JOIN n USING (tree_id) WHERE hits > 0""")
+def rerooted_trees(spark, sf_dir):
+    """TR-04: trees turned so that their roots part the second quarter of the keys from the rest: lengths from the new root to every tip."""
+    group = tip_rows(spark, sf_dir).where(F.shiftright("k", levels(spark, sf_dir) - 2) == 1).select("tip")
+    return forest.root_distances(stored(forest.rerooted(key_forest(spark, sf_dir), group), "rerooted")).select("tree_id", "tip", "distance")
+
+
+@query(f"""WITH {TIPS_SQL}, q AS (SELECT tree_id, k >> (top - 2) AS quarter, c_nationkey FROM (SELECT tips.*, top, species_id AS c_nationkey FROM tips, lv))
+ SELECT DISTINCT tree_id, 'second_quarter' AS outgroup, true AS rooted, CAST(NULL AS VARCHAR) AS problem FROM q WHERE quarter = 1 UNION ALL SELECT tree_id, 'nation', NULL, 'not_monophyletic' FROM q WHERE c_nationkey = 3 GROUP BY tree_id
+ UNION ALL SELECT DISTINCT tree_id, 'nobody', NULL, 'no_outgroup' FROM q UNION ALL SELECT DISTINCT tree_id, 'all', NULL, 'no_ingroup' FROM q""")
+def outgroup_roots(spark, sf_dir):
+    """TR-03, TR-04: whether trees can be rooted on four outgroups, and whether they are once they have been turned."""
+    nodes, own = key_forest(spark, sf_dir), tip_rows(spark, sf_dir)
+    quarter = own.where(F.shiftright("k", levels(spark, sf_dir) - 2) == 1).select("tip")
+    turned = forest.root_check(stored(forest.rerooted(nodes, quarter), "rerooted"), quarter)
+    out = turned.select("tree_id", F.lit("second_quarter").alias("outgroup"), "rooted", F.lit(None).cast("string").alias("problem"))
+    for name, group in (("nation", own.where("species_id = 3")), ("nobody", own.where("false")), ("all", own)):
+        edges = forest.outgroup_edges(nodes, group.select("tip")).where("problem is not null")
+        out = out.unionByName(edges.select("tree_id", F.lit(name).alias("outgroup"), F.lit(None).cast("boolean").alias("rooted"), "problem"))
+    return out
+
+
 @query(f"""WITH {TIPS_SQL}, kept AS (SELECT * FROM clades WHERE k % 3 = 0), c AS (SELECT tree_id, node_id, l, top, count(*) AS n, min(k) AS a, max(k) AS b FROM kept GROUP BY ALL), r AS (SELECT tree_id, a, b, n, top, min(l) AS low, max(l) AS high FROM c GROUP BY ALL)
  SELECT tree_id, (CAST(1 AS BIGINT) << (top - low)) - 1 + (a >> low) AS node_id, CASE WHEN n = 1 THEN CAST(a AS VARCHAR) END AS name, CASE WHEN high < top THEN CAST(high - low + 1 AS DOUBLE) END AS dist, n AS tips FROM r""")
 def pruned_trees(spark, sf_dir):
