@@ -158,6 +158,38 @@ def aligned_positions(cigar: Column, query_start: Column, target_start: Column)
     return F.flatten(F.transform(runs, pairs))
 
 
+def gapped(query: Column, target: Column, query_start: Column, query_end: Column, target_start: Column, target_end: Column, cigar: Column, protein: bool = False) -> Column:
+    """struct<query, target, problem>: both sequences as a CIGAR text (M, I, D, = and X) aligns them, with - for gaps. Coordinates
+    count from 1 and run backwards on the reverse strand, whose sequence is complemented and turned. problem: reversed_protein,
+    invalid_cigar, or coordinates (the runs don't end where the coordinates or the sequences do); the strings are null then."""
+    runs = F.transform(
+        F.regexp_extract_all(cigar, F.lit("([0-9]+[MID=X])"), F.lit(1)), lambda r: F.struct(F.regexp_extract(r, "([0-9]+)", 1).cast("int").alias("n"), F.right(r, F.lit(1)).alias("op"))
+    )
+    backwards = lambda a, b: a > b
+
+    def part(seq: Column, a: Column, b: Column) -> Column:
+        cut = F.substring(seq, F.least(a, b), F.abs(b - a) + 1)
+        return F.when(backwards(a, b), F.reverse(F.translate(cut, "ACGT", "TGCA"))).otherwise(cut)
+
+    q, t = part(query, query_start, query_end), part(target, target_start, target_end)
+    start = F.struct(F.lit(0).alias("q"), F.lit(0).alias("t"), F.array().cast("array<struct<q:int,t:int,n:int,op:string>>").alias("runs"))
+
+    def step(s: Column, r: Column) -> Column:
+        row = F.struct(s["q"].alias("q"), s["t"].alias("t"), r["n"].alias("n"), r["op"].alias("op"))
+        return F.struct((s["q"] + F.when(r["op"] == "D", 0).otherwise(r["n"])).alias("q"), (s["t"] + F.when(r["op"] == "I", 0).otherwise(r["n"])).alias("t"), F.concat(s["runs"], F.array(row)).alias("runs"))
+
+    def strings(x: Column) -> Column:
+        placed, own_q, own_t = x["walk"]["runs"], x["q"], x["t"]
+        side = lambda seq, at, gap: F.array_join(F.transform(placed, lambda r: F.when(r["op"] == gap, F.repeat(F.lit("-"), r["n"])).otherwise(F.substring(seq, r[at] + 1, r["n"]))), "")
+        ends = lambda walked, a, b, seq: (walked == F.abs(b - a) + 1) & (walked == F.length(seq))
+        fits = ends(x["walk"]["q"], query_start, query_end, own_q) & ends(x["walk"]["t"], target_start, target_end, own_t)
+        odd = F.when(F.lit(protein) & (backwards(query_start, query_end) | backwards(target_start, target_end)), "reversed_protein").when(~cigar.rlike(r"^([0-9]+[MID=X])+\z"), "invalid_cigar").when(~fits, "coordinates")
+        return F.struct(F.when(odd.isNull(), side(own_q, "q", "D")).alias("query"), F.when(odd.isNull(), side(own_t, "t", "I")).alias("target"), odd.alias("problem"))
+
+    # computed once, however often it is used below
+    return F.element_at(F.transform(F.array(F.struct(q.alias("q"), t.alias("t"), F.aggregate(runs, start, step).alias("walk"))), strings), 1)
+
+
 def accessions(x: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(x, F.lit(ACCESSION), F.lit(0)), F.upper))
 

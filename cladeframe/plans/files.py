@@ -123,6 +123,18 @@ def newick_forest(spark, sf_dir):
     return forest.tips(newick.read_forest(spark, to)).groupBy("name", "dist", "depth").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT name, dist, count(*) AS n FROM (SELECT unnest(['a;' || CAST(o_custkey AS VARCHAR), 'it''s', CASE WHEN o_orderkey % 2 = 0 THEN 'plain' ELSE 'l1' || chr(10) || 'l2;' END]) AS name, unnest([1.0, 2.0, 3.0]) AS dist FROM orders) GROUP BY ALL""")
+def newick_quotes(spark, sf_dir):
+    """IO-10: trees over several lines, with semicolons, quotes and line ends in names and comments."""
+    to = path(spark, "newick")
+    third = F.when(F.col("o_orderkey") % 2 == 0, F.lit("plain")).otherwise(F.lit("'l1\nl2;'"))
+    tree = F.concat(F.lit("(('a;"), text("o_custkey"), F.lit("':1,\n[a comment; it's one]'it''s':2):1,\n"), third, F.lit(":3)[;];"))
+    read(spark, sf_dir, "orders").select(tree).write.text(to)
+    from cladeframe.operators import forest
+
+    return forest.tips(newick.read_forest(spark, to)).where("problem is null").groupBy("name", "dist").agg(F.count("*").alias("n"))
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS species, s_name AS run, s_nationkey AS targets, s_acctbal AS total_tpm, 'drop' AS multimap FROM supplier")
 def qc_files(spark, sf_dir):
     """IO-11: one JSON file per run."""

@@ -949,6 +949,20 @@ def node_minima(spark, sf_dir):
     return forest.node_minima(own).select("node_id", "minimum", "applied")
 
 
+@query("""WITH s AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'insert' WHEN 1 THEN 'delete' WHEN 2 THEN 'reverse' ELSE 'short' END AS kind, translate(md5(CAST(user_id AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS q, translate(md5(event_type || CAST(user_id AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS t, CAST(1 + user_id % 9 AS INTEGER) AS a FROM events)
+ SELECT event_id, CASE kind WHEN 'insert' THEN q[a:a + 19] WHEN 'delete' THEN q[a:a + 4] || '---' || q[a + 5:a + 19] WHEN 'reverse' THEN reverse(translate(q[a:a + 19], 'ACGT', 'TGCA')) END AS query,
+ CASE kind WHEN 'insert' THEN t[3:7] || '--' || t[8:20] WHEN 'delete' THEN t[3:25] WHEN 'reverse' THEN t[3:22] END AS target, CASE kind WHEN 'short' THEN 'coordinates' END AS problem FROM s""")
+def gapped_alignments(spark, sf_dir):
+    """FN-09: hits as pairs of gapped strings: insertions, deletions, reverse strands, and runs that don't end at the coordinates."""
+    bases = lambda c: F.translate(F.md5(c), "0123456789abcdef", "ACGTACGTACGTACGT")
+    kind, a = F.col("event_id") % 4, (F.col("user_id") % 9 + 1).cast("int")
+    b = a + 19
+    cigar = F.when(kind == 0, "5M2I13M").when(kind == 1, "5M3D15M").when(kind == 2, "0M20M").otherwise("19M")
+    end = F.when(kind == 0, 20).when(kind == 1, 25).otherwise(22)
+    own = read(spark, sf_dir, "events").select("event_id", bases(text("user_id")).alias("q"), bases(F.concat("event_type", text("user_id"))).alias("t"), F.when(kind == 2, b).otherwise(a).alias("a"), F.when(kind == 2, a).otherwise(b).alias("b"), end.alias("end"), cigar.alias("cigar"))
+    return own.select("event_id", T.gapped(F.col("q"), F.col("t"), F.col("a"), F.col("b"), F.lit(3), F.col("end"), F.col("cigar")).alias("g")).select("event_id", "g.query", "g.target", "g.problem")
+
+
 PAIRS_SQL_TAIL = """c AS (SELECT tree_id, node_id, l, any_value(top) AS top, count(*) AS n, min(k) AS a, max(k) AS b, min(trait) AS lo, max(trait) AS hi, min(tip) AS first FROM clades WHERE trait IS NOT NULL GROUP BY tree_id, node_id, l),
  r AS (SELECT tree_id, a, b, n, any_value(lo) AS lo, any_value(hi) AS hi, any_value(top) AS top, min(l) AS low, max(l) AS high, arg_min(node_id, l) AS node_id, any_value(first) AS first FROM c GROUP BY tree_id, a, b, n),
  up AS (SELECT r.*, c.a AS pa, c.b AS pb, c.n AS pn FROM r JOIN c ON c.tree_id = r.tree_id AND c.l = r.high + 1 AND c.node_id = (CAST(1 AS BIGINT) << greatest(r.top - r.high - 1, 0)) - 1 + (r.a >> (r.high + 1))),

@@ -1,4 +1,10 @@
-"""Forests from Newick text: one tree per row in, one row per node out."""
+"""Forests from Newick text: one tree per row in, one row per node out.
+
+Files are read in pieces that end at semicolons, and a piece ends a tree only if its semicolon stands outside of quotes and
+comments. Whether it does depends on all text before it, so each task says of its block of a file what state each of the
+three states it may begin in (plain, quoted, comment) leads to; the few blocks of a file are put in order, and every piece
+then knows its own state and the number of its tree.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeframe.operators.store import stored
+
 NODES = "tree_id string, node_id int, parent_id int, name string, dist double, support double, depth int, tin int, tout int, problem string"
 SCHEMA = pa.schema([
     ("tree_id", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("name", pa.string()), ("dist", pa.float64()), ("support", pa.float64()),
@@ -25,8 +33,12 @@ def nodes_of(tree_id: str, text: str) -> list[tuple]:
     at, expect = 0, "name"
     children = [0]
     try:
+        end = 0
         for m in TOKEN.finditer(text):
             quoted, mark, word = m.groups()
+            if m.start() != end:
+                raise ValueError("a quote or comment without an end")
+            end = m.end()
             if mark == "(":
                 opened += 1
                 parent.append(at), name.append(""), dist.append(None), children.append(0)
@@ -46,12 +58,14 @@ def nodes_of(tree_id: str, text: str) -> list[tuple]:
                 break
             elif quoted or word:
                 value = quoted[1:-1].replace("''", "'") if quoted else word
-                if expect == "dist":
-                    dist[at] = float(value)
+                if expect == "name":
+                    name[at], expect = value, "mark"
+                elif expect == "dist":
+                    dist[at], expect = float(value), "mark"
                 else:
-                    name[at] = value
-        if opened or at is None:
-            raise ValueError("unbalanced")
+                    raise ValueError("two words in a row: names with spaces must be quoted")
+        if opened or at is None or text[end:].strip():
+            raise ValueError("unbalanced, or text behind the end")
     except (ValueError, TypeError, IndexError):
         return [(tree_id, 0, None, None, None, None, 0, 0, 0, "unreadable")]
     n = len(parent)
@@ -94,9 +108,70 @@ def forest(trees: DataFrame, tree_id: str = "tree_id", newick: str = "newick") -
     return trees.select(F.col(tree_id).cast("string").alias("tree_id"), F.col(newick).alias("newick")).mapInArrow(_parse, NODES)
 
 
+PLAIN, QUOTED, COMMENT = range(3)
+PIECES = "file string, block long, place long, piece string, after array<int>, ends array<long>"
+
+
+def state_after(text: str, state: int) -> int:
+    """The state behind a text that begins in one. A doubled quote leaves a quoted name and enters it again."""
+    i = 0
+    while i < len(text):
+        if state == PLAIN:
+            m = re.compile(r"['\[]").search(text, i)
+            if not m:
+                break
+            state, i = (QUOTED if m[0] == "'" else COMMENT), m.end()
+        else:
+            i = text.find("'" if state == QUOTED else "]", i)
+            if i < 0:
+                break
+            state, i = PLAIN, i + 1
+    return state
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each piece with the state behind it and the trees ended before it, for each state that its block may begin in."""
+    block, states, ends, place = None, [], [], 0
+    for batch in batches:
+        out: list[list] = [[] for _ in range(6)]
+        for file, start, text in zip(*[c.to_pylist() for c in batch.columns]):
+            if (file, start) != block:
+                block, states, ends, place = (file, start), [PLAIN, QUOTED, COMMENT], [0, 0, 0], 0
+            before = list(ends)
+            behind = {s: state_after(text, s) for s in set(states)}
+            states = [behind[s] for s in states]
+            ends = [n + (s == PLAIN) for n, s in zip(ends, states)]
+            for column, value in zip(out, (file, start, place, text, list(states), before)):
+                column.append(value)
+            place += 1
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["file", "block", "place", "piece", "after", "ends"])
+
+
+def tree_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, newick): the trees of one or many files, over several lines or not, in the order of each file."""
+    raw = spark.read.text(path, lineSep=";").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    pieces = stored(raw.mapInArrow(_pieces, PIECES), "newick-pieces")
+    ending = pieces.groupBy("file", "block").agg(F.max_by(F.struct("after", F.transform("after", lambda s, k: F.get("ends", k) + F.when(s == PLAIN, 1).otherwise(0)).alias("ends")), "place").alias("x"))
+    # a file has a block for each piece of it that one task reads
+    blocks = ending.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "x.after", "x.ends"))).alias("blocks"))
+    begin = F.struct(F.lit(PLAIN).alias("state"), F.lit(0).cast("long").alias("number"))
+    start = F.struct(begin.alias("now"), F.array().cast("array<struct<block:bigint,state:int,number:bigint>>").alias("out"))
+
+    def onward(state, b):
+        now = state["now"]
+        row = F.struct(b["block"].alias("block"), now["state"].alias("state"), now["number"].alias("number"))
+        return F.struct(F.struct(F.get(b["after"], now["state"]).alias("state"), (now["number"] + F.get(b["ends"], now["state"])).alias("number")).alias("now"), F.concat(state["out"], F.array(row)).alias("out"))
+
+    begins = blocks.select("file", F.explode(F.aggregate("blocks", start, onward, lambda x: x["out"])).alias("b")).select("file", "b.*")
+    own = pieces.join(begins, ["file", "block"]).withColumn("number", F.col("number") + F.get("ends", F.col("state")))
+    trees = own.groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("block", "place", "piece"))).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda p: p["piece"]), ";")
+    trees = trees.select("file", "number", text.alias("newick")).where(F.trim(F.regexp_replace("newick", r"\s", "")) != "")
+    return trees.select("file", "number", F.concat("newick", F.lit(";")).alias("newick"))
+
+
 def read_forest(spark: SparkSession, path: str) -> DataFrame:
-    """Trees, one per line, of one or many files; a tree's id is its file's name and a number within the read."""
-    lines = spark.read.text(path, lineSep=";").where(F.trim(F.regexp_replace("value", r"\s", "")) != "")
-    file = F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
-    place = F.monotonically_increasing_id().cast("string")
-    return forest(lines.select(F.concat_ws("#", file, place).alias("tree_id"), F.concat("value", F.lit(";")).alias("newick")))
+    """Trees of one or many files; a tree's id is its file's name and its number in that file, from 0."""
+    name = F.regexp_extract("file", r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
+    return forest(tree_texts(spark, path).select(F.concat_ws("#", name, F.col("number").cast("string")).alias("tree_id"), "newick"))
