@@ -2,7 +2,9 @@
 
 A fingerprint has PRINT_WORDS * 64 bits over the distinct shingles of a text, cut into blocks of 32 bits. In every block
 each value emits itself and its 32 one-flip variants, so texts meet if some block of theirs differs in at most two bits.
-Flips of a block's first PREFIX bits are shuffled, those of the others made by the task that receives the block. Texts at
+Blocks are dealt by their first bits, the prefix; flips of the prefix are shuffled, those of the other bits made by the task
+that receives the block. The prefix grows with the logarithms of the texts and of the partitions, so that there are many
+more places than tasks and a place holds a bounded share of the texts. Texts at
 similarity 0.8 differ in about 15 % of the bits and meet with a chance of about 0.99, closer ones more surely; what meets
 by accident is thinned by 64 bits of the neighbouring blocks. Pairs that are left are decided by the exact similarity of
 their texts.
@@ -15,8 +17,8 @@ differences of the other must hold a common one, so texts meet on those alone, w
 that no other group has meet nothing. So a group of near copies costs rows in proportion to its members.
 
 Cases: upper and lower case are equal (ASCII), words end at ASCII white space. A text of fewer words than a shingle is one
-shingle; null texts and texts without words are copies of each other. Equal texts, named by 64 bits, are merged before
-anything else. An empty table gives an empty result.
+shingle; null texts and texts without words are copies of each other. Equal texts are merged before anything else; they are
+named by 64 bits, and by 64 others where two texts share the first. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ from .simhash import connected
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
-PRINT_WORDS, PREFIX, FAR, SMALL_GROUP = 20, 5, 22, 32
-LOW = 32 - PREFIX
+PRINT_WORDS, FAR, SMALL_GROUP = 20, 22, 32
+#: Bits of a prefix, and the texts for which the fewest are enough.
+LEAST_PREFIX, MOST_PREFIX, PLACE_TEXTS = 5, 20, 20_000
 FLUSH_PRINTS, RECORDS = 20_000, 200_000
 SEEDS = np.arange(1, PRINT_WORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 DEALT = pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("value", pa.binary()), ("t", pa.binary()), ("check", pa.binary())])
@@ -74,7 +77,13 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(prints, pa.binary())], ["t", "print"])
 
 
-def _deal(n: int) -> Callable:
+def prefix_bits(texts: int, n: int) -> int:
+    """So many that no place gets more than its share of texts, and each of n tasks has 16 places or more."""
+    wanted = max(LEAST_PREFIX + math.log2(max(1, texts / PLACE_TEXTS)), math.log2(16 * n / (2 * PRINT_WORDS)))
+    return min(MOST_PREFIX, max(LEAST_PREFIX, math.ceil(wanted)))
+
+
+def _deal(n: int, prefix: int) -> Callable:
     """Each block's value goes to its own prefix and to those one flip away; a place is a block and a prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +95,8 @@ def _deal(n: int) -> Callable:
                 values = words.view(np.uint32)
                 block = np.arange(2 * PRINT_WORDS)
                 check = words[:, (block // 2 + 1) % PRINT_WORDS]
-                flips = np.array([0, *(1 << j for j in range(PREFIX))], np.uint32)
-                place = (((values >> np.uint32(LOW))[:, :, None] ^ flips) | (block.astype(np.uint32) << np.uint32(PREFIX))[None, :, None]).ravel()
+                flips = np.array([0, *(1 << j for j in range(prefix))], np.uint32)
+                place = (((values >> np.uint32(32 - prefix))[:, :, None] ^ flips) | (block.astype(np.uint32) << np.uint32(prefix))[None, :, None]).ravel()
                 bucket = ((place * np.uint32(2654435761)) >> np.uint32(8)) % np.uint32(n)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(n + 1))
@@ -96,7 +105,7 @@ def _deal(n: int) -> Callable:
                     if cut[b] < cut[b + 1]:
                         mine = slice(cut[b], cut[b + 1])
                         k = at[mine]
-                        rows.append([b, place[order[mine]].astype(np.uint16).tobytes(), values.ravel()[k].tobytes(), t[k // len(block)].tobytes(), check.ravel()[k].tobytes()])
+                        rows.append([b, place[order[mine]].tobytes(), values.ravel()[k].tobytes(), t[k // len(block)].tobytes(), check.ravel()[k].tobytes()])
                 for k in range(0, len(rows), 64):
                     yield rows_batch(rows[k : k + 64], DEALT)
 
@@ -109,15 +118,16 @@ def _central(check: np.ndarray) -> int:
     return int((bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1).argmin())
 
 
-def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray) -> list[np.ndarray]:
+def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray, prefix: int) -> list[np.ndarray]:
     """Rows (a, b) of pairs that meet and are near by the check bits; in a large group, each member with the central one.
     Texts that come from the same other prefix meet at that one already."""
-    origin = value >> np.uint32(LOW)
-    away = origin != place & np.uint16(2**PREFIX - 1)
+    rest = 32 - prefix
+    origin = value >> np.uint32(rest)
+    away = origin != place & np.uint32(2**prefix - 1)
     home = np.flatnonzero(~away)
-    low, base = (value & np.uint32(2**LOW - 1)).astype(U), place.astype(U) << U(LOW)
-    who = np.concatenate([np.arange(len(t)), np.tile(home, LOW)])
-    keys = np.concatenate([base | low, *[(base | (low ^ U(1 << j)))[home] for j in range(LOW)]])
+    low, base = (value & np.uint32(2**rest - 1)).astype(U), place.astype(U) << U(rest)
+    who = np.concatenate([np.arange(len(t)), np.tile(home, rest)])
+    keys = np.concatenate([base | low, *[(base | (low ^ U(1 << j)))[home] for j in range(rest)]])
     order = np.lexsort((t[who], keys))
     keys, who = keys[order], who[order]
     at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
@@ -162,28 +172,31 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return pairs[kept]
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"place": np.uint16, "value": np.uint32, "t": np.int64, "check": U}
-    got = {c: [] for c in kinds}
-    for batch in batches:
-        for c, kind in kinds.items():
-            got[c] += [np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)]
-    if not got["t"]:
-        return
-    place, value, t, check = (np.concatenate(x) for x in got.values())
-    order = np.argsort(place, kind="stable")
-    starts = np.flatnonzero(np.append(True, np.diff(place[order]) != 0))
-    cuts = [0]
-    for s in starts.tolist():
-        if s - cuts[-1] >= RECORDS:
-            cuts.append(s)
-    pairs = []
-    for a, b in zip(cuts, [*cuts[1:], len(order)]):
-        k = order[a:b]
-        pairs += _met(place[k], value[k], t[k], check[k])
-    pairs = _forest(np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0))
-    for i in range(0, len(pairs), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(2)], ["a", "b"])
+def _meet(prefix: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"place": np.uint32, "value": np.uint32, "t": np.int64, "check": U}
+        got = {c: [] for c in kinds}
+        for batch in batches:
+            for c, kind in kinds.items():
+                got[c] += [np.frombuffer(x.as_buffer(), kind) for x in batch.column(c)]
+        if not got["t"]:
+            return
+        place, value, t, check = (np.concatenate(x) for x in got.values())
+        order = np.argsort(place, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(place[order]) != 0))
+        cuts = [0]
+        for s in starts.tolist():
+            if s - cuts[-1] >= RECORDS:
+                cuts.append(s)
+        pairs = []
+        for a, b in zip(cuts, [*cuts[1:], len(order)]):
+            k = order[a:b]
+            pairs += _met(place[k], value[k], t[k], check[k], prefix)
+        pairs = _forest(np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0))
+        for i in range(0, len(pairs), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[i : i + 100_000, k])) for k in range(2)], ["a", "b"])
+
+    return run
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +308,9 @@ def _across(placed: DataFrame, own: DataFrame, centers: DataFrame, similarity: f
 def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) for texts (t, text): every text that isn't the smallest of its component."""
     prints = texts.mapInArrow(_prints, "t long, print binary").groupBy("t").agg(F.first("print").alias("print"))
-    dealt = prints.mapInArrow(_deal(n), "bucket int, place binary, value binary, t binary, check binary")
-    met = dealt.repartitionById(n, "bucket").mapInArrow(_meet, "a long, b long")
+    prefix = prefix_bits(texts.count(), n)
+    dealt = prints.mapInArrow(_deal(n, prefix), "bucket int, place binary, value binary, t binary, check binary")
+    met = dealt.repartitionById(n, "bucket").mapInArrow(_meet(prefix), "a long, b long")
     pairs = written(met.groupBy("a", "b").agg(F.count("*").alias("times")), "near-pairs-met")
     used = pairs.select(F.explode(F.array("a", "b")).alias("t"), "times").groupBy("t").agg(F.sum("times").alias("times"))
     used = small(written(used, "near-used"))
@@ -317,13 +331,23 @@ def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> Data
     return connected(links.union(more))
 
 
+def named(docs: DataFrame, text_col: str) -> DataFrame:
+    """docs with `t`, 64 bits that name the text; where different texts share a hash, all but those of its smallest second hash take that one."""
+    both = docs.withColumn("__h1", F.xxhash64(text_col)).withColumn("__h2", F.xxhash64(F.lit(7), F.col(text_col)))
+    shared = both.groupBy("__h1").agg(F.min("__h2").alias("__low"), F.max("__h2").alias("__high")).where("__low < __high").select("__h1", "__low")
+    shared = written(shared, "near-shared-hashes")
+    if shared.isEmpty():
+        return both.withColumnRenamed("__h1", "t").drop("__h2")
+    return both.join(small(shared), "__h1", "left").withColumn("t", F.when(F.col("__h2") != F.col("__low"), F.col("__h2")).otherwise(F.col("__h1"))).drop("__h1", "__h2", "__low")
+
+
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", n: int | None = None) -> DataFrame:
     """Rows of docs, one for each component: that with the smallest id (nulls last; of equal ids, by the value key)."""
     n, names = n or partitions(docs.sparkSession), docs.columns
-    texts = docs.select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
-    roots = near_links(texts, n, similarity)
+    own = named(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
+    roots = near_links(own.select("t", "text"), n, similarity)
     key = [c.alias(name) for c, name in zip(value_key(id_col, text_col), ("k1", "k2"))]
-    marked = docs.select(F.xxhash64(text_col).alias("node"), F.col(id_col).alias("id"), *key).join(roots, "node", "left")
+    marked = own.select(F.col("t").alias("node"), "id", *[c.alias(name) for c, name in zip(value_key("id", "text"), ("k1", "k2"))]).join(roots, "node", "left")
     marked = marked.select(F.coalesce("root", "node").alias("root"), "id", "k1", "k2")
     first = marked.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")).alias("x")).select("x.k1", "x.k2")
     rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), *key)

@@ -3,6 +3,7 @@ import random
 
 import corpus_pipeline as P
 import numpy as np
+import pytest
 from cladeframe.llm import near_copies as N
 from tests.conftest import SF
 
@@ -64,7 +65,8 @@ def test_large_group(spark):
     assert sorted(r.doc_id for r in N.keep_one(spark.createDataFrame(rows, SCHEMA), n=4).collect()) == brute(rows)
 
 
-def test_meets_one_flip_variants():
+@pytest.mark.parametrize("prefix", [5, 9])
+def test_meets_one_flip_variants(prefix):
     """Values that differ in two bits of a block meet wherever the bits are, in three they don't."""
     rng = np.random.default_rng(1)
     for bits, meet in ((1, True), (2, True), (3, False)):
@@ -73,11 +75,11 @@ def test_meets_one_flip_variants():
             w = v ^ np.uint32(sum(1 << int(j) for j in rng.choice(32, bits, replace=False)))
             place, value, t = [], [], []
             for name, x in enumerate((v, w)):
-                for flip in (0, *(1 << j for j in range(N.PREFIX))):
-                    place.append((int(x) >> N.LOW) ^ flip)
+                for flip in (0, *(1 << j for j in range(prefix))):
+                    place.append((int(x) >> (32 - prefix)) ^ flip)
                     value.append(x)
                     t.append(name)
-            pairs = N._met(np.array(place, np.uint16), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64))
+            pairs = N._met(np.array(place, np.uint32), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64), prefix)
             assert any(len(p) for p in pairs) == meet
 
 
@@ -127,3 +129,19 @@ def test_spanning_forest():
         for x, y in zip(a, b):
             root[x] = root[y] = min(root[x], root[y])
     assert sorted(N.spanning(a, b)) == sorted((x, r) for x, r in root.items() if x != r)
+
+
+def test_places_follow_texts_and_partitions():
+    """A place's share of the texts and a task's number of places stay within bounds."""
+    for texts in (0, 10, 10**5, 10**7, 10**8):
+        for n in (1, 211, 5000):
+            bits = N.prefix_bits(texts, n)
+            assert 5 <= bits <= 20 and 40 * 2**bits >= 16 * n and texts / 2**bits <= max(N.PLACE_TEXTS / 2**5, 1)
+
+
+def test_texts_that_share_a_hash(spark, monkeypatch):
+    """Different texts of one hash stay apart."""
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e f"), (3, "a b c"), (4, None)], "doc_id long, text string")
+    monkeypatch.setattr(N.F, "xxhash64", lambda *c, real=N.F.xxhash64: N.F.lit(5).cast("long") if len(c) == 1 else real(*c))
+    names = {r.doc_id: r.t for r in N.named(docs, "text").collect()}
+    assert names[1] == names[3] and len({names[i] for i in (1, 2, 4)}) == 3
