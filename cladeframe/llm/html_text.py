@@ -6,8 +6,9 @@ across many of a host's pages are its template, and their blocks go. A subtree c
 or more, so that short sentences which happen to recur stay; a menu counts as a whole. Besides, elements which by tag, role
 or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments are left out,
 and only the article is kept where a page has one (else its main element, else its body). Class names count as whole
-names or by their parts between - and _ ("cookie-banner"), but not where a part says that the element merely has or goes
-with furniture ("has-sidebar", "with-sidebar", "comments-open"), and never on html or body. Text of unwanted inline
+names, or if every part between - and _ is a word of furniture or one of the words that go with them ("cookie-banner",
+"site-footer"); a name that has any other part doesn't ("share-price", "elementor-widget-container"), nor one that says that the
+element merely has or goes with furniture ("has-sidebar", "comments-open"), and never on html or body. Text of unwanted inline
 elements goes, that around them stays. If all articles and main elements stand in furniture, but in no menu, aside, footer
 or hidden element, and hold more text than is left outside, what surrounds them is a wrapper and they are kept. If nothing
 is left at all, forms are taken for wrappers. A block of text inside an article or main element is never template by
@@ -46,6 +47,8 @@ UNSEEN = frozenset("script style noscript template head title svg math iframe ob
 FURNITURE = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 CLASSES = frozenset("ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related rail respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
+#: What stands beside such words in class names.
+BESIDE = frozenset("all area author bar block blocks body bottom box boxes button buttons center col column container date desktop fixed form global group header heading icon icons inner item items label left link links list lists logo main meta mobile module outer page panel post posts primary reply right row secondary section side site slot sticky story stories strip text thread title top unit wrap wrapper zone".split())
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
@@ -54,7 +57,6 @@ CLOSES = {
 CONTAINERS = frozenset("aside center details dialog div dl fieldset footer form header menu nav ol section table ul".split())
 #: Where a class name never makes furniture of it: the page itself.
 WHOLE = frozenset("html body".split())
-STATES = frozenset("has with without no is not open opened closed enabled disabled".split())
 HARD = frozenset("nav footer aside dialog menu".split())
 NAME = re.compile(r"[a-z]+")
 BLANK = re.compile(r"\s+")
@@ -105,7 +107,7 @@ class Page(HTMLParser):
         top = self.open[-1]
         known = {k: (v or "").lower() for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
         names = [] if tag in WHOLE or not known else [NAME.findall(n) for n in f"{known.get('class', '')} {known.get('id', '')}".split()]
-        names = [n for parts in names if STATES.isdisjoint(parts) for n in parts]
+        names = [n for parts in names if all(n in CLASSES or n in BESIDE for n in parts) for n in parts]
         article = top[6] or tag == "article"
         hidden = "hidden" in known or known.get("aria-hidden") == "true" or "display:none" in known.get("style", "").replace(" ", "")
         own = hidden or known.get("role") in ROLES - {"form"} or (tag in FURNITURE and tag != "form") or any(n in CLASSES for n in names) or ((tag == "header" or "header" in names) and not article)

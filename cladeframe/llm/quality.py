@@ -3,7 +3,8 @@
 Each line with a word is judged by itself, in any language: punctuation (symbols, exclamation or question marks in rows,
 or capitals prevail), navigation (rows of separators, menu words, long lists without a function word or sentence end, and
 lines within a run of RUN or more neighbouring short lines that end no sentence and aren't list items) and boilerplate
-(notices of cookies, scripts, rights and the like, in short lines). A heading or a lone short line between others stays.
+(short lines that are notices of cookies, scripts, rights and the like: a phrase of consent, command or right, or a line that
+begins as a notice does; a line that merely has such a word is none). A heading or a lone short line between others stays.
 Failing lines are removed; a document that loses more than max_lost of its characters is rejected, as is one that fails
 the base rules (too few words, too many words in repeated three-word windows).
 
@@ -31,7 +32,16 @@ ODD = rf"{SYMBOLS}|{SEPARATORS}|{SHOUT}|{CAPITAL}[^\p{{L}}]*{CAPITAL}"
 ITEM = r"^(?:[-*+•·–]|[0-9]{1,3}[.)]|[a-zA-Z][.)])[\x20\x09]"
 #: What menus and notices of web pages say, in lower case, in English, German, Spanish and French.
 MENU = r"^(home|menu|next|previous|login|log in|sign in|sign up|search|share|read more|back to top|skip to content|contact us|startseite|anmelden|suche|weiterlesen|nach oben|kontakt|inicio|iniciar|buscar|compartir|contacto|accueil|connexion|rechercher|partager|lire la suite|haut de page)( |\z|[.,:;!?|>])"
-NOTICE = r"cookie|javascript|all rights reserved|terms of use|terms of service|privacy policy|lorem ipsum|subscribe|newsletter|click here|alle rechte vorbehalten|datenschutzerkl|nutzungsbedingungen|hier klicken|todos los derechos reservados|pol[ií]tica de privacidad|haga clic|tous droits r[ée]serv[ée]s|politique de confidentialit|cliquez ici"
+#: Words without which no line is a notice; a line that holds one may be anything yet.
+CUES = r"cookie|javascript|rights reserved|rechte vorbehalten|derechos reservados|droits r[ée]serv|lorem ipsum|click here|hier klicken|haga clic|cliquez ici|subscribe|sign up|terms of|privacy policy|nutzungsbedingungen|datenschutz|privacidad|confidentialit"
+#: What makes a notice: a site that says so of itself, what the reader is told to do, or the line's first words.
+NOTICE = (
+    r"(?:^|[^a-z])(?:(?:we|(?:this|our|the) (?:web ?)?(?:site|page|shop)|wir|(?:diese|unsere) (?:web)?seite|este sitio|ce site|nous) (?:[a-z]+ )?(?:uses?|stores?|sets?|nutz(?:t|en)|verwende[nt]|utiliza|utilise|utilisons) (?:[a-z]+ )?cookies"
+    r"|(?:accept|allow|manage|reject) (?:all )?cookies|cookies akzeptieren|aceptar cookies|accepter les cookies|cookie (?:policy|settings|preferences|consent|notice)"
+    r"|(?:enable|activate|turn on|requires|aktivieren sie|active|activez) javascript|javascript (?:is|must be|needs to be) (?:disabled|enabled|required|turned)|all rights reserved|alle rechte vorbehalten|todos los derechos reservados|tous droits r[ée]serv[ée]s"
+    r"|(?:subscribe to|sign up for) (?:our|the) (?:[a-z]+ )?newsletter)(?:[^a-z]|\z)"
+    r"|^(?:lorem ipsum|click here|hier klicken|haga clic|cliquez ici|subscribe (?:to|now|today|here)|sign up (?:for|now|today|here)|(?:our |the )?(?:terms of (?:use|service)|privacy policy)|nutzungsbedingungen|datenschutzerkl[äa]rung|pol[ií]tica de privacidad|politique de confidentialit[ée])(?:[^a-z].{0,40})?\z"
+)
 FUNCTION_WORD = r"(?:^|[\x20\x09])(?:the|of|and|to|in|is|der|die|das|und|den|von|el|la|los|las|de|que|y|le|les|et|des|un|une)(?:[\x20\x09,.]|\z)"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 PROSE_WORDS, MENU_CHARS, NOTICE_CHARS, LIST_WORDS, RUN = 10, 60, 200, 20, 3
@@ -53,7 +63,7 @@ def line_facts(line: Column) -> Column:
                 loud = F.when(f["odd"], loud | ((n >= 3) & (2 * parts(x, CAPITAL) > F.length(x)))).otherwise(F.lit(False))
                 menu = (F.length(x) <= MENU_CHARS) & F.lower(x).rlike(MENU)
                 listed = (n >= LIST_WORDS) & ~f["ends"] & ~F.lower(x).rlike(FUNCTION_WORD)
-                notice = (F.length(x) <= NOTICE_CHARS) & F.lower(x).rlike(NOTICE)
+                notice = (F.length(x) <= NOTICE_CHARS) & F.lower(x).rlike(CUES) & F.lower(x).rlike(NOTICE)
                 short = (n > 0) & (n < PROSE_WORDS) & ~f["ends"] & ~x.rlike(ITEM)
                 return F.struct(line.alias("line"), ((x != "") & (loud | menu | listed | notice)).alias("fails"), short.alias("short"))
 

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 from cladeframe.llm.html_text import main_text, parsed
@@ -71,3 +72,25 @@ def test_query(spark):
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
         assert r.text == "\n".join(x for x in parts if x)
         assert r.n_chars == len(r.text)
+
+
+def test_class_names_that_only_hold_a_word_of_furniture(spark):
+    """Longer names are no furniture because one of their parts is; compounds of such words are."""
+    keep = ["elementor-widget-container", "share-price", "related-work", "notice-period", "modal-verbs", "rail-transport", "ad-hoc", "commentary", "popup-book", "pager_duty"]
+    drop = ["cookie-banner", "ad-slot", "site-footer", "main-nav", "comment-list", "sidebar_left", "share-buttons", "related-posts", "newsletter", "social-links"]
+    rows = [(1, f"<body><article><p>First.</p>{''.join(f'<div class={chr(34)}{c}{chr(34)}><p>In {c}.</p></div>' for c in keep + drop)}</article></body>"), (2, '<body><div class="elementor-widget-container"><p>Whole page.</p></div><div class="site-footer">Foot.</div></body>')]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame([(i, f"http://h{i}/", h) for i, h in rows], "page_id long, url string, html string")).collect()}
+    assert got[1].split("\n") == ["First.", *[f"In {c}." for c in keep]] and got[2] == "Whole page."
+
+
+def test_templates_that_only_counting_finds(spark):
+    """Pages without an article, whose furniture has neither telling tags nor names."""
+    rng = random.Random(1)
+    say = lambda n: " ".join(rng.choice("amber birch cedar delta ember fjord grove heath inlet juniper".split()) + str(rng.randrange(999)) for _ in range(n))
+    head, foot = "<div><p>The Example Gazette brings you stories from all over town every single day.</p></div>", "<div><span>Printed on recycled paper by the river mill since the year nineteen hundred.</span></div>"
+    own = [(say(40), say(30)) for _ in range(60)]
+    pages = [(i, f"http://gazette.example/{i}", f"<body>{head}<div><p>{a}</p><p>{b}</p></div>{foot}</body>") for i, (a, b) in enumerate(own)]
+    pages += [(100, "http://other.example/1", f"<body>{head}<div><p>Alone.</p></div></body>")]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"{a}\n{b}" for i, (a, b) in enumerate(own))
+    assert got[100] == "The Example Gazette brings you stories from all over town every single day.\nAlone."

@@ -1,8 +1,9 @@
 import re
 from collections import Counter
 
-from cladeframe.llm.quality import judged, keep_good
+from cladeframe.llm.quality import cleaned_text, judged, keep_good
 from cladeframe.llm.queries import op3_quality_rules
+from pyspark.sql import functions as F
 from tests.conftest import SF
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,3 +46,20 @@ def test_query_keeps_clean(spark):
         assert tuple(r)[1:7] == base(docs[r.doc_id])
     judged_good = [r for r in out if good.get(r.doc_id) == 1 and not r.base_failed]
     assert sum(r.kept for r in judged_good) >= 0.99 * len(judged_good)
+
+
+def test_words_of_notices_in_prose(spark):
+    """Texts about cookie dough, a JavaScript engine and a changed privacy policy keep their lines; notices lose theirs."""
+    prose = [
+        "The cookie dough rests for an hour before it is rolled out and cut.", "She uses cookies and cream in the second layer of the cake.", "The javascript engine compiles hot functions while the page loads.",
+        "Readers who subscribe to this theory expect prices to fall next year.", "The court found that the privacy policy of the company was too vague.", "He printed a newsletter on the press in his cellar for twenty years.",
+        "The terms of use were changed twice before the contract was signed.", "If you click here and there in the old program it stops at once.",
+    ]
+    notices = [
+        "We use cookies to improve your experience.", "This website uses necessary cookies.", "Please enable JavaScript to view this page.", "JavaScript is disabled in your browser.", "All rights reserved.", "Subscribe to our newsletter!", "Sign up for our weekly newsletter.",
+        "Click here for more.", "Privacy policy", "Accept all cookies", "Diese Webseite verwendet Cookies.", "Alle Rechte vorbehalten.", "Lorem ipsum dolor sit amet.",
+    ]
+    docs = spark.createDataFrame([(1, "\n".join(prose)), (2, "\n".join(notices))], "doc_id long, text string")
+    got = {r.doc_id: r.t for r in docs.select("doc_id", cleaned_text(F.col("text")).alias("t")).collect()}
+    assert got[1].split("\n") == prose and got[2] == ""
+    assert judged(spark.createDataFrame([(1, "\n".join(prose))], "doc_id long, text string")).first().kept
