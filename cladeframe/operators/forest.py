@@ -399,6 +399,29 @@ def clade_representatives(membership: DataFrame, clade: str, score: str, name: s
     return membership.groupBy(clade).agg(F.min_by(F.struct(*[c for c in membership.columns if c != clade]), order).alias("x")).select(clade, "x.*")
 
 
+def representative_pairs(nodes: DataFrame, traits: DataFrame, scores: DataFrame, trait: str = "trait", score: str = "score", seed: int = 1) -> DataFrame:
+    """(tree_id, tip, state, clade, representative, pair_node, pair_id, reason): pairs found on trees in which one tip stands for each uniform
+    clade, and every tip of the full trees with its clade's pair. The best-scored tip of a clade stands for it, ties by a
+    seeded hash of the name; scores(tip, score), no score being the worst. reason: no_trait for tips that belong to no clade, unpaired
+    for those whose clade is in no pair."""
+    states = traits.where(F.col(trait).isNotNull()).select("tip", F.col(trait).alias("state"))
+    clades = stored(uniform_clades(nodes, traits, trait), "clades").select("tree_id", F.col("node_id").alias("clade"), F.col("node_id"))
+    members = stored(covering(nodes, clades).join(states, "tip").join(scores.select("tip", score), "tip", "left"), "clade-members")
+    order = F.struct(F.col(score).isNull(), -F.col(score), F.xxhash64(F.lit(seed), F.col("tip")), F.col("tip"))
+    best = stored(members.groupBy("tree_id", "clade").agg(F.min_by(F.struct("tip", "state"), order).alias("r")).select("tree_id", "clade", F.col("r.tip").alias("representative"), F.col("r.state").alias("state")), "representatives")
+    # a tip's name may stand in several trees, and stand for its clade in some of them only
+    only = positions(nodes).join(best.select("tree_id", F.col("representative").alias("tip")), ["tree_id", "tip"], "left_semi")
+    named = lambda df: df.withColumn("tip", F.concat_ws("\t", "tree_id", "tip"))
+    own = nodes.withColumn("name", F.when(F.col("name").isNotNull(), F.concat_ws("\t", "tree_id", "name")))
+    small = named(only.join(states, "tip")).select("tip", "state")
+    pairs = stored(contrast_pairs(own, small, "state"), "representative-pairs")
+    paired = covering(nodes, pairs.where("resolved").select("tree_id", "node_id", "pair_id")).select("tree_id", F.col("tip").alias("representative"), F.col("node_id").alias("pair_node"), "pair_id")
+    of_clade = best.drop("state").join(paired, ["tree_id", "representative"], "left")
+    every = positions(nodes).select("tree_id", "tip").join(members.select("tree_id", "tip", "state", "clade"), ["tree_id", "tip"], "left").join(of_clade, ["tree_id", "clade"], "left")
+    reason = F.when(F.col("clade").isNull(), "no_trait").when(F.col("pair_id").isNull(), "unpaired")
+    return every.select("tree_id", "tip", "state", "clade", "representative", "pair_node", "pair_id", reason.alias("reason"))
+
+
 def tip_annotations(nodes: DataFrame, samples: DataFrame, ranks: DataFrame, traits: DataFrame, trait: str) -> DataFrame:
     """(tree_id, tip, sample, trait, order and family) of every tip."""
     own = tips(nodes).select("tree_id", F.col("name").alias("tip"))

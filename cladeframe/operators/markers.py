@@ -56,6 +56,24 @@ def tree_occupancy(tips: DataFrame, samples: DataFrame, tree: str = "tree_id", s
     return tips.groupBy(tree).agg(F.count_distinct(sample).alias("samples")).crossJoin(F.broadcast(total)).select(tree, "samples", (F.col("samples") / F.col("total")).alias("occupancy"))  # one row
 
 
+def gene_tree_summary(trees: DataFrame, tips: DataFrame, samples: DataFrame, tree: str = "tree_id", sample: str = "sample", status: str = "status", sites: str = "sites") -> DataFrame:
+    """One row: trees retained and excluded (trees(tree, status, sites)), total and mean sites of the retained, samples, those that no retained
+    tree holds, tips that are no sample, and the status, insufficient_coverage if a sample is left out or no tree is left."""
+    kept = trees.where(F.col(status) == "retained")
+    of = kept.agg(F.count("*").alias("retained"), F.coalesce(F.sum(sites), F.lit(0)).alias("total_sites"), F.coalesce(F.avg(sites), F.lit(0.0)).alias("mean_sites"))
+    seen = tips.join(kept.select(tree), tree, "left_semi").select(sample).distinct().withColumn("__seen", F.lit(1))
+    both = samples.select(sample).distinct().withColumn("__own", F.lit(1)).join(seen, sample, "full")
+    who = both.agg(F.count("__own").alias("samples"), F.count_if(F.col("__seen").isNull()).alias("unrepresented"), F.count_if(F.col("__own").isNull()).alias("unexpected"))
+    gone = trees.agg(F.count_if(~F.coalesce(F.col(status) == "retained", F.lit(False))).alias("excluded"))
+    one = of.crossJoin(F.broadcast(gone)).crossJoin(F.broadcast(who))  # a row each
+    return one.withColumn("status", F.when((F.col("unrepresented") > 0) | (F.col("retained") == 0), "insufficient_coverage").otherwise("retained"))
+
+
+def unrepresented(tips: DataFrame, samples: DataFrame, sample: str = "sample") -> DataFrame:
+    """Samples that no tree holds."""
+    return samples.select(sample).distinct().join(tips.select(sample).distinct(), sample, "left_anti")
+
+
 def coverage_distribution(coverage: DataFrame, count: str = "trees") -> DataFrame:
     return coverage.groupBy(count).agg(F.count("*").alias("samples"))
 

@@ -53,12 +53,12 @@ def count_by(df: DataFrame, column: str) -> DataFrame:
 
 
 def best_per_key(df: DataFrame, key: str, amount: str, tie: str, first: str | None = None) -> DataFrame:
-    """One row per key: rows flagged `first` before others, then the largest amount, then the smallest tie. An
-    aggregation of one struct, which is combined before the shuffle; a key with many rows makes no large group."""
-    lead = [F.coalesce(F.col(first), F.lit(False)).alias("a")] if first else []
-    top = df.groupBy(key).agg(F.max(F.struct(*lead, F.col(amount).alias("b"))).alias("__top"))
-    same = df.join(top, key).where(F.struct(*lead, F.col(amount).alias("b")).eqNullSafe(F.col("__top")))
-    return same.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(tie)).alias("r")).select("r.*")
+    """One row per key: rows flagged `first` before others, then the largest amount, then the smallest tie; rows without an
+    amount come last. One aggregation of one struct, which is combined before the shuffle; a key with many rows makes no
+    large group."""
+    lead = [~F.coalesce(F.col(first), F.lit(False))] if first else []
+    order = F.struct(*lead, F.col(amount).isNull(), -F.col(amount), F.col(tie))
+    return df.groupBy(key).agg(F.min_by(F.struct(*df.columns), order).alias("r")).select("r.*")
 
 
 def by_taxonomy(df: DataFrame, resolved: DataFrame, taxid: str = "taxid", policy: str = "exclude") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeframe.functions import text as T
-from cladeframe.operators import annotation, expression, identity, mapping, markers, selection, subset, taxonomy, votes
+from cladeframe.operators import annotation, checks, expression, identity, mapping, markers, parts, selection, subset, taxonomy, votes
 from cladeframe.operators.store import new_path
 from cladeframe.plans import star
 from cladeframe.plans.star import query, read, text
@@ -41,8 +41,7 @@ def run_tables(spark, sf_dir):
     to = path(spark, "runs")
     own = read(spark, sf_dir, "orders").select(F.concat("o_orderstatus", (F.col("o_custkey") % 7).cast("string")).alias("run"), text("o_orderkey").alias("gene"), text("o_custkey").alias("tpm"))
     own.repartition("run").write.partitionBy("run").option("sep", "\t").option("header", True).option("compression", "gzip").csv(to)
-    runs = [f"{to}/run={r.run}" for r in own.select("run").distinct().collect()]  # one per run: the paths a caller would have
-    return tables.read_runs(spark, runs, ["gene", "tpm"], name=r"run=([^/]+)/").select("source", "gene", "tpm")
+    return tables.read_runs(spark, f"{to}/run=*", ["gene", "tpm"], name=r"run=([^/]+)/").select("source", "gene", "tpm")
 
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_partkey || ' brand:' || p_brand AS header, upper(regexp_replace(p_name, '[^A-Za-z]', '', 'g')) AS seq FROM part")
@@ -283,3 +282,105 @@ def stored_tracks(spark, sf_dir):
     above = own.select((F.col("taxid") - 1000) % 100 + 10).distinct().toDF("taxid").union(own.select(F.lit(1).cast("long")).distinct()).select("taxid", F.lit("").alias("track"), F.lit("order").alias("rank"), F.lit("y").alias("name"))
     out = taxonomy.lineages_from_track(own.union(above), own.select("taxid"))
     return out.select((F.col("taxid") - 1000).alias("taxid"), ((F.col("taxid") - 1000) % 100).alias("top"), "depth", "anc")
+
+
+@query("""WITH m AS (SELECT CAST(l_suppkey AS VARCHAR) AS sample, l_partkey, l_linenumber FROM lineitem), n AS (SELECT sample, CAST(sample AS BIGINT) % 10 AS d, count(*) AS every, count(*) FILTER (WHERE l_linenumber > 3) AS late FROM m GROUP BY ALL)
+ SELECT sample, CASE d WHEN 0 THEN 'b' ELSE 'a' END AS content, CASE d WHEN 0 THEN late ELSE every END AS rows, CASE d WHEN 0 THEN 2 ELSE 1 END AS version, CASE WHEN d = 0 AND late = 0 THEN NULL WHEN d = 0 THEN late ELSE every END AS found FROM n WHERE d <> 1""")
+def incremental_mapping(spark, sf_dir):
+    """JN-15: a mapping kept by parts, first for all samples, then with one in ten changed and one in ten gone: the manifest, and the rows
+    that the parts hold."""
+    to = path(spark, "mapping")
+    line = read(spark, sf_dir, "lineitem").select(text("l_suppkey").alias("sample"), F.col("l_partkey").alias("gene_id"), "l_linenumber")
+    samples = line.select("sample").distinct()
+    digit = F.col("sample").cast("long") % 10
+    parts.refresh_parts(spark, to, samples.withColumn("content", F.lit("a")), lambda keys: line.join(keys, "sample", "left_semi"))
+    later = samples.where(digit != 1).withColumn("content", F.when(digit == 0, "b").otherwise("a"))
+    manifest = parts.refresh_parts(spark, to, later, lambda keys: line.where("l_linenumber > 3").join(keys, "sample", "left_semi"))
+    found = parts.read_parts(spark, to).groupBy("sample").agg(F.count("*").alias("found"))
+    return manifest.join(found, "sample", "left").select("sample", "content", "rows", "version", "found")
+
+
+@query("""SELECT l_suppkey AS sample, string_agg(l_partkey || '=' || q, ',' ORDER BY l_partkey) AS values FROM (SELECT l_suppkey, l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS BIGINT) AS q FROM lineitem GROUP BY ALL) GROUP BY 1""")
+def wide_values(spark, sf_dir):
+    """IO-13: wide rows as maps, for as many features as there are parts."""
+    own = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("gene")).agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("long").alias("q"))
+    out = expression.wide_map(own, "sample", "gene", "q")
+    pairs = F.transform(F.array_sort(F.map_entries("values")), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"].cast("string")))
+    return out.select("sample", F.array_join(pairs, ",").alias("values"))
+
+
+@query("""WITH n AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN ' 1 ' WHEN 1 THEN '0' WHEN 2 THEN 'NA' WHEN 3 THEN '' WHEN 4 THEN 'yes' ELSE '2' END AS t FROM customer)
+ SELECT 'Plant_' || CAST(c_custkey AS VARCHAR) AS species_id, CASE WHEN c_custkey % 6 IN (2, 3) THEN NULL ELSE trim(t) END AS trait, c_custkey % 6 IN (4, 5) AS bad FROM n""")
+def normalized_traits(spark, sf_dir):
+    """PR-05: traits of names with spaces: missing tokens are null, values other than 0 and 1 are named."""
+    k = F.col("c_custkey") % 6
+    value = F.when(k == 0, " 1 ").when(k == 1, "0").when(k == 2, "NA").when(k == 3, "").when(k == 4, "yes").otherwise("2")
+    own = read(spark, sf_dir, "customer").select(F.concat(F.lit(" Plant "), text("c_custkey"), F.lit(" ")).alias("species"), value.alias("trait"))
+    out = identity.normalize_traits(own, "trait")
+    return out.select("species_id", "trait", F.coalesce("bad", F.lit(False)).alias("bad"))
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, '' AS segment, '' AS clerk FROM customer UNION ALL SELECT CAST(o_orderkey AS VARCHAR), '', o_orderstatus, '' FROM orders UNION ALL SELECT CAST(s_suppkey AS VARCHAR), '', '', s_name FROM supplier""")
+def open_union(spark, sf_dir):
+    """PR-09: tables of different columns under one another, what one lacks left empty."""
+    frames = (("customer", "c_custkey", "c_name", "name"), ("orders", "o_orderkey", "o_orderstatus", "segment"), ("supplier", "s_suppkey", "s_name", "clerk"))
+    return identity.union_open(*[read(spark, sf_dir, t).select(text(k).alias("id"), F.col(c).alias(name)) for t, k, c, name in frames])
+
+
+@query("SELECT DISTINCT CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderstatus = 'P' THEN 'x' ELSE '' END AS selector FROM orders WHERE o_orderstatus = 'P' OR o_custkey NOT IN (SELECT c_custkey FROM customer)")
+def unknown_selectors(spark, sf_dir):
+    """PR-12: selectors that name no sample and no species."""
+    samples = read(spark, sf_dir, "customer").select(text("c_custkey").alias("sample"), F.col("c_mktsegment").alias("species_id"))
+    asked = read(spark, sf_dir, "orders").select(F.concat(text("o_custkey"), F.when(F.col("o_orderstatus") == "P", "x").otherwise("")).alias("selector"))
+    return identity.unknown_selectors(samples, asked)
+
+
+@query("""SELECT l_returnflag AS value, 'not_allowed' AS rule, count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A', 'R') GROUP BY 1
+ UNION ALL SELECT CAST(k AS VARCHAR), 'in_both', 1 FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_linenumber = 7 INTERSECT SELECT DISTINCT l_partkey FROM lineitem WHERE l_linenumber < 7)""")
+def value_rules(spark, sf_dir):
+    """PR-18: values outside of a list, and keys that two tables share though they should not."""
+    line = read(spark, sf_dir, "lineitem")
+    odd = checks.check_allowed(line, "l_returnflag", ["A", "R"]).select(F.col("l_returnflag").alias("value"), F.lit("not_allowed").alias("rule"), "n")
+    both = checks.check_disjoint(line.where("l_linenumber = 7"), line.where("l_linenumber < 7"), ["l_partkey"])
+    return odd.unionByName(both.select(text("l_partkey").alias("value"), F.lit("in_both").alias("rule"), F.lit(1).cast("long").alias("n")))
+
+
+@query("SELECT DISTINCT l_suppkey AS sample, l_partkey AS gene_id FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) OR l_suppkey % 9 = 0")
+def foreign_pairs(spark, sf_dir):
+    """JN-06: mapped genes that the samples don't have."""
+    pairs = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("gene_id"))
+    genes = pairs.where("sample % 9 <> 0").join(read(spark, sf_dir, "part").where("p_size <= 40").select(F.col("p_partkey").alias("gene_id")), "gene_id")
+    return mapping.foreign_pairs(genes, pairs)
+
+
+@query(f"""WITH {star.ABUNDANCE_SQL}, {star.HITS_SQL}, g AS (SELECT DISTINCT sample, gene_id FROM mapping WHERE sample % 3 < 2), s AS (SELECT DISTINCT sample, gene_id, ko FROM hits WHERE assignment_status = 'accepted')
+ SELECT g.sample, ko, count(*) AS genes, count(v) AS quantified, CAST(sum(v) AS DOUBLE) AS tpm_sum FROM g JOIN s USING (sample, gene_id) LEFT JOIN abundance a ON a.sample = g.sample AND a.gene_id = g.gene_id AND a.gene_id % 4 > 0 GROUP BY g.sample, ko""")
+def label_support(spark, sf_dir):
+    """JN-08, AG-24: genes joined to their labels and, where there are any, to their expression: support of each label again."""
+    genes = star.brands(spark, sf_dir).where("sample % 3 < 2").select("sample", "gene_id").distinct()
+    labels = star.gene_labels(spark, sf_dir).where("assignment_status = 'accepted'").select("sample", "gene_id", "ko").distinct()
+    return annotation.support(genes, labels, star.abundance(spark, sf_dir).where("gene_id % 4 > 0"))
+
+
+@query(f"{star.GROUPS_SQL} SELECT sample, orthogroup FROM sums WHERE sample % 5 = 0 AND orthogroup LIKE '%3' AND s > 0")
+def renormalised_errors(spark, sf_dir):
+    """AG-24: shares that don't follow from their totals, found by computing them again."""
+    wrong = (F.col("sample") % 5 == 0) & F.col("orthogroup").endswith("3")
+    own = star.group_table(spark, sf_dir).withColumn("tpm", F.when(wrong, F.col("tpm") * (1 + 1e-6)).otherwise(F.col("tpm")))
+    return expression.renormalised_error(own, "sample").select("sample", "orthogroup")
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k, s_suppkey // 30 AS batch FROM supplier), b AS (SELECT k, batch FROM s WHERE k % 13 <> 0 UNION ALL SELECT k, batch + 1 FROM s WHERE k % 7 = 0 AND k % 13 <> 0 UNION ALL SELECT k + 1000000, batch FROM s WHERE k % 17 = 0)
+ SELECT k AS sample, CASE WHEN k NOT IN (SELECT k FROM s) THEN 'extra' ELSE 'in_several_batches' END AS problem FROM b GROUP BY k HAVING k NOT IN (SELECT k FROM s) OR count(DISTINCT batch) > 1 UNION ALL SELECT k, 'missing' FROM s WHERE k % 13 = 0""")
+def batch_problems(spark, sf_dir):
+    """SO-02: batches of files that must hold every sample once: missing, extra, and in several of them."""
+    to = path(spark, "batches")
+    k = F.col("s_suppkey")
+    own = read(spark, sf_dir, "supplier").select(k.alias("sample"), F.floor(k / 30).alias("batch"))
+    kept = own.where("sample % 13 <> 0")
+    rows = kept.union(kept.where("sample % 7 = 0").withColumn("batch", F.col("batch") + 1)).union(own.where("sample % 17 = 0").withColumn("sample", F.col("sample") + 1000000))
+    rows.repartition("batch").write.partitionBy("batch").parquet(to)
+    held = spark.read.parquet(to)
+    whole = checks.check_coverage(held, own, ["sample"]).select("sample", F.col("side").alias("problem"))
+    twice = checks.check_functional(held, ["sample"], "batch").join(own.select("sample"), "sample", "left_semi").select("sample", F.lit("in_several_batches").alias("problem"))
+    return whole.unionByName(twice)

@@ -43,7 +43,7 @@ def text(c: str):
 ABUNDANCE_SQL = """
 abundance AS (SELECT l_suppkey AS sample, l_partkey AS gene_id, sum(CAST(l_quantity AS DECIMAL(18,2))) AS v FROM lineitem GROUP BY ALL),
 mapping AS (SELECT a.sample, a.gene_id, CASE WHEN p.p_size <= 40 THEN p.p_brand END AS orthogroup FROM abundance a JOIN part p ON p.p_partkey = a.gene_id),
-labels AS (SELECT DISTINCT p_brand AS orthogroup, p_type AS ko FROM part WHERE p_size = 1)
+labels AS (SELECT DISTINCT orthogroup, unnest(CASE WHEN orthogroup LIKE '%5' THEN [] WHEN orthogroup LIKE '%2' OR orthogroup LIKE '%4' THEN [lo, hi] ELSE [hi] END) AS ko FROM (SELECT p_brand AS orthogroup, min(p_type) AS lo, max(p_type) AS hi FROM part GROUP BY 1))
 """
 
 
@@ -59,7 +59,11 @@ def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").where("p_size = 1").select(F.col("p_brand").alias("orthogroup"), F.col("p_type").alias("ko")).distinct()
+    """The first and last type of each brand: none, one or both of them."""
+    own = read(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("orthogroup")).agg(F.min("p_type").alias("lo"), F.max("p_type").alias("hi"))
+    digit = F.right("orthogroup", F.lit(1))
+    some = F.when(digit == "5", F.array().cast("array<string>")).when(digit.isin("2", "4"), F.array("lo", "hi")).otherwise(F.array("hi"))
+    return own.select("orthogroup", F.explode(some).alias("ko")).distinct()
 
 
 def group_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,11 +298,11 @@ def unchanged_evidence(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey AS k, o_orderstatus AS s, 'old' AS r, CAST(NULL AS DOUBLE) AS price FROM orders WHERE o_orderkey % 2 = 0
- UNION ALL SELECT o_orderkey, o_orderstatus, 'new', o_totalprice FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0""")
+ UNION ALL SELECT o_orderkey, o_orderstatus, 'new', o_totalprice FROM orders WHERE o_orderkey % 2 <> 0""")
 def append_new(spark, sf_dir):
     """SO-01, PR-09: existing keys win, custom columns stay."""
     own = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("price"))
-    return selection.append_new(own.where("k % 2 = 0").drop("price").withColumn("r", F.lit("old")), own.where("k % 3 = 0").withColumn("r", F.lit("new")), "k")
+    return selection.append_new(own.where("k % 2 = 0").drop("price").withColumn("r", F.lit("old")), own.where("k % 2 <> 0 or k % 3 = 0").withColumn("r", F.lit("new")), "k")
 
 
 COUNTS_SQL = """counts AS (SELECT o_custkey AS sample, count(*) FILTER (WHERE o_orderstatus = 'F') AS single, count(*) FILTER (WHERE o_orderstatus = 'O') AS duplicated, count(*) FILTER (WHERE o_orderstatus = 'P') AS fragmented, count(*) AS total FROM orders GROUP BY 1)"""
@@ -467,6 +471,19 @@ def tree_coverage(spark, sf_dir):
     return markers.coverage_distribution(markers.gene_tree_coverage(own, read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample"))))
 
 
+@query(f"""{SINGLE_SQL}, t AS (SELECT p_partkey AS tree_id, p_size AS sites, CASE WHEN p_size % 3 = 0 THEN 'too_few' ELSE 'retained' END AS status FROM part), k AS (SELECT * FROM t WHERE status = 'retained'), s AS (SELECT DISTINCT sample FROM one JOIN k ON k.tree_id = marker), o AS (SELECT s_suppkey AS sample FROM supplier WHERE s_suppkey % 8 > 0 UNION ALL SELECT -s_suppkey FROM supplier WHERE s_suppkey % 20 = 1)
+ SELECT (SELECT count(*) FROM k) AS retained, (SELECT count(*) FROM t) - (SELECT count(*) FROM k) AS excluded, (SELECT CAST(sum(sites) AS BIGINT) FROM k) AS total_sites, (SELECT round(avg(sites), 6) FROM k) AS mean_sites, (SELECT count(*) FROM o) AS samples,
+ (SELECT count(*) FROM o WHERE sample NOT IN (SELECT sample FROM s)) AS unrepresented, (SELECT count(*) FROM s WHERE sample NOT IN (SELECT sample FROM o)) AS unexpected, 'insufficient_coverage' AS status""")
+def gene_tree_summary(spark, sf_dir):
+    """AG-13: sites of retained gene trees, samples that none holds and tips that are no samples."""
+    trees = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("tree_id"), F.col("p_size").cast("long").alias("sites"), F.when(F.col("p_size") % 3 == 0, "too_few").otherwise("retained").alias("status"))
+    tips = markers.single_copy(marker_table(spark, sf_dir)).select("sample", F.col("marker").alias("tree_id"))
+    k = F.col("s_suppkey")
+    own = read(spark, sf_dir, "supplier")
+    samples = own.where(k % 8 > 0).select(k.alias("sample")).union(own.where(k % 20 == 1).select(-k))
+    return markers.gene_tree_summary(trees, tips, samples).withColumn("mean_sites", F.round("mean_sites", 6))
+
+
 @query("""WITH e AS (SELECT label AS marker, unnest(range(len(embedding))) AS col, unnest(list_transform(embedding, lambda x: CASE WHEN x < -0.1 THEN 'A' WHEN x < 0 THEN 'C' WHEN x < 0.1 THEN '-' ELSE 'T' END)) AS aa FROM embeddings),
  r AS (SELECT marker, col, aa, count(*) AS n FROM e GROUP BY ALL), c AS (SELECT marker, col, count(*) FILTER (WHERE aa <> '-') AS x, count(*) FILTER (WHERE aa <> '-' AND n >= 2) AS y FROM r GROUP BY ALL)
  SELECT c.marker, any_value(k.n) AS rows, count(*) AS columns, count(*) FILTER (WHERE x >= 2) AS variable_sites, count(*) FILTER (WHERE y >= 2) AS informative_sites FROM c JOIN (SELECT label AS marker, count(*) AS n FROM embeddings GROUP BY 1) k USING (marker) GROUP BY 1""")
@@ -703,11 +720,13 @@ def row_digests(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT o_custkey AS sample, count(*) FILTER (WHERE o_orderstatus <> 'P') AS p, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT sample, 10000 * p // n + CASE WHEN 2 * (10000 * p % n) > n OR (2 * (10000 * p % n) = n AND 10000 * p // n % 2 = 1) THEN 1 ELSE 0 END AS bp FROM c)
- SELECT sample, printf('%d.%02d', bp // 100, bp % 100) AS completeness_percent FROM b""")
+ SELECT sample, printf('%d.%02d', bp // 100, bp % 100) AS completeness_percent, 'v' || CAST(sample % 3 AS VARCHAR) AS version, CASE sample % 4 WHEN 0 THEN 'Flowering plants' WHEN 1 THEN 'Ferns' WHEN 2 THEN 'c2' END AS clade_label FROM b""")
 def processing_summary(spark, sf_dir):
-    """AG-25, FN-05: percent with two places."""
-    own = order_counts(spark, sf_dir).withColumn("clade", F.lit("a"))
-    return subset.processing_summary(own).select("sample", F.translate("completeness_percent", ",", "").alias("completeness_percent"))
+    """AG-25, FN-05: percent with two places, the tool's version, and the clade's label, or its own name where it has none."""
+    clade = F.when(F.col("sample") % 4 < 3, F.concat(F.lit("c"), (F.col("sample") % 4).cast("string")))
+    own = order_counts(spark, sf_dir).withColumn("clade", clade).withColumn("version", F.concat(F.lit("v"), (F.col("sample") % 3).cast("string")))
+    out = subset.processing_summary(own, labels={"c0": "Flowering plants", "c1": "Ferns"})
+    return out.select("sample", F.translate("completeness_percent", ",", "").alias("completeness_percent"), "version", "clade_label")
 
 
 # --- taxonomy: customer -> nation -> region -------------------------------------------------------------------------
@@ -928,18 +947,26 @@ def age_conflicts(spark, sf_dir):
     return forest.age_conflicts(nodes, bounds).select("tree_id", "node_id", "minimum", F.col("below"), "conflict", "redundant")
 
 
-@query(f"WITH {TIPS_SQL} SELECT tree_id, true AS same FROM tips GROUP BY 1")
+@query(f"WITH {TIPS_SQL} SELECT tree_id, tree_id <> 'BUILDING' OR count(*) < 4 AS same FROM tips GROUP BY 1")
 def same_topology(spark, sf_dir):
-    """TR-13: trees compared by their clades."""
+    """TR-13: trees compared by their clades: some mirrored, with other lengths, and one whose tips all moved on by one."""
     nodes = key_forest(spark, sf_dir)
-    return forest.same_topology(nodes, nodes.withColumn("dist", F.lit(2.0)))
+    own = forest.positions(nodes).select("tree_id", "at", F.col("tip").alias("name"))
+    n = own.groupBy("tree_id").agg(F.count("*").alias("n"))
+    shifted = own.join(n, "tree_id").select("tree_id", F.when(F.col("tree_id") == "BUILDING", (F.col("at") + 1) % F.col("n")).otherwise(F.col("at")).alias("at"), F.col("name").alias("moved"))
+    tips = forest.tips(nodes).select("tree_id", "node_id", F.col("tin").alias("at")).join(shifted, ["tree_id", "at"]).select("tree_id", "node_id", "moved")
+    other = nodes.join(tips, ["tree_id", "node_id"], "left").join(n, "tree_id").withColumn("name", F.col("moved"))
+    mirror = F.col("tree_id") == "FURNITURE"
+    other = other.withColumns({"tin": F.when(mirror, F.col("n") - 1 - F.col("tout")).otherwise(F.col("tin")), "tout": F.when(mirror, F.col("n") - 1 - F.col("tin")).otherwise(F.col("tout")), "dist": F.lit(2.0)})
+    return forest.same_topology(nodes, other.drop("n", "moved"))
 
 
-@query("SELECT c_nationkey AS clade, c_custkey AS name, c_acctbal AS score FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) = 1")
+@query("SELECT c_nationkey AS clade, max(c_custkey % 5) AS score, true AS among_the_best FROM customer GROUP BY 1")
 def clade_representatives(spark, sf_dir):
-    """WN-09: best-scored member of each clade (scores don't tie here)."""
-    own = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("clade"), F.col("c_custkey").alias("name"), F.col("c_acctbal").alias("score"))
-    return forest.clade_representatives(own, "clade", "score", "name")
+    """WN-09: a best-scored member of each clade, ties by a seeded hash."""
+    own = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("clade"), F.col("c_custkey").alias("name"), (F.col("c_custkey") % 5).alias("score"))
+    out = forest.clade_representatives(own, "clade", "score", "name", seed=3)
+    return out.select("clade", "score", (F.col("name") % 5 == F.col("score")).alias("among_the_best"))
 
 
 @query("WITH t AS (SELECT l_partkey AS node_id, l_suppkey AS f, l_quantity AS m, max(l_quantity) OVER (PARTITION BY l_partkey) AS top FROM lineitem) SELECT node_id, max(top) AS minimum, string_agg(DISTINCT CAST(f AS VARCHAR), ',' ORDER BY CAST(f AS VARCHAR)) FILTER (WHERE m = top) AS applied FROM t GROUP BY 1")
@@ -1128,6 +1155,17 @@ def trait_pairs(spark, sf_dir):
     return forest.contrast_pairs(key_forest(spark, sf_dir), tip_rows(spark, sf_dir))
 
 
+@query(f"""WITH {PAIRS_SQL}, x AS (SELECT c.tree_id, c.tip, c.trait, p.node_id, max(c.k * 7 % 1009) OVER (PARTITION BY c.tree_id, p.node_id, c.trait) AS best FROM clades c JOIN pairs p ON p.tree_id = c.tree_id AND p.node_id = c.node_id WHERE c.trait IS NOT NULL)
+ SELECT t.tree_id, t.tip, x.node_id AS pair_node, x.best, CASE WHEN t.trait IS NULL THEN 'no_trait' WHEN x.node_id IS NULL THEN 'unpaired' END AS reason FROM tips t LEFT JOIN x USING (tree_id, tip)""")
+def representative_pairs(spark, sf_dir):
+    """TR-08, WN-09: pairs found on trees of one tip for each uniform clade, and all tips behind them; ties of scores by a seeded hash."""
+    own = tip_rows(spark, sf_dir).withColumn("score", F.col("k") * 7 % 1009)
+    out = forest.representative_pairs(key_forest(spark, sf_dir), own, own)
+    scores = own.select(F.col("tip").alias("representative"), F.col("score").alias("best"))
+    out = out.withColumn("representative", F.when(F.col("reason").isNull(), F.col("representative"))).join(scores, "representative", "left")
+    return out.select("tree_id", "tip", "pair_node", "best", "reason")
+
+
 @query(f"""WITH {PAIRS_SQL}, pt AS (SELECT clades.tree_id, pair_id, tip FROM clades JOIN pairs USING (tree_id, node_id) WHERE trait IS NOT NULL), size AS (SELECT tree_id, pair_id, count(*) AS size FROM pt GROUP BY ALL),
  s AS (SELECT clades.tree_id, node_id, l, count(DISTINCT pair_id) AS p, min(pair_id) AS pair_id, count(DISTINCT tip) AS n FROM clades JOIN pt USING (tree_id, tip) GROUP BY clades.tree_id, node_id, l),
  top AS (SELECT tree_id, pair_id AS block_id, arg_max(node_id, l) AS node_id FROM s JOIN size USING (tree_id, pair_id) WHERE p = 1 AND n = size GROUP BY ALL)
@@ -1154,6 +1192,19 @@ def tree_problems(spark, sf_dir):
     return forest.tree_problems(key_forest(spark, sf_dir), tip_rows(spark, sf_dir).where("k % 2 = 0").select("tip"))
 
 
+@query(f"""WITH {TIPS_SQL}, a AS (SELECT tree_id, node_id, any_value(top - l) AS depth, count(*) AS n FROM clades GROUP BY tree_id, node_id), f AS (SELECT tree_id, species_id, node_id, count(*) AS m FROM clades GROUP BY ALL), z AS (SELECT tree_id, species_id, count(*) AS size FROM tips GROUP BY ALL),
+ p AS (SELECT * FROM f JOIN a USING (tree_id, node_id) JOIN z USING (tree_id, species_id)), c AS (SELECT tree_id, species_id, size, min(n) AS clade_size FROM p WHERE m = size GROUP BY ALL), h AS (SELECT tree_id, species_id, node_id FROM p WHERE m >= 0.5 * n QUALIFY row_number() OVER (PARTITION BY tree_id, species_id ORDER BY m DESC, n, depth, node_id) = 1),
+ g AS (SELECT tree_id, species_id, node_id FROM c JOIN h USING (tree_id, species_id) WHERE size > 1 AND size <> clade_size), w AS (SELECT g.tree_id, g.species_id, clades.tip, clades.species_id AS own FROM g JOIN clades ON clades.tree_id = g.tree_id AND clades.node_id = g.node_id)
+ SELECT tree_id, CAST(species_id AS VARCHAR) AS taxon, tip, 'intruder' AS role FROM w WHERE own <> species_id
+ UNION ALL SELECT g.tree_id, CAST(g.species_id AS VARCHAR), tips.tip, 'outlier' FROM g JOIN tips USING (tree_id, species_id) WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.tree_id = g.tree_id AND w.species_id = g.species_id AND w.tip = tips.tip)""")
+def monophyly_roles(spark, sf_dir):
+    """TR-09: which samples keep each species from being one clade: intruders in its core and outliers."""
+    nodes = key_forest(spark, sf_dir)
+    taxa = tip_rows(spark, sf_dir).select("tip", F.lit("family").alias("rank"), text("species_id").alias("taxon"))
+    groups = stored(forest.monophyly(nodes, taxa), "monophyly")
+    return forest.monophyly_roles(nodes, taxa, groups).select("tree_id", "taxon", "tip", "role")
+
+
 @query(f"""WITH {TIPS_SQL}, x AS (SELECT tree_id, node_id, count(DISTINCT species_id) AS species, max(k * 7 % 1009) AS best, arg_min(tip, struct_pack(a := -(k * 7 % 1009), b := tip)) AS anchor FROM clades WHERE l = top - 1 GROUP BY tree_id, node_id)
  SELECT tree_id, node_id, species, anchor FROM x QUALIFY row_number() OVER (PARTITION BY tree_id ORDER BY species, best DESC, anchor) = 1""")
 def basal_clade(spark, sf_dir):

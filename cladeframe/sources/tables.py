@@ -47,9 +47,10 @@ def preferred_paths(paths: Sequence[str]) -> list[str]:
     return sorted(packed | {p for p in paths if f"{p}.gz" not in packed})
 
 
-def read_runs(spark: SparkSession, paths: Sequence[str], fields: Sequence[str], name: str = r"([^/]+?)\.[^/]*$") -> DataFrame:
-    """Many per-run tables as one, with column source from the file's name. One read for all files."""
-    out = read_tsv(spark, preferred_paths(paths), fields)
+def read_runs(spark: SparkSession, paths: str | Sequence[str], fields: Sequence[str], name: str = r"([^/]+?)\.[^/]*$") -> DataFrame:
+    """Many per-run tables as one, with column source from the file's path. One read for all files, of a list or of one path
+    with wildcards."""
+    out = read_tsv(spark, paths if isinstance(paths, str) else preferred_paths(paths), fields)
     return out.withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), name, 1))
 
 
@@ -78,7 +79,7 @@ def read_annotation_pairs(spark: SparkSession, path: str | list[str], group_sepa
     query = F.col("head").startswith("#query")
     place = lambda n: F.array_position(cols, n).cast("int")
     heads = heads.select("file", F.when(query, F.lit(1)).otherwise(place("gene_id")).alias("gene_at"), F.when(query, place("ODB_OG")).otherwise(F.lit(1)).alias("group_at"))
-    rows = lines.where(~F.col("line").startswith("#") & (F.trim("line") != "") & ~F.contains("line", F.lit("No data found"))).join(F.broadcast(heads) if isinstance(path, str) else heads, "file")
+    rows = lines.where(~F.col("line").startswith("#") & (F.trim("line") != "") & ~F.contains("line", F.lit("No data found"))).join(heads, "file")
     parts = F.split(F.col("line"), "\t")
     out = rows.select("file", F.try_element_at(parts, F.col("gene_at")).alias("gene_id"), F.explode(F.split(F.try_element_at(parts, F.col("group_at")), group_separator)).alias("orthogroup"))
     return out.select("file", "gene_id", F.trim("orthogroup").alias("orthogroup")).where(~F.col("orthogroup").isin("", "-"))
