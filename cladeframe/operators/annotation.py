@@ -16,19 +16,20 @@ def representatives(members: DataFrame, group: str = "orthogroup", gene: str = "
     """(group, representative, length, median_length, members, valid_members, invalid_members, seq_sha256, status).
 
     The target length is the upper middle of the valid members' sorted lengths; of the genes of that length the one with
-    the fewest non-standard residues, then the smallest id. Lengths are counted per (group, length) before any window, so
-    a large group is a short histogram; the candidates of the one target length are reduced by an aggregation.
+    the fewest non-standard residues, then the smallest id. One aggregation per (group, length) counts and keeps the best gene of
+    each length, so members are read once and a large group is a short histogram before any window.
     """
     own = members.withColumn("p", normalized_protein(F.col(seq))).withColumn("n", F.length("p"))
-    tally = own.groupBy(group).agg(F.count("*").alias("members"), F.count("p").alias("valid_members"))
-    lengths = own.where("p is not null").groupBy(group, "n").agg(F.count("*").alias("c"))
-    upto = Window.partitionBy(group).orderBy("n")
-    lengths = lengths.withColumn("upto", F.sum("c").over(upto)).join(tally, group)
-    at = lambda k: F.min(F.when(F.col("upto") > k, F.col("n")))
-    middle = lengths.groupBy(group).agg(at(F.floor(F.col("valid_members") / 2)).alias("target"), at(F.floor((F.col("valid_members") - 1) / 2)).alias("lower"))
     odd = F.length(F.regexp_replace("p", f"[{AMINO}]", ""))
-    best = own.join(middle, group).where(F.col("n") == F.col("target")).groupBy(group, "target", "lower").agg(F.min_by(F.struct(gene, "p"), F.struct(odd, F.col(gene))).alias("r"))
-    out = tally.join(best, group, "left")
+    best = F.min_by(F.when(F.col("p").isNotNull(), F.struct(gene, "p")), F.struct(odd, F.col(gene)))
+    lengths = own.groupBy(group, "n").agg(F.count("*").alias("c"), F.count("p").alias("v"), best.alias("r"))
+    whole = Window.partitionBy(group)
+    lengths = lengths.withColumn("valid", F.sum("v").over(whole)).withColumn("upto", F.sum("v").over(whole.orderBy(F.col("n").asc_nulls_first())))
+    holds = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("v") <= k)
+    target = holds(F.floor(F.col("valid") / 2))
+    out = lengths.groupBy(group).agg(
+        F.sum("c").alias("members"), F.sum("v").alias("valid_members"), F.max(F.when(target, F.col("n"))).alias("target"), F.max(F.when(holds(F.floor((F.col("valid") - 1) / 2)), F.col("n"))).alias("lower"), F.max(F.when(target, F.col("r"))).alias("r"),
+    )
     return out.select(
         group, F.col(f"r.{gene}").alias("representative"), F.col("target").alias("length"), ((F.col("target") + F.col("lower")) / 2).alias("median_length"),
         "members", "valid_members", (F.col("members") - F.col("valid_members")).alias("invalid_members"), F.sha2("r.p", 256).alias("seq_sha256"),
