@@ -22,7 +22,8 @@ pages by a hash of the page.
 
 Cases: a null or empty html gives the empty text. A null url is a host of its own. Repeated rows and equal ids are pages
 of their own and get equal texts. Broken markup is read as browsers do, roughly: unknown end tags are ignored, open
-elements end with their parent. An empty table gives an empty result. Other columns are ignored, whatever their names.
+elements end with their parent. Very long and deeply nested pages are parsed whole, without recursion; a page must fit a task.
+Blocks stand in page order, so there are no ties. An empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ earlier, in the order of (id, place), marks its lines; the lines that marked win
 others stay unchanged. A window's first occurrence stays. Hashes have 128 bits.
 
 Cases: lines without a word are no part of windows and stay. A null text has no lines and stays null; an empty one has
-one line without a word. Documents with fewer lines than a window stay whole. Rows repeated in the table (equal id and
+one line without a word. Very long texts are windowed whole. Documents with fewer lines than a window stay whole. Rows repeated in the table (equal id and
 text) are one document to this operator and are treated alike; rows of equal id and different texts are ordered by a
 hash of the row; a null id comes last. An empty table gives an empty result. Other columns are kept, whatever their
 names. Native: DataFrame functions only.

@@ -8,7 +8,8 @@ and votes, not by data) estimates how reliable each labeler is and how likely ea
 spans is fitted to these likelihoods, and applied to every candidate as a column expression. Matches of the base rules
 are always kept; the classifier adds spans of the other kinds.
 
-Positions count code points, end exclusive. Cases: a null text is empty. Repeated rows are treated alike. A table without
+Positions count code points, end exclusive. Cases: a null text is empty. Repeated rows are treated alike. Very long texts are searched whole. Of spans that begin at one
+place the kinds are listed in their fixed order, so there are no ties. A table without
 candidates gives a classifier that adds nothing. An empty table gives an empty result. Other columns are ignored,
 whatever their names. No shuffle but that of the vote counts. Native: DataFrame functions only.
 """

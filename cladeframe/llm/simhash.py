@@ -13,7 +13,8 @@ small-star rounds on the links, each written to the shared folder.
 
 Cases: a null text or one without words has fingerprint zero and is linked like any other. Fewer words than a shingle
 give one shingle of them all. Rows repeated in the table share a fingerprint. A component's id is its smallest non-null
-id, null if it has none. An empty table gives an empty result. Other columns are ignored by components and kept by
+id, null if it has none. Very long texts are shingled whole. A bit that exactly half of the shingles have is 0, so ties have
+one result. An empty table gives an empty result. Other columns are ignored by components and kept by
 keep_one, whatever their names.
 """
 

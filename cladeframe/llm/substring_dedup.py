@@ -7,7 +7,7 @@ copies costs one entry per flush and never its pairs; windows found twice merge
 
 Cases: a null or empty text has no words and keeps "". Rows repeated in the table, equal ids included, are documents of
 their own, so a repeated row with `window` words or more loses all of them. Texts are cut by null ids like by any other.
-An empty table gives an empty result. Other columns are ignored, whatever their names. A single text must fit a task.
+An empty table gives an empty result. Other columns are ignored, whatever their names. Very long texts are windowed whole; a single text must fit a task. There are no ties: all occurrences go.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ these are settled string by string, with 80 bits of rolling hash, through the ex
 
 Cases: a null text is empty, an empty text keeps nothing. Repeated rows are texts of their own. Texts shorter than
 `window` bytes have no strings. Removal works on bytes and may cut a character. An empty table gives an empty result.
-Other columns are ignored, whatever their names. A single text must fit a task.
+Other columns are ignored, whatever their names. Very long texts are read whole; a single text must fit a task. There are no ties:
+all occurrences go, and equal suffixes may stand in any order.
 """
 
 from __future__ import annotations
