@@ -4,8 +4,10 @@ Candidate spans of several kinds come from wide patterns. Three labelers vote on
 all (0): a regex labeler checks the match strictly, a gazetteer labeler looks for known parts (mail domains, prefixes of
 card numbers, dialling codes, token prefixes), and a context labeler reads the words before it. Spark counts the vote
 patterns of all candidates of all texts; expectation-maximisation over these counts (their number is bounded by kinds
-and votes, not by data) estimates how reliable each labeler is and how likely each pattern is; a logistic classifier of
-spans is fitted to these likelihoods, and applied to every candidate as a column expression. Matches of the base rules
+and votes, not by data) estimates for each kind how reliable each labeler is and how likely each pattern is; a logistic
+classifier of spans is fitted to these likelihoods, and applied to every candidate as a column expression. Kinds are
+estimated apart, patterns weigh by the logarithms of their counts, and the start follows the labelers' signs, so a few
+true spans are found among any number of others. Matches of the base rules
 are always kept; the classifier adds spans of the other kinds.
 
 Positions count code points, end exclusive. Cases: a null text is empty. Repeated rows are treated alike. Very long texts are searched whole. Of spans that begin at one
@@ -46,8 +48,11 @@ ADDED = ("iban", "secret", "ssn")
 KINDS = BASE + ADDED
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CONTEXT = 40
-PRIOR = 0.3
-#: How votes fall in the prior, by vote and truth.
+#: Candidates of each truth that the prior counts for, and how votes fall among them, by vote and truth.
+PRIOR = 100.0
+#: The start, by sum of votes: what speaks for a span more than against it.
+START = {-3: 0.01, -2: 0.01, -1: 0.02, 0: 0.1, 1: 0.5, 2: 0.95, 3: 0.99}
+#: How votes fall in the prior.
 TRUST = {(1, 1): 0.6, (0, 1): 0.35, (-1, 1): 0.05, (1, 0): 0.1, (0, 0): 0.45, (-1, 0): 0.45}
 #: Parts that speak for a kind, and words before a span that speak for or against it.
 GAZETTEER = {
@@ -122,35 +127,43 @@ def candidates(text: Column, kind: str) -> Column:
 
 
 def estimate(counts: dict[tuple, int], rounds: int = 50) -> dict[tuple, float]:
-    """Expectation-maximisation over vote patterns (kind, v1, v2, v3): how likely each is personal data. Labelers have
-    reliabilities of their own, kinds have shares. A prior that labelers are right more often than not, with the weight
-    of PRIOR of all candidates, keeps the two classes from changing places."""
-    whole = sum(counts.values()) or 1
-    belief = {p: 1 / (1 + math.exp(-sum(p[1:]))) for p in counts}
-    for _ in range(rounds):
-        share = defaultdict(lambda: [1.0, 1.0])
-        votes = {(k, v, y): 1.0 + PRIOR * whole * trust for k in range(3) for (v, y), trust in TRUST.items()}
-        for p, n in counts.items():
-            for y, w in ((1, belief[p] * n), (0, (1 - belief[p]) * n)):
-                share[p[0]][y] += w
-                for k, v in enumerate(p[1:]):
-                    votes[k, v, y] += w
-        total = {(k, y): sum(votes[k, v, y] for v in (-1, 0, 1)) for k in range(3) for y in (0, 1)}
-        for p in counts:
-            odds = [math.log(share[p[0]][y] / sum(share[p[0]])) + sum(math.log(votes[k, v, y] / total[k, y]) for k, v in enumerate(p[1:])) for y in (0, 1)]
-            belief[p] = 1 / (1 + math.exp(max(-500, min(500, odds[0] - odds[1]))))
+    """Expectation-maximisation over vote patterns (kind, v1, v2, v3): how likely each is personal data. Every kind is a mixture of its own, with
+    its share and its labelers' reliabilities. A pattern weighs by the logarithm of its count, so that a thousand times as
+    many candidates of one pattern don't turn what the others say. The prior, of PRIOR such candidates, says that
+    labelers are right more often than not and keeps the two classes from changing places."""
+    belief = {p: START[sum(p[1:])] for p in counts}
+    for kind in {p[0] for p in counts}:
+        own = {p: math.log1p(n) for p, n in counts.items() if p[0] == kind}
+        for _ in range(rounds):
+            share = [PRIOR, PRIOR]
+            votes = {(k, v, y): PRIOR * trust for k in range(3) for (v, y), trust in TRUST.items()}
+            for p, n in own.items():
+                for y, w in ((1, belief[p] * n), (0, (1 - belief[p]) * n)):
+                    share[y] += w
+                    for k, v in enumerate(p[1:]):
+                        votes[k, v, y] += w
+            total = {(k, y): sum(votes[k, v, y] for v in (-1, 0, 1)) for k in range(3) for y in (0, 1)}
+            for p in own:
+                odds = [math.log(share[y] / sum(share)) + sum(math.log(votes[k, v, y] / total[k, y]) for k, v in enumerate(p[1:])) for y in (0, 1)]
+                belief[p] = 1 / (1 + math.exp(max(-500, min(500, odds[0] - odds[1]))))
     return belief
 
 
+def features(kind: str, votes: tuple) -> list[str]:
+    """Each vote counts for all kinds and once more for its own."""
+    return ["bias", f"kind={kind}", *[f"v{k}={v}" for k, v in enumerate(votes, 1)], *[f"{kind}:v{k}={v}" for k, v in enumerate(votes, 1)]]
+
+
 def fit(counts: dict[tuple, int], belief: dict[tuple, float], rounds: int = 2000, rate: float = 0.5, decay: float = 1e-3) -> dict[str, float]:
-    """Logistic classifier of spans on kind and votes, fitted to the beliefs."""
-    features = {p: ["bias", f"kind={p[0]}", *[f"v{k}={v}" for k, v in enumerate(p[1:], 1)]] for p in counts}
+    """Logistic classifier of spans on kind and votes, fitted to the beliefs. A pattern weighs by the logarithm of its count,
+    so common ones don't drown the others."""
+    known = {p: features(p[0], p[1:]) for p in counts}
     weight: dict[str, float] = defaultdict(float)
     mass = {p: math.log1p(n) for p, n in counts.items()}
     whole = sum(mass.values()) or 1.0
     for _ in range(rounds):
         slope: dict[str, float] = defaultdict(float)
-        for p, own in features.items():
+        for p, own in known.items():
             guess = 1 / (1 + math.exp(-max(-500, min(500, sum(weight[f] for f in own)))))
             for f in own:
                 slope[f] += mass[p] * (belief[p] - guess) / whole
@@ -175,7 +188,8 @@ def personal_data(docs: DataFrame, weights: dict[str, float] | None = None, thre
     table = F.create_map(*[F.lit(x) for pair in ({"": 0.0} | weights).items() for x in pair])
 
     def scored(c: Column) -> Column:
-        names = [F.lit("bias"), F.concat(F.lit("kind="), c["kind"]), *[F.concat(F.lit(f"v{k}="), c[f"v{k}"].cast("string")) for k in (1, 2, 3)]]
+        votes = [F.concat(F.lit(f"v{k}="), c[f"v{k}"].cast("string")) for k in (1, 2, 3)]
+        names = [F.lit("bias"), F.concat(F.lit("kind="), c["kind"]), *votes, *[F.concat(c["kind"], F.lit(":"), v) for v in votes]]
         z = reduce(lambda a, b: a + b, [F.coalesce(F.try_element_at(table, n), F.lit(0.0)) for n in names])
         return F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), (1 / (1 + F.exp(-z))).alias("score"), c["base"].alias("base"))
 

@@ -1,8 +1,10 @@
 import hashlib
 import re
 
-from cladeframe.llm.pii import estimate, fit, personal_data, redact
+import pytest
+from cladeframe.llm.pii import ADDED, estimate, fit, personal_data, redact
 from cladeframe.llm.queries import op6_pii
+from pyspark.sql import functions as F
 from tests.conftest import SF
 
 PLAIN = {
@@ -47,6 +49,25 @@ def test_added(spark):
     assert out[6] == [("secret", 13, 53)]
 
 
+@pytest.mark.parametrize("others", [5_000, 50_000, 200_000])
+def test_few_secrets_among_many_candidates(spark, others):
+    """50 keys behind a telling word are found among any number of candidates that are none, and none of these is: long names, paths, and
+    checksums that say so."""
+    say = F.element_at(F.array(F.lit("see the_long_name_of_a_module_"), F.lit("file src/main/resources/file/"), F.lit("token the_long_name_of_a_variable_"), F.lit("checksum "), F.lit("commit ")), (F.col("id") % 5 + 1).cast("int"))
+    noise = F.when(F.col("id") % 5 < 3, F.concat(say, F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).otherwise(F.concat(say, F.sha1(F.col("id").cast("string").cast("binary"))))
+    docs = spark.range(others).select((F.col("id") + 1000).alias("doc_id"), noise.alias("text"))
+    keys = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit('the token = "'), F.sha1(F.concat(F.lit("key"), "id").cast("binary")), F.lit('"')).alias("text"))
+    # digits of checksums may be cards by the base rules
+    out = personal_data(docs.union(keys)).select("doc_id", F.explode("spans").alias("s")).where(F.col("s.kind").isin(*ADDED)).select("doc_id", "s.kind", "s.start", "s.end")
+    assert sorted(tuple(r) for r in out.collect()) == [(i, "secret", 13, 53) for i in range(50)]
+
+
+def test_edge_rows_have_plain_spans(edge_docs, edge_rows):
+    """What the operator says of nulls, long texts and repeated rows, row by row."""
+    got = sorted(((r.doc_id, [(s.kind, s.start, s.end) for s in r.base]) for r in personal_data(edge_docs).collect()), key=repr)
+    assert got == sorted(((r[0], base(r[1])) for r in edge_rows), key=repr)
+
+
 def test_estimate_and_fit():
     counts = {("a", 1, 1, 1): 80, ("a", 1, 0, 1): 40, ("a", -1, 0, 0): 100, ("a", -1, 0, -1): 30, ("b", 1, 0, 0): 5}
     belief = estimate(counts)
