@@ -3,8 +3,9 @@
 A fingerprint has PRINT_WORDS * 64 bits over the distinct shingles of a text, cut into blocks of 32 bits. In every block
 each value emits itself and its 32 one-flip variants, so texts meet if some block of theirs differs in at most two bits.
 Blocks are dealt by their first bits, the prefix; flips of the prefix are shuffled, those of the other bits made by the task
-that receives the block. The prefix grows with the logarithms of the texts and of the partitions, so that there are many
-more places than tasks and a place holds a bounded share of the texts. Texts at
+that receives the block. The prefix grows with the logarithm of the partitions, so that there are many more places than
+tasks. A pair that will also meet in the word behind is left to that one, so that near copies, which meet nearly everywhere,
+give a pair for each run of words in which they do and not for each block; the last word leaves none. Texts at
 similarity 0.8 differ in about 15 % of the bits and meet with a chance of about 0.99, closer ones more surely; what meets
 by accident is thinned by 64 bits of the neighbouring blocks. Pairs that are left are decided by the exact similarity of
 their texts.
@@ -39,8 +40,7 @@ from .simhash import connected
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
 PRINT_WORDS, FAR, SMALL_GROUP = 20, 22, 32
-#: Bits of a prefix, and the texts for which the fewest are enough.
-LEAST_PREFIX, MOST_PREFIX, PLACE_TEXTS = 5, 20, 20_000
+LEAST_PREFIX, MOST_PREFIX, PLACES = 5, 20, 16
 FLUSH_PRINTS, RECORDS = 20_000, 200_000
 SEEDS = np.arange(1, PRINT_WORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 DEALT = pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("value", pa.binary()), ("t", pa.binary()), ("check", pa.binary())])
@@ -77,10 +77,14 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("t"), pa.array(prints, pa.binary())], ["t", "print"])
 
 
-def prefix_bits(texts: int, n: int) -> int:
-    """So many that no place gets more than its share of texts, and each of n tasks has 16 places or more."""
-    wanted = max(LEAST_PREFIX + math.log2(max(1, texts / PLACE_TEXTS)), math.log2(16 * n / (2 * PRINT_WORDS)))
-    return min(MOST_PREFIX, max(LEAST_PREFIX, math.ceil(wanted)))
+def prefix_bits(n: int) -> int:
+    """So many that each of n tasks has PLACES places or more."""
+    return min(MOST_PREFIX, max(LEAST_PREFIX, math.ceil(math.log2(PLACES * n / (2 * PRINT_WORDS)))))
+
+
+def _place_kind(prefix: int) -> type:
+    """A place is a block, 6 bits, and a prefix."""
+    return np.uint16 if prefix <= 10 else np.uint32
 
 
 def _deal(n: int, prefix: int) -> Callable:
@@ -105,7 +109,7 @@ def _deal(n: int, prefix: int) -> Callable:
                     if cut[b] < cut[b + 1]:
                         mine = slice(cut[b], cut[b + 1])
                         k = at[mine]
-                        rows.append([b, place[order[mine]].tobytes(), values.ravel()[k].tobytes(), t[k // len(block)].tobytes(), check.ravel()[k].tobytes()])
+                        rows.append([b, place[order[mine]].astype(_place_kind(prefix)).tobytes(), values.ravel()[k].tobytes(), t[k // len(block)].tobytes(), check.ravel()[k].tobytes()])
                 for k in range(0, len(rows), 64):
                     yield rows_batch(rows[k : k + 64], DEALT)
 
@@ -118,10 +122,18 @@ def _central(check: np.ndarray) -> int:
     return int((bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1).argmin())
 
 
+def _meet_behind(word: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether texts with these check bits, those of the word behind, meet there too; the last word has none behind it."""
+    apart = a ^ b
+    near = (np.bitwise_count(apart & U(0xFFFFFFFF)) <= 2) | (np.bitwise_count(apart >> U(32)) <= 2)
+    return near & (word < PRINT_WORDS - 1)
+
+
 def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray, prefix: int) -> list[np.ndarray]:
     """Rows (a, b) of pairs that meet and are near by the check bits; in a large group, each member with the central one.
-    Texts that come from the same other prefix meet at that one already."""
-    rest = 32 - prefix
+    Texts that come from the same other prefix meet at that one already, and others may meet behind: whatever met is connected
+    by the pairs of this word and of those behind it."""
+    rest, word = 32 - prefix, (place >> np.uint32(prefix)) // 2
     origin = value >> np.uint32(rest)
     away = origin != place & np.uint32(2**prefix - 1)
     home = np.flatnonzero(~away)
@@ -140,7 +152,7 @@ def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray,
         begin = np.repeat(first[few > step], n)
         i = begin - np.repeat(np.cumsum(n) - n, n) + np.arange(n.sum())
         x, y = who[i], who[i + step]
-        near = (np.bitwise_count(check[x] ^ check[y]) <= FAR) & ~((origin[x] == origin[y]) & away[x])
+        near = (np.bitwise_count(check[x] ^ check[y]) <= FAR) & ~((origin[x] == origin[y]) & away[x]) & ~_meet_behind(word[x], check[x], check[y])
         pairs.append(np.unique(np.stack([t[x[near]], t[y[near]]], axis=1), axis=0))
     for i, n in zip(at[size > SMALL_GROUP], size[size > SMALL_GROUP]):
         members = who[i : i + n]
@@ -149,8 +161,9 @@ def _met(place: np.ndarray, value: np.ndarray, t: np.ndarray, check: np.ndarray,
         name = xxhash.xxh64_intdigest(t[members].tobytes())
         if name not in groups:
             groups.add(name)
-            hub = t[members[_central(check[members])]]
-            others = t[members][t[members] != hub]
+            center = members[_central(check[members])]
+            hub = t[center]
+            others = t[members][(t[members] != hub) & ~_meet_behind(word[members], check[members], check[center])]
             pairs.append(np.stack([np.minimum(others, hub), np.maximum(others, hub)], axis=1))
     return pairs
 
@@ -174,7 +187,7 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
 
 def _meet(prefix: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"place": np.uint32, "value": np.uint32, "t": np.int64, "check": U}
+        kinds = {"place": _place_kind(prefix), "value": np.uint32, "t": np.int64, "check": U}
         got = {c: [] for c in kinds}
         for batch in batches:
             for c, kind in kinds.items():
@@ -182,6 +195,7 @@ def _meet(prefix: int) -> Callable:
         if not got["t"]:
             return
         place, value, t, check = (np.concatenate(x) for x in got.values())
+        place = place.astype(np.uint32)
         order = np.argsort(place, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(place[order]) != 0))
         cuts = [0]
@@ -308,7 +322,7 @@ def _across(placed: DataFrame, own: DataFrame, centers: DataFrame, similarity: f
 def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) for texts (t, text): every text that isn't the smallest of its component."""
     prints = texts.mapInArrow(_prints, "t long, print binary").groupBy("t").agg(F.first("print").alias("print"))
-    prefix = prefix_bits(texts.count(), n)
+    prefix = prefix_bits(n)
     dealt = prints.mapInArrow(_deal(n, prefix), "bucket int, place binary, value binary, t binary, check binary")
     met = dealt.repartitionById(n, "bucket").mapInArrow(_meet(prefix), "a long, b long")
     pairs = written(met.groupBy("a", "b").agg(F.count("*").alias("times")), "near-pairs-met")

@@ -3,6 +3,8 @@ import random
 
 import corpus_pipeline as P
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from cladeframe.llm import near_copies as N
 from tests.conftest import SF
@@ -79,7 +81,7 @@ def test_meets_one_flip_variants(prefix):
                     place.append((int(x) >> (32 - prefix)) ^ flip)
                     value.append(x)
                     t.append(name)
-            pairs = N._met(np.array(place, np.uint32), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64), prefix)
+            pairs = N._met(np.array(place, np.uint32) + np.uint32(38 << prefix), np.array(value, np.uint32), np.array(t, np.int64), np.zeros(len(t), np.uint64), prefix)
             assert any(len(p) for p in pairs) == meet
 
 
@@ -131,12 +133,34 @@ def test_spanning_forest():
     assert sorted(N.spanning(a, b)) == sorted((x, r) for x, r in root.items() if x != r)
 
 
-def test_places_follow_texts_and_partitions():
-    """A place's share of the texts and a task's number of places stay within bounds."""
-    for texts in (0, 10, 10**5, 10**7, 10**8):
-        for n in (1, 211, 5000):
-            bits = N.prefix_bits(texts, n)
-            assert 5 <= bits <= 20 and 40 * 2**bits >= 16 * n and texts / 2**bits <= max(N.PLACE_TEXTS / 2**5, 1)
+def test_places_follow_partitions():
+    for n in (1, 12, 51, 211, 3000, 5000, 10**5):
+        bits = N.prefix_bits(n)
+        assert 5 <= bits <= 20 and 40 * 2**bits >= 16 * n
+
+
+def test_pairs_are_left_to_the_word_behind():
+    """Texts stay connected though a pair is given once for each run of words in which it meets."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**63, (12, N.PRINT_WORDS), dtype=np.uint64)
+    prints = np.repeat(base, 25, axis=0)
+    for k in range(len(prints)):
+        for j in rng.choice(64 * N.PRINT_WORDS, int(rng.integers(0, 120)), replace=False):
+            prints[k, j // 64] ^= np.uint64(1) << np.uint64(j % 64)
+    texts = pa.RecordBatch.from_arrays([pa.array(range(len(prints)), pa.int64()), pa.array([p.tobytes() for p in prints], pa.binary())], ["t", "print"])
+    near = lambda x: np.bitwise_count(x) <= 2
+    met = set()
+    for i in range(len(prints)):
+        apart = prints[i] ^ prints[i + 1 :]
+        check = np.roll(apart, -1, axis=1)
+        some = (near(apart & np.uint64(0xFFFFFFFF)) | near(apart >> np.uint64(32))) & (np.bitwise_count(check) <= N.FAR)
+        met |= {(i, i + 1 + int(j)) for j in np.flatnonzero(some.any(axis=1))}
+    for n in (1, 7, 300):
+        dealt = list(N._deal(n, N.prefix_bits(n))([texts]))
+        tasks = [[b.filter(pa.compute.equal(b.column("bucket"), k)) for b in dealt] for k in range(n)]
+        links = [(int(a), int(b)) for own in tasks for out in N._meet(N.prefix_bits(n))(iter(own)) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist())]
+        root = dict(N.spanning(*zip(*links)))
+        assert all(root.get(a, a) == root.get(b, b) for a, b in met)
 
 
 def test_texts_that_share_a_hash(spark, monkeypatch):
