@@ -41,7 +41,7 @@ U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
 PRINT_WORDS, FAR, SMALL_GROUP = 20, 22, 32
 LEAST_PREFIX, MOST_PREFIX, PLACES = 5, 20, 16
-FLUSH_PRINTS, RECORDS = 20_000, 200_000
+FLUSH_PRINTS, RECORDS, TASK_PAIRS = 20_000, 200_000, 500_000
 SEEDS = np.arange(1, PRINT_WORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 DEALT = pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("value", pa.binary()), ("t", pa.binary()), ("check", pa.binary())])
 APART = pa.schema([("c", pa.int64()), ("root", pa.int64()), ("t", pa.int64()), ("apart", pa.bool_()), ("n", pa.int32()), ("d", pa.int32()), ("rarest", pa.int32()), ("x", pa.int64())])
@@ -319,6 +319,23 @@ def _across(placed: DataFrame, own: DataFrame, centers: DataFrame, similarity: f
     return pairs.select(F.least("t_a", "t_b").alias("a"), F.greatest("t_a", "t_b").alias("b")).distinct()
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    links: list[tuple[int, int]] = []
+    for batch in batches:
+        a, b = zip(*links) if links else ((), ())
+        links = spanning([*a, *batch.column("a").to_pylist()], [*b, *batch.column("b").to_pylist()])
+    for i in range(0, len(links), 100_000):
+        a, b = zip(*links[i : i + 100_000])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _roots(pairs: DataFrame) -> DataFrame:
+    """(node, root) of the components of written pairs (a, b). Tasks of TASK_PAIRS pairs turn theirs into stars first, which
+    spares rounds over deep components."""
+    tasks = max(1, math.ceil(pairs.count() / TASK_PAIRS))
+    return connected(written(pairs.select("a", "b").repartition(tasks).mapInArrow(_stars, "a long, b long"), "near-stars"))
+
+
 def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) for texts (t, text): every text that isn't the smallest of its component."""
     prints = texts.mapInArrow(_prints, "t long, print binary").groupBy("t").agg(F.first("print").alias("print"))
@@ -334,7 +351,7 @@ def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> Data
 
     # clusters that fall into several groups of copies
     of = lambda df, roots, name: df.join(roots.select(F.col("node").alias("t"), F.col("root").alias(name)), "t", "left").withColumn(name, F.coalesce(name, "t"))
-    placed = written(of(of(used, connected(pairs), "c"), connected(links), "root"), "near-placed")
+    placed = written(of(of(used, _roots(pairs), "c"), _roots(links), "root"), "near-placed")
     center = F.max_by(F.struct(F.col("t").alias("center"), F.col("root").alias("root_c")), F.struct("times", "t")).alias("x")
     centers = placed.groupBy("c").agg(F.min("root").alias("low"), F.max("root").alias("high"), center).where("low < high")
     centers = small(written(centers.select("c", "x.*"), "near-centers"))
@@ -342,7 +359,7 @@ def near_links(texts: DataFrame, n: int, similarity: float = SIMILARITY) -> Data
     to_center = placed.where("root != root_c").select(F.least("t", "center").alias("a"), F.greatest("t", "center").alias("b"))
     across = _across(placed.select("t", "c", "root"), own, centers.select("c", "center"), similarity)
     more = _verified(written(to_center.union(across).distinct(), "near-candidates"), own, similarity)
-    return connected(links.union(more))
+    return _roots(links.union(more))
 
 
 def named(docs: DataFrame, text_col: str) -> DataFrame:
