@@ -25,7 +25,7 @@ def facts(line):
     ends = bool(re.search(java(Q.SENTENCE_END), x))
     fails = x != "" and bool(
         (marks >= 3 and 2 * marks > n) or (shouts >= 3 and 2 * shouts > n) or (2 * upper > len(x) and n >= 3) or len(re.findall(Q.SEPARATORS, x)) >= 3
-        or (len(x) <= Q.MENU_CHARS and re.search(java(Q.MENU), low)) or (n >= Q.LIST_WORDS and not ends and not re.search(java(Q.FUNCTION_WORD), low)) or (len(x) <= Q.NOTICE_CHARS and re.search(Q.NOTICE, low))
+        or (len(x) <= Q.MENU_CHARS and re.search(java(Q.MENU), low)) or (n >= Q.LIST_WORDS and not ends and not re.search(java(Q.FUNCTION_WORD), low)) or (len(x) <= Q.NOTICE_CHARS and re.search(java(Q.NOTICE), low))
     )
     return fails, 0 < n < Q.PROSE_WORDS and not ends and not re.search(Q.ITEM, x)
 
