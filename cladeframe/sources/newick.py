@@ -95,12 +95,20 @@ def nodes_of(tree_id: str, text: str) -> list[tuple]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a batch costs far more than a row: small trees share one, large ones take several
+    def packed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(rows), 20_000):
+            cols = list(zip(*rows[i : i + 20_000]))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, SCHEMA.types)], schema=SCHEMA)
+
+    held: list[tuple] = []
     for batch in batches:
         for tree_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows = nodes_of(tree_id, text or "")
-            for i in range(0, len(rows), 20_000):
-                cols = list(zip(*rows[i : i + 20_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, SCHEMA.types)], schema=SCHEMA)
+            held += nodes_of(tree_id, text or "")
+            if len(held) >= 20_000:
+                yield from packed(held)
+                held = []
+    yield from packed(held)
 
 
 def forest(trees: DataFrame, tree_id: str = "tree_id", newick: str = "newick") -> DataFrame:
@@ -174,4 +182,5 @@ def tree_texts(spark: SparkSession, path: str) -> DataFrame:
 def read_forest(spark: SparkSession, path: str) -> DataFrame:
     """Trees of one or many files; a tree's id is its file's name and its number in that file, from 0."""
     name = F.regexp_extract("file", r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
-    return forest(tree_texts(spark, path).select(F.concat_ws("#", name, F.col("number").cast("string")).alias("tree_id"), "newick"))
+    # stored, as operators on forests read their nodes several times
+    return stored(forest(tree_texts(spark, path).select(F.concat_ws("#", name, F.col("number").cast("string")).alias("tree_id"), "newick")), "newick-nodes")

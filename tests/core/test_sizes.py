@@ -1,7 +1,10 @@
 """What keeps the driver and single tasks small on large tables."""
 
+import pyarrow as pa
+
 from cladeframe.operators.store import stored
 from cladeframe.plans import star
+from cladeframe.sources import newick
 from tests.conftest import SF
 
 
@@ -13,3 +16,12 @@ def test_stored_tables_and_tips_are_not_broadcast(spark):
     a = stored(spark.range(1000).withColumnRenamed("id", "k"), "a")
     assert "Broadcast" not in plan(a.join(stored(spark.range(1000).withColumnRenamed("id", "k"), "b"), "k"))
     assert "Broadcast" not in plan(spark.range(10).selectExpr("cast(id as string) tip").join(star.tip_rows(spark, SF), "tip"))
+
+
+def test_small_trees_share_a_batch_and_large_ones_are_cut():
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(9000)]), pa.array(["(a,b);"] * 9000)], ["tree_id", "newick"])
+    sizes = [b.num_rows for b in newick._parse(iter([batch]))]
+    assert sum(sizes) == 27000 and len(sizes) <= 3
+    comb = pa.RecordBatch.from_arrays([pa.array(["c"]), pa.array(["(" + ",".join(f"t{i}" for i in range(45000)) + ");"])], ["tree_id", "newick"])
+    assert [b.num_rows for b in newick._parse(iter([comb]))] == [20000, 20000, 5001]
+    assert list(newick._parse(iter([]))) == []
