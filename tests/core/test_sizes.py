@@ -2,7 +2,7 @@
 
 import pyarrow as pa
 
-from cladeframe.operators.store import stored
+from cladeframe.operators.store import stored, tasks_for
 from cladeframe.plans import star
 from cladeframe.sources import newick
 from tests.conftest import SF
@@ -25,3 +25,10 @@ def test_small_trees_share_a_batch_and_large_ones_are_cut():
     comb = pa.RecordBatch.from_arrays([pa.array(["c"]), pa.array(["(" + ",".join(f"t{i}" for i in range(45000)) + ");"])], ["tree_id", "newick"])
     assert [b.num_rows for b in newick._parse(iter([comb]))] == [20000, 20000, 5001]
     assert list(newick._parse(iter([]))) == []
+
+
+def test_tasks_follow_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks_for(spark.range(10)) == cores and tasks_for(spark.range(1001), rows=50) == 21
+    a, m = star.abundance(spark, SF), star.brands(spark, SF)
+    assert "REPARTITION_BY_NUM" in plan(a) and "REPARTITION_BY_NUM" in plan(m) and "Broadcast" not in plan(m)
