@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cladeframe.functions.text import number
+from cladeframe.operators.store import tasks_for
 
 #: Columns of the files.
 BUSCO = ("marker", "status", "sequence", "score", "length")
@@ -163,6 +164,12 @@ def write_long(df: DataFrame, path: str, order: Sequence[str] = (), compression:
     out.write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("compression", compression).csv(path)
 
 
+def write_qc(df: DataFrame, path: str) -> None:
+    """A JSON file for each row, all in one folder: a folder for each file would be listed by itself, by writer and reader. A task
+    writes a few thousand files."""
+    df.repartition(tasks_for(df, 2_000)).write.option("maxRecordsPerFile", 1).json(path)
+
+
 def write_parts(df: DataFrame, path: str, by: str = "sample") -> None:
     """One folder per sample; rows of a sample come from few tasks."""
     df.repartition(by).write.partitionBy(by).parquet(path)
