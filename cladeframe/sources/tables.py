@@ -10,11 +10,11 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cladeframe.functions.text import number
+from cladeframe.functions.text import finite, number, parsed
 from cladeframe.operators.store import tasks_for
 
 #: Columns of the files.
@@ -109,16 +109,18 @@ def read_search_detail(spark: SparkSession, path: str | list[str], thresholds: D
     mark (*) decides, since printed scores are rounded. problem: mark (differs from the score by more than rounding) or
     conflict (a gene and label with two different hits)."""
     x = _lines(spark, path).where(~F.col("line").startswith("#") & (F.trim("line") != ""))
-    parts = F.split("line", "\t")
-    at = lambda i: F.nullif(F.trim(F.try_element_at(parts, F.lit(i))), F.lit(""))
-    own = x.select((at(1) == "*").alias("mark"), at(2).alias("gene_id"), at(3).alias("ko"), number(F.nullif(at(4), F.lit("-"))).alias("threshold"), number(at(5), nonnegative=False).alias("score"), number(at(6)).alias("evalue"))
-    own = own.withColumn("mark", F.coalesce("mark", F.lit(False))).distinct()
+    # step by step, as an expression that is named several times in one step is computed as often
+    at = lambda i: F.nullif(F.trim(F.try_element_at("parts", F.lit(i))), F.lit(""))
+    own = x.select(F.split("line", "\t").alias("parts")).select(at(1).alias("mark"), at(2).alias("gene_id"), at(3).alias("ko"), at(4).alias("threshold"), at(5).alias("score"), at(6).alias("evalue"))
+    own = own.select(F.coalesce(F.col("mark") == "*", F.lit(False)).alias("mark"), "gene_id", "ko", parsed(F.nullif("threshold", F.lit("-"))).alias("threshold"), parsed(F.col("score")).alias("score"), parsed(F.col("evalue")).alias("evalue"))
+    own = own.select("mark", "gene_id", "ko", finite(F.col("threshold")).alias("threshold"), finite(F.col("score"), nonnegative=False).alias("score"), finite(F.col("evalue")).alias("evalue"))
+    # one shuffle by gene and label, for distinct hits and for their number
+    own = own.where("gene_id is not null and ko is not null").repartition("gene_id", "ko").distinct()
     if thresholds is not None:
         own = own.drop("threshold").join(thresholds.select("ko", "threshold"), "ko", "left")
     status = F.when(F.col("mark"), "accepted").when(F.col("threshold").isNull(), "threshold_missing").otherwise("below_threshold")
     off = (F.col("mark") & (F.col("score") < F.col("threshold") - 0.06)) | (~F.col("mark") & (F.col("score") > F.col("threshold") + 0.06))
-    twice = own.groupBy("gene_id", "ko").agg(F.count("*").alias("n"))
-    out = own.join(twice, ["gene_id", "ko"])
+    out = own.withColumn("n", F.count("*").over(Window.partitionBy("gene_id", "ko")))
     return out.select("gene_id", "ko", "score", "threshold", "evalue", F.col("mark").alias("accepted"), status.alias("assignment_status"), F.when(F.col("n") > 1, "conflict").when(off, "mark").alias("problem"))
 
 
