@@ -2,9 +2,9 @@
 
 document_term_matrix: every task turns its documents, some million bytes at a time, into shards in CSR form (row
 starts, terms, counts) over a vocabulary of its own, and begins another vocabulary when that is full. The vocabularies, far
-fewer words than the texts, are dealt to buckets by hash and ranked there, which is the global dictionary: a word's id is
-its bucket times 2^32 plus its rank among the bucket's words, so ids don't depend on partitions or shards. Each shard then
-receives the ids of its words, and its terms become global, sorted within rows. row_statistics reads a document's words
+fewer words than the texts, are dealt to 2^31 buckets by hash and ranked there, which is the global dictionary: a word's id is
+its bucket times 2^32 plus its rank among the bucket's words, so ids don't depend on partitions or shards. Buckets are so many
+that most have one word, since sorting compares words only within a bucket. Each shard then receives the ids of its words, and its terms become global, sorted within rows. row_statistics reads a document's words
 (sum of the row) and distinct words (its nonzero entries) from that matrix.
 
 audit: filters A and B from the row statistics, C and D from counts made while the text was at hand, E from the
@@ -35,10 +35,12 @@ from .common import written
 
 FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 100, 80, 10
-SHARD_BYTES, VOCABULARY_WORDS, BUCKETS = 6_000_000, 500_000, 4096
-CAPITALS, SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
+SHARD_BYTES, VOCABULARY_WORDS, BUCKETS = 6_000_000, 500_000, 1 << 31
+CAPITALS, SYMBOLS = (np.isin(np.arange(256), list(x)) for x in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"))
 FACTS = [("n_chars", pa.int64()), ("n_capitals", pa.int64()), ("n_symbols", pa.int64()), ("digest", pa.binary())]
-SHARD = "words long, docs array<struct<row:{row},n_chars:bigint,n_capitals:bigint,n_symbols:bigint,digest:binary>>, starts array<int>, terms array<{term}>, counts array<int>"
+SHARD = "words long, docs array<struct<row:{row},n_chars:bigint,n_capitals:bigint,n_symbols:bigint,digest:binary>>, starts array<int>, terms array<bigint>, counts array<int>"
+# a task's own shard has its numbers as bytes of int32, which are written and shuffled whole
+LOCAL = SHARD.replace("array<int>", "binary").replace("array<bigint>", "binary")
 LISTED = ", listed boolean, first int, vocabulary array<string>, n_docs array<int>, n array<bigint>"
 
 
@@ -51,12 +53,18 @@ class _Vocabulary:
     """Numbers of words within one task, with their documents and occurrences."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.n_docs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def numbers(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        return np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The numbers of these different words; new ones get the next."""
+        words = words.cast(pa.large_string())
+        at = pc.index_in(words, self.known)
+        new, size = at.is_null(), len(self.known)
+        self.known = pa.concat_arrays([self.known, words.filter(new)])
+        out = at.fill_null(0).to_numpy().astype(np.int64)
+        out[new.to_numpy(zero_copy_only=False)] = np.arange(size, len(self.known))
+        return out
 
     def count(self, terms: np.ndarray, counts: np.ndarray) -> None:
         size = len(self.known)
@@ -65,22 +73,27 @@ class _Vocabulary:
         self.n = grown(self.n, np.bincount(terms, weights=counts, minlength=size).astype(np.int64))
 
     def rows(self, own: int, schema: pa.Schema, at_once: int = 50_000) -> Iterator[pa.RecordBatch]:
-        words = list(self.known)
-        for i in range(0, len(words), at_once):
+        for i in range(0, len(self.known), at_once):
             part = slice(i, i + at_once)
             filled = {
-                "words": pa.array([own], pa.int64()), "listed": pa.array([True]), "first": pa.array([i], pa.int32()), "vocabulary": _listed(pa.array(words[part], pa.string())),
+                "words": pa.array([own], pa.int64()), "listed": pa.array([True]), "first": pa.array([i], pa.int32()), "vocabulary": _listed(self.known[part].cast(pa.string())),
                 "n_docs": _listed(pa.array(self.n_docs[part].astype(np.int32))), "n": _listed(pa.array(self.n[part])),
             }
             yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
 
 
+def _offsets(texts: pa.Array) -> np.ndarray:
+    return np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+
+
 def _facts(texts: pa.Array) -> list[pa.Array]:
-    plain = texts.cast(pa.binary()).to_pylist()
-    return [
-        pc.utf8_length(texts).cast(pa.int64()), pa.array([len(t) - len(t.translate(None, CAPITALS)) for t in plain], pa.int64()),
-        pa.array([len(t) - len(t.translate(None, SYMBOLS)) for t in plain], pa.int64()), pa.array([hashlib.sha256(t).digest() for t in plain], pa.binary()),
-    ]
+    at = _offsets(texts)
+    plain = texts.buffers()[2] or b""
+    plain = np.frombuffer(plain, np.uint8)[at[0] : at[-1]]
+    # a zero behind the last text, where empty ones at the end begin; reduceat gives an empty text what follows it
+    total = lambda kind: np.where(np.diff(at) > 0, np.add.reduceat(np.append(kind[plain], False), at[:-1] - at[0], dtype=np.int64), 0)
+    digests = [hashlib.sha256(plain[a:b]).digest() for a, b in zip(at[:-1] - at[0], at[1:] - at[0])]
+    return [pc.utf8_length(texts).cast(pa.int64()), pa.array(total(CAPITALS)), pa.array(total(SYMBOLS)), pa.array(digests, pa.binary())]
 
 
 def _cells(texts: pa.Array, vocabulary: _Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +103,14 @@ def _cells(texts: pa.Array, vocabulary: _Vocabulary) -> tuple[np.ndarray, np.nda
     full = pc.not_equal(words, "")
     row = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(split).to_numpy())[full.to_numpy(zero_copy_only=False)]
     coded = words.filter(full).dictionary_encode()
-    return np.unique(row << 32 | vocabulary.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()], return_counts=True)
+    return np.unique(row << 32 | vocabulary.numbers(coded.dictionary)[coded.indices.to_numpy()], return_counts=True)
 
 
 def _schema(row: pa.DataType) -> pa.Schema:
     docs = pa.struct([pa.field("row", row), *[pa.field(n, t) for n, t in FACTS]])
-    lists = [("docs", docs), ("starts", pa.int32()), ("terms", pa.int32()), ("counts", pa.int32())]
+    numbers = [(n, pa.binary()) for n in ("starts", "terms", "counts")]
     words = [("listed", pa.bool_()), ("first", pa.int32()), *[(n, pa.list_(t)) for n, t in (("vocabulary", pa.string()), ("n_docs", pa.int32()), ("n", pa.int64()))]]
-    return pa.schema([("words", pa.int64()), *[(n, pa.list_(t)) for n, t in lists], *words])
+    return pa.schema([("words", pa.int64()), ("docs", pa.list_(docs)), *numbers, *words])
 
 
 def _shards(shard_bytes: int, most_words: int) -> Callable:
@@ -106,7 +119,7 @@ def _shards(shard_bytes: int, most_words: int) -> Callable:
         for batch in batches:
             schema = schema or _schema(batch.schema.field("row").type)
             texts = batch.column("text").fill_null("")
-            size = np.cumsum(np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]))
+            size = np.cumsum(np.diff(_offsets(texts)))
             # a shard ends behind the row that fills it
             cuts = np.flatnonzero(np.diff(size // shard_bytes, prepend=0)) + 1
             cuts = np.unique([0, *cuts.tolist(), len(texts)]).tolist()
@@ -117,32 +130,35 @@ def _shards(shard_bytes: int, most_words: int) -> Callable:
                 terms, starts = cells & 0xFFFFFFFF, np.searchsorted(cells >> 32, np.arange(len(part) + 1))
                 vocabulary.count(terms, counts)
                 filled = {"words": pa.array([own], pa.int64()), "listed": pa.array([False]), "docs": _listed(docs)}
-                filled |= {n: _listed(pa.array(x.astype(np.int32))) for n, x in (("starts", starts), ("terms", terms), ("counts", counts))}
+                filled |= {n: pa.array([x.astype(np.int32).tobytes()], pa.binary()) for n, x in (("starts", starts), ("terms", terms), ("counts", counts))}
                 del cells, terms, counts
                 yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
                 if len(vocabulary.known) >= most_words:
                     yield from vocabulary.rows(own, schema)
                     own, vocabulary = own + 1, _Vocabulary()
-        if vocabulary.known:
+        if len(vocabulary.known):
             yield from vocabulary.rows(own, schema)
 
     return run
 
 
 def _globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards with the ids of the dictionary, terms ascending within each row."""
+    """Shards with the ids of the dictionary, terms ascending within each row. Shards of one vocabulary mostly follow each other."""
+    own, ids, ranks = None, None, None
     for batch in batches:
         for i in range(len(batch)):
             one = batch.slice(i, 1)
-            values = lambda name: one.column(name).flatten().to_numpy(zero_copy_only=False)  # noqa: E731, B023
-            starts, at = values("starts"), values("at")
-            ids = np.empty(len(at), np.int64)
-            ids[at.astype(np.int64)] = values("ids")
-            row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            terms = ids[values("terms").astype(np.int64)]
-            order = np.lexsort((terms, row))
-            counts = values("counts")[order].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([one.column("words"), one.column("docs"), one.column("starts"), _listed(pa.array(terms[order])), _listed(pa.array(counts))], ["words", "docs", "starts", "terms", "counts"])
+            numbers = lambda name: np.frombuffer(one.column(name)[0].as_buffer(), np.int32)  # noqa: E731, B023
+            if own != one.column("words")[0].as_py():
+                own, at, given = one.column("words")[0].as_py(), *(one.column(n).flatten().to_numpy(zero_copy_only=False) for n in ("at", "ids"))
+                order = np.argsort(given)
+                ids, ranks = given[order], np.empty(len(at), np.int64)
+                ranks[at[order]] = np.arange(len(at))
+            starts, counts = numbers("starts"), numbers("counts")
+            cells = np.repeat(np.arange(len(starts) - 1, dtype=np.int64), np.diff(starts)) << 32 | ranks[numbers("terms")]
+            order = np.argsort(cells)
+            lists = [_listed(pa.array(x)) for x in (starts, ids[cells[order] & 0xFFFFFFFF], counts[order])]
+            yield pa.RecordBatch.from_arrays([one.column("words"), one.column("docs"), *lists], ["words", "docs", "starts", "terms", "counts"])
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +184,7 @@ def document_term_matrix(docs: DataFrame, row: Column, text_col: str = "text", s
     carries along."""
     texts = docs.select(row.alias("row"), F.col(text_col).alias("text"))
     kind = texts.schema["row"].dataType.simpleString()
-    local = written(texts.mapInArrow(_shards(shard_bytes, most_words), SHARD.format(row=kind, term="int") + LISTED), "audit-shards", long_rows=True)
+    local = written(texts.mapInArrow(_shards(shard_bytes, most_words), LOCAL.format(row=kind) + LISTED), "audit-shards", long_rows=True)
     listed = local.where("listed")
     counted = listed.select(F.explode(F.arrays_zip("vocabulary", "n_docs", "n")).alias("w")).select(F.col("w.vocabulary").alias("word"), "w.n_docs", "w.n")
     words = _with_terms(counted, buckets).groupBy("word", "term").agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("n"))
@@ -177,7 +193,7 @@ def document_term_matrix(docs: DataFrame, row: Column, text_col: str = "text", s
     ids = _with_terms(used, buckets).groupBy("words").agg(F.collect_list("at").alias("at"), F.collect_list("term").alias("ids"))
     coded = local.where("not listed").select("words", "docs", "starts", "terms", "counts").join(ids, "words", "left")
     coded = coded.withColumn("at", F.coalesce("at", F.array().cast("array<int>"))).withColumn("ids", F.coalesce("ids", F.array().cast("array<bigint>")))
-    return words, coded.mapInArrow(_globally, SHARD.format(row=kind, term="bigint"))
+    return words, coded.mapInArrow(_globally, SHARD.format(row=kind))
 
 
 def row_statistics(matrix: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
+import hashlib
 import re
 from collections import Counter, defaultdict
 from itertools import permutations
 
-from cladeframe.llm.filter_audit import audit, document_term_matrix, failures, row_statistics
+import pyarrow as pa
+from cladeframe.llm.filter_audit import _facts, _Vocabulary, audit, document_term_matrix, failures, row_statistics
 from cladeframe.llm.queries import op12_filter_audit
 from pyspark.sql import functions as F
 from tests.conftest import SF
@@ -93,6 +95,26 @@ def test_statistics(edge_docs, edge_rows):
     assert sorted([(r.row, r.n_chars, r.n_words, r.n_distinct) for r in stats], key=repr) == sorted(want, key=repr)
 
 
+def test_words_are_alone_in_buckets_and_numbers_are_bytes(spark):
+    """CPU of op12: sorting compares words only within a bucket, and vocabularies stay in Arrow."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(40 * i, 40 * i + 60))) for i in range(100)] + [(100, ""), (101, None)], "doc_id long, text string")
+    words, matrix = document_term_matrix(docs.repartition(4), F.col("doc_id"))
+    assert words.count() == 4020 and words.where(F.col("term") % 2**32 > 0).count() <= 2
+    assert {(r.row, r.n_words, r.n_distinct) for r in row_statistics(matrix).collect()} == {(i, 60, 60) for i in range(100)} | {(100, 0, 0), (101, 0, 0)}
+    few = document_term_matrix(docs, F.col("doc_id"), buckets=3)[0]
+    assert few.select("term").distinct().count() == 4020 and few.agg(F.max(F.col("term") % 2**32)).first()[0] > 1000
+    v = _Vocabulary()
+    assert v.numbers(pa.array(["a", "b"])).tolist() == [0, 1] and v.numbers(pa.array(["c", "b", "d"])).tolist() == [2, 1, 3] and v.known.to_pylist() == ["a", "b", "c", "d"]
+
+
+def test_facts(edge_rows):
+    texts = pa.array(["", *[t or "" for _, t, *_ in edge_rows], "A#", "", ""])
+    for part in (texts, texts.slice(1), texts.slice(2, 3), texts.slice(len(texts) - 2)):
+        got = [x.to_pylist() for x in _facts(part)]
+        own = part.to_pylist()
+        assert got == [[len(t) for t in own], [len(re.findall("[A-Z]", t)) for t in own], [len(re.findall(r"[#$%&*|]", t)) for t in own], [hashlib.sha256(t.encode()).digest() for t in own]]
+
+
 def test_empty(spark, no_docs):
     labels = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
     assert audit(no_docs, labels).count() == 0 and failures(no_docs, labels).count() == 0
