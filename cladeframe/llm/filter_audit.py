@@ -44,6 +44,11 @@ LOCAL = SHARD.replace("array<int>", "binary").replace("array<bigint>", "binary")
 LISTED = ", listed boolean, first int, vocabulary array<string>, n_docs array<int>, n array<bigint>"
 
 
+def _give_back() -> None:
+    """Arrow keeps freed memory, which would add up over the workers of an executor."""
+    pa.default_memory_pool().release_unused()
+
+
 def _listed(values: pa.Array) -> pa.Array:
     """One list of all these values."""
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -131,13 +136,17 @@ def _shards(shard_bytes: int, most_words: int) -> Callable:
                 vocabulary.count(terms, counts)
                 filled = {"words": pa.array([own], pa.int64()), "listed": pa.array([False]), "docs": _listed(docs)}
                 filled |= {n: pa.array([x.astype(np.int32).tobytes()], pa.binary()) for n, x in (("starts", starts), ("terms", terms), ("counts", counts))}
-                del cells, terms, counts
+                del cells, terms, counts, part, docs
+                _give_back()
                 yield pa.RecordBatch.from_arrays([filled.get(f.name, pa.nulls(1, f.type)) for f in schema], schema=schema)
+                del filled
                 if len(vocabulary.known) >= most_words:
                     yield from vocabulary.rows(own, schema)
                     own, vocabulary = own + 1, _Vocabulary()
         if len(vocabulary.known):
             yield from vocabulary.rows(own, schema)
+        del vocabulary
+        _give_back()
 
     return run
 
@@ -154,11 +163,15 @@ def _globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 order = np.argsort(given)
                 ids, ranks = given[order], np.empty(len(at), np.int64)
                 ranks[at[order]] = np.arange(len(at))
+                del at, given
             starts, counts = numbers("starts"), numbers("counts")
             cells = np.repeat(np.arange(len(starts) - 1, dtype=np.int64), np.diff(starts)) << 32 | ranks[numbers("terms")]
             order = np.argsort(cells)
             lists = [_listed(pa.array(x)) for x in (starts, ids[cells[order] & 0xFFFFFFFF], counts[order])]
+            del cells, order, counts
             yield pa.RecordBatch.from_arrays([one.column("words"), one.column("docs"), *lists], ["words", "docs", "starts", "terms", "counts"])
+            del lists
+            _give_back()
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
