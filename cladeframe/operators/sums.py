@@ -1,92 +1,54 @@
 """Exact sums of doubles over their whole range.
 
-Every double is a whole number times a power of two. It is split into digits to the base 2^32, three at most; digits are added
-by place as whole numbers, which no order or partitioning changes; and the sum of the places is rounded once to the
-nearest double, ties to even. So the result is the double nearest to the true sum.
+Every double is a whole number times a power of two. It is split into four digits to the base 2^18, which are added by the place of the
+first as whole numbers of 64 bits (room for 2^45 values in one place of a group); no order or partitioning changes these. The sums of a
+group's places, a few numbers, are rounded once to the nearest double, ties to even. So the result is the double nearest to the true sum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-BASE_BITS = 32
-#: The lowest place that a double reaches, 2^-1074, and the highest, 2^1023.
-LOWEST, HIGHEST = -34, 31
-WHOLE = "decimal(38,0)"
-
-
-def _power(n: Column) -> Column:
-    """2^n, exact; n within the exponents of doubles."""
-    return F.pow(F.lit(2.0), n.cast("double"))
-
-
-def _scaled(x: Column, n: Column) -> Column:
-    """x * 2^n in two steps, as 2^n alone may be no double."""
-    half = F.floor(n / 2)
-    return x * _power(half) * _power(n - half)
-
-
-def _floor(x: Column) -> Column:
-    """As a double: floor() gives a long, which large ones, whole numbers all, don't fit."""
-    return F.when(x < 2.0**52, F.floor(F.least(x, F.lit(2.0**52))).cast("double")).otherwise(x)
-
-
-def digits(x: Column) -> Column:
-    """array<struct<place, digit>> of a finite double: x is the sum of digit * 2^(32 * place)."""
-    size = F.abs(x)
-    # the logarithm may be off by a little near a power of two: one more place above costs nothing
-    top = F.least(F.floor(F.log2(size) / BASE_BITS) + 1, F.lit(HIGHEST)).cast("int")
-
-    def one(place: Column) -> Column:
-        above = F.when(place < HIGHEST, _floor(_scaled(size, -(place + 1) * BASE_BITS)) * 2.0**BASE_BITS).otherwise(0.0)
-        return F.struct(place.alias("place"), (F.signum(x) * (_floor(_scaled(size, -place * BASE_BITS)) - above)).cast("long").alias("digit"))
-
-    places = F.filter(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: (top - k).cast("int")), lambda p: p >= LOWEST)
-    none = F.array().cast("array<struct<place:int,digit:bigint>>")
-    return F.when(size == 0, none).otherwise(F.filter(F.transform(places, one), lambda d: d["digit"] != 0))
+import math
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-def _carried(places: Column) -> Column:
-    """Digits from 0 to 2^32 - 1 and what is left over (negative for a negative sum) of the array of sums from the lowest place on."""
-    base = F.lit(1 << BASE_BITS).cast(WHOLE)
-    start = F.struct(F.array().cast("array<bigint>").alias("digits"), F.lit(0).cast(WHOLE).alias("carry"))
+BASE_BITS, DIGITS = 18, 4
+#: Places of a first digit: those of 2^-1074 and of 2^1023.
+LOWEST, HIGHEST = -1074 // BASE_BITS, 1023 // BASE_BITS
 
-    def step(state: Column, total: Column) -> Column:
-        value = (state["carry"] + total).cast(WHOLE)
-        digit = F.pmod(value, base).cast("bigint")
-        return F.struct(F.concat(state["digits"], F.array(digit)).alias("digits"), ((value - digit) / base).cast(WHOLE).alias("carry"))
 
-    return F.aggregate(places, start, step)
+def _rounded(sums: list[list[int]]) -> float:
+    """The double nearest to the sum of [place, sums of the digits from that place down]; infinite beyond all doubles."""
+    total = 0
+    for place, *digits in sums:
+        n = 0
+        for digit in digits:
+            n = (n << BASE_BITS) + digit
+        total += n << (place - LOWEST) * BASE_BITS
+    try:
+        return total / (1 << (DIGITS - 1 - LOWEST) * BASE_BITS)  # of whole numbers: rounded once, ties to even
+    except OverflowError:
+        return math.inf if total > 0 else -math.inf
 
 
-def nearest_double(places: Column) -> Column:
-    """The double nearest to the sum of an array of whole numbers, one for each place from LOWEST on."""
-    zero = F.lit(0).cast(WHOLE)
-    # three more places take what is carried beyond the highest
-    padded = F.concat(F.transform(places, lambda x: x.cast(WHOLE)), F.array(zero, zero, zero))
-    negative = _carried(padded)["carry"] < 0
-    signed = F.when(negative, F.transform(padded, lambda x: (-x).cast(WHOLE))).otherwise(padded)
-    low = F.concat(F.array(F.lit(0).cast("bigint"), F.lit(0).cast("bigint")), _carried(signed)["digits"])  # two places below, so that there are three
-    bind = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+def _nearest(groups: pa.Array) -> pa.Array:
+    return pa.array([_rounded(sums.as_py()) for sums in groups], pa.float64())
 
-    def read(d: Column) -> Column:
-        high = F.array_max(F.transform(d, lambda x, i: F.when(x != 0, i)))
-        three = F.slice(d, high - 1, 3)
-        top = F.aggregate(F.reverse(three), zero, lambda t, x: (t * F.lit(1 << BASE_BITS).cast(WHOLE) + x).cast(WHOLE))
-        place = (high - 4 + LOWEST) * BASE_BITS  # of the last of the three
-        rest = F.exists(F.slice(d, 1, high - 2), lambda x: x != 0)
-        bits = 2 * BASE_BITS + F.length(F.bin(F.get(d, high)))
-        shift = F.greatest(bits - 53, -1074 - place).cast("int")
-        unit = F.get(F.array(*[F.lit(str(1 << k)).cast(WHOLE) for k in range(97)]), F.least(shift, F.lit(96)))
-        left = (top % unit).cast(WHOLE)
-        kept = ((top - left) / unit).cast(WHOLE)
-        twice = (2 * left).cast(WHOLE)
-        up = (twice > unit) | ((twice == unit) & (rest | (kept % 2 == 1)))
-        value = _scaled((kept + F.when(up, 1).otherwise(0)).cast("double"), place + shift)
-        return F.when(high.isNull(), 0.0).when(negative, -value).otherwise(value)
 
-    return bind(low, read)
+def with_digits(df: DataFrame, value: str) -> DataFrame:
+    """df with __place and __d0 to __d3: a finite double not 0 is the sum of __dk * 2^(18 * (__place - k)); null beside null."""
+    # Powers of 2 come from a table; twice half of a power, as the whole one may be no double.
+    halves = F.lit([2.0 ** (-place * BASE_BITS // 2) for place in range(LOWEST, HIGHEST + 1)])
+    # The logarithm may be off by a little near a power of two. The first digit is then 2^18, or 0 before digits that still hold all bits:
+    # those of a number just below 1 end at 2^-53, and the digits at 2^-54.
+    place = F.floor(F.ln(F.abs(value)) / (BASE_BITS * math.log(2))).cast("int")
+    out = df.withColumn("__place", place).withColumn("__half", F.get(halves, F.col("__place") - LOWEST))
+    out = out.withColumn("__left", F.col(value) * F.col("__half") * F.col("__half"))
+    for k in range(DIGITS):
+        out = out.withColumn(f"__d{k}", F.col("__left").cast("bigint"))
+        out = out.withColumn("__left", (F.col("__left") - F.col(f"__d{k}")) * 2.0**BASE_BITS)
+    return out.drop("__half", "__left")
 
 
 def exact_sums(df: DataFrame, value: str, keys: list[str], name: str = "total") -> DataFrame:
@@ -94,15 +56,11 @@ def exact_sums(df: DataFrame, value: str, keys: list[str], name: str = "total")
     is null where the problem says not_finite (a value is no finite number) or overflow (the sum is beyond all doubles)."""
     x = F.col(value).try_cast("double")
     odd = F.col(value).isNotNull() & (x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    own = df.select(*keys, F.when(~odd & x.isNotNull(), x).alias("__x"), odd.alias("__odd"))
-    flags = own.groupBy(*keys).agg(F.max("__odd").alias("__odd"))
-    each = own.where("__x is not null").select(*keys, F.explode(digits(F.col("__x"))).alias("__d"))
-    sums = each.groupBy(*keys, F.col("__d.place").alias("__place")).agg(F.sum(F.col("__d.digit").cast("decimal(28,0)")).alias("__sum"))
-    sums = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__place", "__sum"))).alias("__places"))
-    match = [flags[k].eqNullSafe(sums[k]) for k in keys]
-    both = flags.join(sums, match, "left").select(*[flags[k] for k in keys], "__odd", "__places")
-    every = F.transform(F.sequence(F.lit(LOWEST), F.lit(HIGHEST)), lambda p: F.coalesce(F.try_element_at("__places", p), F.lit(0).cast("decimal(38,0)")))
-    total = F.when(F.col("__places").isNull(), F.lit(0.0)).otherwise(nearest_double(every))
-    both = both.withColumn("__total", F.when(~F.col("__odd"), total))
+    own = df.select(*keys, x.alias("__x"), odd.alias("__odd")).withColumn("__x", F.when(~F.col("__odd") & (F.col("__x") != 0), F.col("__x")))
+    digits = [f"__d{k}" for k in range(DIGITS)]
+    sums = with_digits(own, "__x").groupBy(*keys, "__place").agg(F.max("__odd").alias("__odd"), *[F.sum(d).alias(d) for d in digits])
+    places = F.when(F.col("__place").isNotNull(), F.array(F.col("__place").cast("bigint"), *digits))
+    both = sums.groupBy(*keys).agg(F.max("__odd").alias("__odd"), F.collect_list(places).alias("__places"))
+    both = both.withColumn("__total", F.when(~F.col("__odd"), F.arrow_udf(_nearest, "double")("__places")))
     far = F.abs(F.col("__total")) == float("inf")
     return both.select(*keys, F.when(~far, F.col("__total")).alias(name), F.when(F.col("__odd"), "not_finite").when(far, "overflow").alias("problem"))
